@@ -76,8 +76,9 @@ def fallback_chain(
     names = M.DETAIL_FIELDS
 
     def candidate(df, rank, route):
+        tie = F.col("job_id") if "job_id" in df.columns else F.lit("")
         return df.select(
-            "url", rank.alias("_rank"), route.alias("route"),
+            "url", rank.alias("_rank"), tie.alias("_tie"), route.alias("route"),
             F.struct(*[F.col(c) if c in df.columns else F.lit(None).cast(M.detail_type(c)).alias(c)
                        for c in names]).alias("fields"),
         )
@@ -93,7 +94,7 @@ def fallback_chain(
         from_jobs.unionByName(from_direct).unionByName(nothing)
         .groupBy("url")
         .agg(
-            F.min_by(F.struct("route", "fields"), "_rank").alias("_best"),
+            F.min_by(F.struct("route", "fields"), F.struct("_rank", "_tie")).alias("_best"),
             F.max("_rank").alias("_last"),
         )
         .where(F.col("_last") == 9)

@@ -53,7 +53,7 @@ def sample_rows(rows: DataFrame, n: int = 3) -> DataFrame:
         rows.orderBy("ingest_ord").limit(n)
         .select(
             F.substring("title", 1, 80).alias("title"),
+            "ref_no", "closing_date",
             F.substring("organisation", 1, 50).alias("organisation"),
-            "closing_date",
         )
     )
