@@ -39,6 +39,15 @@ def contains_any(c: Column, words) -> Column:
     return any_of([F.contains(c, F.lit(w)) for w in words])
 
 
+def whole(condition: Column) -> Column:
+    """A filter condition that stays in one piece, null counting as false.
+
+    Split or null-checked conditions would be pushed below the projection that computes their
+    inputs, and the parsing behind those inputs would run twice.
+    """
+    return F.coalesce(condition, F.lit(False))
+
+
 def strip(c: Column) -> Column:
     """Strip Unicode whitespace from both ends."""
     return F.btrim(c, F.lit(WHITESPACE))

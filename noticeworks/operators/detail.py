@@ -16,21 +16,21 @@ def caption_pairs(rows: Column) -> Column:
     has none.
     """
 
-    def of_row(row):
-        found = K.row_cells(row)
-        pairs = F.transform(
-            found,
-            lambda c, i: F.when(
-                K.is_caption(c),
-                F.struct(
-                    F.lower(K.cell_node_text(c)).alias("caption"),
-                    X.clean(K.cell_node_text(F.get(found, i + 1))).alias("value"),
+    def of_row(cells):
+        captions = F.filter(K.with_next(cells), lambda p: K.is_caption(p["c"]))
+        return F.coalesce(
+            F.transform(
+                captions,
+                lambda p: F.struct(
+                    F.lower(K.cell_node_text(p["c"])).alias("caption"),
+                    X.clean(K.cell_node_text(p["n"])).alias("value"),
                 ),
             ),
+            F.array().cast("array<struct<caption:string,value:string>>"),
         )
-        return F.filter(pairs, lambda p: p.isNotNull())
 
-    return F.flatten(F.transform(rows, of_row))
+    # Cells first, in a pass of their own: a lambda body would split a row at every mention.
+    return F.flatten(F.transform(F.transform(rows, K.row_cells), of_row))
 
 
 def _value_of(pairs: Column, label: str) -> Column:

@@ -27,8 +27,10 @@ def candidate_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
     """
     keys = [c for c in pages.columns if c != "html"]
     rows = K.with_rows(pages, "listing", strict).withColumn("_skip", header_rows(F.col("rows")))
-    body = rows.select(*keys, "_skip", F.posexplode("rows").alias("row_ord", "_row")).where(
-        F.col("row_ord") >= F.col("_skip")
+    # The outer form: for the inner one the optimizer would add a filter on the row count below
+    # it and tokenise every page a second time for that.
+    body = rows.select(*keys, "_skip", F.posexplode_outer("rows").alias("row_ord", "_row")).where(
+        X.whole(F.col("row_ord") >= F.col("_skip"))
     )
     # inline() over a one-element array computes text and cells once for filter and projection.
     split = body.select(
@@ -74,9 +76,11 @@ def project_rows(candidates: DataFrame) -> DataFrame:
 
 def valid_rows(rows: DataFrame) -> DataFrame:
     return rows.where(
-        N.is_notice(
-            *[F.col(c) for c in
-              ("title", "closing_date", "opening_date", "published_date", "organisation")]
+        X.whole(
+            N.is_notice(
+                *[F.col(c) for c in
+                  ("title", "closing_date", "opening_date", "published_date", "organisation")]
+            )
         )
     )
 
@@ -122,18 +126,17 @@ def page_flags(pages: DataFrame) -> DataFrame:
 def page_live_count(html: Column) -> Column:
     """Serial number in the last numbered row of a page: the number of live notices so far."""
     pieces = F.split(html, r"<(?i:tr)(?=[\s>/])")
-    numbers = F.transform(
+    # A row in front of another row ends there; cells first, then one look at each row's cells.
+    cells = F.transform(
         F.slice(pieces, F.lit(2), F.size(pieces)),
-        lambda r: _serial(F.regexp_replace(r, r"(?s)^[^>]*>|</(?i:tr|table)\b.*", "")),
+        lambda r: K.row_cells(F.regexp_replace(r, r"(?s)^[^>]*>|</(?i:tr|table)\b.*", "")),
     )
-    return F.get(F.reverse(F.filter(numbers, lambda n: n.isNotNull())), F.lit(0))
-
-
-def _serial(row: Column) -> Column:
-    found = K.row_cells(row)
-    first = K.cell_text(F.get(found, F.lit(0)))
-    digits = F.regexp_extract(first, r"^(\d+)\.*$", 1)
-    return F.when((F.size(found) >= M.MIN_ROW_CELLS) & (digits != ""), digits.try_cast("int"))
+    first_cells = F.transform(
+        F.filter(cells, lambda c: F.size(c) >= M.MIN_ROW_CELLS), lambda c: K.cell_text(F.get(c, F.lit(0)))
+    )
+    numbered = F.filter(first_cells, lambda t: t.rlike(r"^\d+\.*$"))
+    last = F.get(F.reverse(numbered), F.lit(0))
+    return F.regexp_extract(last, r"^(\d+)", 1).try_cast("int")
 
 
 def live_counts(pages: DataFrame) -> DataFrame:
@@ -145,3 +148,17 @@ def live_counts(pages: DataFrame) -> DataFrame:
     return per_page.groupBy("source").agg(
         F.max("page_no").alias("total_pages"), F.max_by("_live", "page_no").alias("live_tenders")
     )
+
+
+def observe_live(pages: DataFrame, observation) -> DataFrame:
+    """Attach page and live counts to a scan, so that a run needs no second pass for them.
+
+    The observation holds ``total_pages`` and ``live_tenders`` once the frame has been written.
+    Both are maxima, so a retried task cannot distort them.
+    """
+    seen = pages.withColumn("_live", page_live_count(F.col("html"))).observe(
+        observation,
+        F.max("page_no").alias("total_pages"),
+        F.max_by("_live", "page_no").alias("live_tenders"),
+    )
+    return seen.drop("_live")

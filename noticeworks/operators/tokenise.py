@@ -140,6 +140,16 @@ def row_cells(row: Column) -> Column:
     )
 
 
+def with_next(cells_of_row: Column) -> Column:
+    """Pairs (c, n) of every cell and the one after it."""
+    after = F.concat(
+        F.slice(cells_of_row, F.lit(2), F.greatest(F.size(cells_of_row), F.lit(1))),
+        F.array(F.lit(None).cast("string")),
+    )
+    paired = F.arrays_zip(cells_of_row.alias("c"), after.alias("n"))
+    return F.when(F.size(cells_of_row) > 0, paired)
+
+
 def cell_text(cell: Column) -> Column:
     """Text of a cell, concatenated, then stripped (listing pages)."""
     return X.strip(X.unescape(F.regexp_replace(cell, _CELL_MARKUP, "")))
@@ -177,13 +187,14 @@ def cells(pages: DataFrame, kind: str = "listing", strict: bool = True) -> DataF
     """
     keys = [c for c in pages.columns if c != "html"]
     rows = with_rows(pages, kind, strict).select(
-        *keys, F.posexplode("rows").alias("row_ord", "_row")
+        *keys, F.posexplode_outer("rows").alias("row_ord", "_row")
+    )
+    split = rows.select(*keys, "row_ord", row_cells(F.col("_row")).alias("_cells"))
+    flat = split.select(
+        *keys, "row_ord", F.posexplode_outer(with_next(F.col("_cells"))).alias("cell_ord", "_pair")
     )
-    found = row_cells(F.col("_row"))
-    paired = F.transform(found, lambda c, i: F.struct(c.alias("c"), F.get(found, i + 1).alias("n")))
-    flat = rows.select(*keys, "row_ord", F.posexplode(paired).alias("cell_ord", "_pair"))
     c = F.col("_pair.c")
-    return flat.select(
+    return flat.where(c.isNotNull()).select(
         *keys, "row_ord", "cell_ord",
         cell_class(c).alias("cls"),
         cell_text(c).alias("text"),

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from noticeworks import model as M
 from noticeworks.operators import (
-    backfill, crawljson as J, detail as D, listing as L, merge, metrics, vectors,
+    backfill, crawljson as J, listing as L, merge, metrics, vectors,
 )
 from noticeworks.functions import compose as C
 from noticeworks.sources import export
 from noticeworks.sources.snapshots import SnapshotStore
 from noticeworks.sources.store import NoticeTable
 
+SNAPSHOT_SOURCE = "eprocure.gov.in/AdvancedSearch"  # fixed value: how snapshots name the listing
+
 
 def collect_items(
     listing_jobs: DataFrame | None,
     listing_pages: DataFrame,
     detail: DataFrame | None = None,
-    page_cap: int = M.DEFAULT_PAGE_CAP,
+    page_cap: int | None = None,
     strict: bool = True,
 ) -> DataFrame:
     """All items of a run: crawled central listing first, then the scraped one with its detail."""
@@ -53,9 +55,10 @@ def scheduled_run(
     tokenised once and a lost executor costs a re-read, not a re-extraction. The run id names
     all writes, so running it again changes nothing.
     """
-    items = collect_items(listing_jobs, listing_pages, detail, page_cap, strict)
-    live = L.live_counts(L.cap_pages(listing_pages, page_cap))
-    stored = snapshots.append(items, run_id, run_at, "eprocure.gov.in/AdvancedSearch", live)
+    live = Observation()
+    pages = L.observe_live(L.cap_pages(listing_pages, page_cap), live)
+    items = collect_items(listing_jobs, pages, detail, strict=strict)
+    stored = snapshots.append(items, run_id, run_at, SNAPSHOT_SOURCE, live)
     table.upsert(merge.notice_rows(stored), run_at, batch=f"{run_id}:notices")
     embed_pending(table, embed_limit, embed, batch=f"{run_id}:vectors")
     return metrics.run_counters(stored)
@@ -75,12 +78,17 @@ def listing_run(
     page_cap: int = M.DEFAULT_PAGE_CAP, strict: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Extract and snapshot only; returns response items and envelope."""
-    capped = L.cap_pages(listing_pages, page_cap)
-    rows = L.extract_listing(capped, strict=strict)
+    live = Observation()
+    pages = L.observe_live(L.cap_pages(listing_pages, page_cap), live)
     stored = snapshots.append(
-        rows, run_id, run_at, "eprocure.gov.in/AdvancedSearch", L.live_counts(capped)
+        L.extract_listing(pages, strict=strict), run_id, run_at, SNAPSHOT_SOURCE, live
+    )
+    envelope = stored.agg(F.count("*").alias("count")).select(
+        F.lit(SNAPSHOT_SOURCE).alias("source"), "count",
+        F.lit(live.get["total_pages"]).cast("bigint").alias("total_pages"),
+        F.lit(live.get["live_tenders"]).cast("int").alias("live_tenders"),
     )
-    return export.response_items(stored), export.response_envelope(stored, capped)
+    return export.response_items(stored), envelope
 
 
 def backfill_run(items: DataFrame, table: NoticeTable, run_at, batch: str | None = None) -> DataFrame:

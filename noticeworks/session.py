@@ -13,6 +13,9 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tokenising costs much CPU per byte: keep small stages parallel. Large ones still aim at the
+    # advisory partition size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when that costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -71,27 +71,25 @@ class SnapshotStore:
         self.path = path.rstrip("/")
 
     def append(
-        self, items: DataFrame, snapshot_id: str, scraped_at, source: str, live: DataFrame | None = None
+        self, items: DataFrame, snapshot_id: str, scraped_at, source: str, observation=None
     ) -> DataFrame:
         """Write the items of a run, then its header; return the items as stored.
 
-        A header is written last, so a run that failed half-way is never the latest one. ``live``
-        is a one-row frame with ``live_tenders``. The run id names the folder: writing the same
-        run again replaces it.
+        A header is written last, so a run that failed half-way is never the latest one.
+        ``observation`` is attached to the items' own scan and gives ``live_tenders``. The run
+        id names the folder: writing the same run again replaces it.
         """
         folder = f"{self.path}/items/snapshot_id={snapshot_id}"
         items.write.mode("overwrite").parquet(folder)
+        live = observation.get["live_tenders"] if observation is not None else None
         stored = self.spark.read.parquet(folder)
         header = stored.agg(F.count("*").alias("count")).select(
             F.lit(snapshot_id).alias("snapshot_id"),
             F.lit(scraped_at).cast("timestamp_ntz").alias("scraped_at"),
             F.lit(source).alias("source"),
+            F.lit(live).cast("int").alias("live_tenders"),
             "count",
         )
-        if live is None:
-            header = header.withColumn("live_tenders", F.lit(None).cast("int"))
-        else:
-            header = header.withColumn("live_tenders", live.agg(F.max("live_tenders")).scalar())
         header.write.mode("overwrite").parquet(f"{self.path}/headers/run={snapshot_id}")
         return stored
 

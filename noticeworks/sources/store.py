@@ -2,8 +2,7 @@
 
 An upsert reads and rewrites only the buckets that its batch touches, writes them to a new
 folder and then switches the pointer, so readers see the old or the new state and a lost
-executor (or driver) leaves the table as it was. A session whose catalog supports row-level
-operations can use ``merge_into`` on a catalog table instead.
+executor (or driver) leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -154,22 +153,3 @@ def write_back(table: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFra
     new = vectors.select(*keys, F.col("embedding").alias("_new"))
     joined = table.join(new, keys, "left")
     return joined.withColumn("embedding", F.coalesce("_new", "embedding")).select(*table.columns)
-
-
-def merge_into(table_name: str, incoming: DataFrame) -> None:
-    """The same upsert rule as MERGE on a catalog table with row-level operations.
-
-    ``incoming`` has one row per key and all columns of the table.
-    """
-    new = incoming.alias("n")
-    on = F.expr(" AND ".join(f"t.{k} = n.{k}" for k in M.NOTICE_KEY).replace("t.", f"{table_name}."))
-    updates = {
-        c: (F.col(f"n.{c}") if c in M.ALWAYS_WRITTEN else F.coalesce(F.col(f"n.{c}"), F.col(f"{table_name}.{c}")))
-        for c in incoming.columns if c not in M.NOTICE_KEY
-    }
-    (
-        new.mergeInto(table_name, on)
-        .whenMatched().update(updates)
-        .whenNotMatched().insertAll()
-        .merge()
-    )
