@@ -11,10 +11,9 @@ from noticeworks.operators import tokenise as K
 
 def header_rows(rows: Column) -> Column:
     """Length of the contiguous header prefix among the first rows."""
-    flags = F.transform(
-        F.slice(rows, 1, M.HEADER_SCAN_ROWS),
-        lambda r: X.contains_any(F.lower(K.row_text(r)), M.HEADER_ROW_WORDS),
-    )
+    # Text first, in a pass of its own: a lambda body would compute it at every mention.
+    texts = F.transform(F.slice(rows, 1, M.HEADER_SCAN_ROWS), lambda r: F.lower(K.row_text(r)))
+    flags = F.transform(texts, lambda t: X.contains_any(t, M.HEADER_ROW_WORDS))
     first_other = F.array_position(flags, F.lit(False))
     return F.when(first_other == 0, F.size(flags)).otherwise(first_other.cast("int") - 1)
 
@@ -128,7 +127,7 @@ def page_live_count(html: Column) -> Column:
     pieces = F.split(html, r"<(?i:tr)(?=[\s>/])")
     # A row in front of another row ends there; cells first, then one look at each row's cells.
     cells = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)),
+        F.slice(pieces, 2, 1 << 30),
         lambda r: K.row_cells(F.regexp_replace(r, r"(?s)^[^>]*>|</(?i:tr|table)\b.*", "")),
     )
     first_cells = F.transform(

@@ -51,6 +51,11 @@ def _blocks(html: Column, opening: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?s){opening}.*?(?=</(?i:table)\s*>|\z)"), 0)
 
 
+def _rest(pieces: Column) -> Column:
+    """All pieces after the first; a fixed length, since size() would split a second time."""
+    return F.slice(pieces, 2, 1 << 30)
+
+
 def _without_comments(html: Column) -> Column:
     """Comments become an empty tag, so that they still separate two text nodes."""
     bare = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "<br>")
@@ -61,7 +66,7 @@ def _split_rows(block: Column) -> Column:
     """Row fragments of one table block, without the row tags."""
     pieces = F.split(block, r"<(?i:tr)(?=[\s>/])")
     return F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)), lambda r: F.regexp_replace(r, _ROW_MARKUP, "")
+        _rest(pieces), lambda r: F.regexp_replace(r, _ROW_MARKUP, "")
     )
 
 
@@ -136,14 +141,14 @@ def row_cells(row: Column) -> Column:
     """Cell fragments (``td`` only) of a row fragment."""
     pieces = F.split(row, r"<(?=(?i:t[dh])[\s>/])")
     return F.filter(
-        F.slice(pieces, F.lit(2), F.size(pieces)), lambda c: c.rlike(r"^(?i:td)")
+        _rest(pieces), lambda c: c.rlike(r"^(?i:td)")
     )
 
 
 def with_next(cells_of_row: Column) -> Column:
     """Pairs (c, n) of every cell and the one after it."""
     after = F.concat(
-        F.slice(cells_of_row, F.lit(2), F.greatest(F.size(cells_of_row), F.lit(1))),
+        _rest(cells_of_row),
         F.array(F.lit(None).cast("string")),
     )
     paired = F.arrays_zip(cells_of_row.alias("c"), after.alias("n"))
