@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from noticeworks.functions import text as X
+
 LONG = "dd-MMM-yyyy hh:mm a"
 
 
@@ -27,7 +29,7 @@ def indian_commas(n: Column) -> Column:
 
 def built(name: str, value: Column) -> Column:
     """A computed body as a column of its own: readers of it never render it again."""
-    return F.inline(F.array(F.struct(value.alias(name))))
+    return X.once(value.alias(name))
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +225,7 @@ def listing_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     items = order_items(spark, sf_dir)
     # A second, changed copy of every eighth item follows on the same page.
+    # The copy is not a retry: its title differs, so it shows which one wins.
     doubled = items.withColumn("_copy", F.explode(F.expr("if(k % 8 = 0, array(0, 1), array(0))"))).withColumn(
         "title", F.concat("title", F.when(F.col("_copy") == 1, " again").otherwise(""))
     ).withColumn("_json", item)
@@ -231,11 +234,11 @@ def listing_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("k", "_copy", "_json"))).alias("_items")
     ).select(
         page,
-        F.concat(
+        built("json", F.concat(
             F.lit('{"tenders": ["junk", 7, null, '),
             F.array_join(F.transform("_items", lambda i: i["_json"]), ", "),
             F.lit('], "page_number": '), page, F.lit(', "total_records": "'), page * 10, F.lit('"}'),
-        ).alias("json"),
+        )),
     )
     record = F.struct(
         F.concat(F.lit("https://eprocure.gov.in/cppp?page="), page).alias("url"),
@@ -246,7 +249,7 @@ def listing_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(page, record.alias("r")))).alias("_recs")
     ).select(
         F.concat(F.lit("job-"), "_job").alias("job_id"), F.lit("completed").alias("status"),
-        F.size("_recs").alias("total"), F.transform("_recs", lambda x: x["r"]).alias("records"),
+        F.size("_recs").alias("total"), built("records", F.transform("_recs", lambda x: x["r"])),
     )
 
 
@@ -255,7 +258,9 @@ def detail_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     record followed by JSON, HTML followed by JSON, nothing."""
     values = part_details(spark, sf_dir)
     names = [n for row in DETAIL_ROWS for _, n in row if n != "pre_bid_meeting_date"]
-    v = values.withColumn("_json", detail_json_text(names)).withColumn("_html", detail_html(values))
+    v = values.select(
+        "k", "url", X.once(detail_json_text(names).alias("_json"), detail_html(values).alias("_html"))
+    )
     none = F.lit(None).cast("string")
 
     def rec(status, js, html):
@@ -274,7 +279,7 @@ def detail_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return v.select(
         "k", "url", F.concat(F.lit("D-"), "k").alias("job_id"), F.lit("completed").alias("status"),
-        F.size(records).alias("total"), records.alias("records"),
+        F.when(way.isin(3, 4), 2).otherwise(1).alias("total"), built("records", records),
     )
 
 

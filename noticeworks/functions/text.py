@@ -48,6 +48,15 @@ def whole(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def once(*named: Column) -> Column:
+    """Columns computed exactly once, however often and wherever later steps mention them.
+
+    Use it in ``select``: the optimizer copies plain expressions into filters and other
+    projections, but not through a generator.
+    """
+    return F.inline(F.array(F.struct(*named)))
+
+
 def strip(c: Column) -> Column:
     """Strip Unicode whitespace from both ends."""
     return F.btrim(c, F.lit(WHITESPACE))

@@ -56,7 +56,7 @@ def compact_json(columns: list[str]) -> Column:
 
 def listing_records(jobs: DataFrame) -> DataFrame:
     """Completed records of crawl jobs, one row per crawled listing page."""
-    rec = F.posexplode("records").alias("record_ord", "_rec")
+    rec = F.posexplode_outer("records").alias("record_ord", "_rec")
     return (
         jobs.select("job_id", rec)
         .where(F.col("_rec.status") == "completed")
@@ -72,11 +72,11 @@ def listing_rows(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
     """
     pages = listing_records(jobs)
     items = pages.select(
-        "job_id", "record_ord", F.posexplode("page.tenders").alias("row_ord", "_item")
+        "job_id", "record_ord", F.posexplode_outer("page.tenders").alias("row_ord", "_item")
     ).where(F.col("_item").startswith(_OPEN_OBJECT))
     raw = items.select(
         "job_id", "record_ord", "row_ord",
-        F.inline(F.array(F.from_json("_item", M.LISTING_JSON_ROW))),
+        F.inline(F.array(F.from_json("_item", M.LISTING_JSON_ROW))),  # parsed once
     )
     path = X.strip(F.coalesce("detail_path", F.lit("")))
     rows = raw.select(
@@ -93,7 +93,7 @@ def listing_rows(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
             F.col("row_ord").cast("int").alias("row_ord"),
         ).alias("ingest_ord"),
     )
-    return rows.where(F.col("tender_id").isNotNull() | (F.col("title") != ""))
+    return rows.where(X.whole(F.col("tender_id").isNotNull() | (F.col("title") != "")))
 
 
 def extract_listing_json(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
@@ -134,31 +134,26 @@ def first_usable(jobs: DataFrame, strict: bool = True) -> DataFrame:
     kept = F.when(first_json > 0, F.slice("records", F.lit(1), first_json)).otherwise(
         F.col("records")
     )
-    recs = jobs.select("job_id", F.posexplode(kept).alias("record_ord", "_rec")).where(
+    recs = jobs.select("job_id", F.posexplode_outer(kept).alias("record_ord", "_rec")).where(
         F.col("_rec.status") == "completed"
     )
-    body = F.when(
-        ~json_usable(F.col("_rec.json")) & ~S.session_expired(F.col("_rec.html")),
-        F.col("_rec.html"),
+    marked = recs.select(
+        "job_id", "record_ord", F.col("_rec.json").alias("json"), F.col("_rec.html").alias("html"),
+        X.once(json_usable(F.col("_rec.json")).alias("_is_json")),
     )
-    parsed = D.detail_pairs(
-        recs.select("job_id", "record_ord", F.col("_rec.json").alias("json"), body.alias("html")),
-        strict,
-    )
-    from_json = json_usable(F.col("json"))
+    body = F.when(~F.col("_is_json") & ~S.session_expired(F.col("html")), F.col("html"))
+    parsed = D.detail_pairs(marked.withColumn("html", body), strict)
     typed = parsed.select(
-        "job_id", "record_ord",
-        from_json.alias("_is_json"),
-        detail_json(F.col("json")).alias("_json"),
-        F.struct(*D.detail_columns(F.col("pairs"))).alias("_html"),
+        "job_id", "record_ord", "_is_json",
+        X.once(
+            F.when(F.col("_is_json"), detail_json(F.col("json")))
+            .otherwise(F.struct(*D.detail_columns(F.col("pairs")))).alias("fields")
+        ),
     )
-    candidates = typed.select(
-        "job_id", "record_ord",
-        F.when(F.col("_is_json"), "json").otherwise("html").alias("route"),
-        F.when(F.col("_is_json"), F.col("_json")).otherwise(F.col("_html")).alias("fields"),
-    ).where((F.col("route") == "json") | any_field(F.col("fields")))
+    candidates = typed.where(F.col("_is_json") | X.whole(any_field(F.col("fields"))))
+    route = F.when(F.col("_is_json"), "json").otherwise("html").alias("route")
     won = candidates.groupBy("job_id").agg(
-        F.min_by(F.struct("route", "fields"), "record_ord").alias("_won")
+        F.min_by(F.struct(route, "fields"), "record_ord").alias("_won")
     )
     return won.select("job_id", "_won.route", "_won.fields.*")
 

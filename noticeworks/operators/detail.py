@@ -64,7 +64,7 @@ def extract_detail(pages: DataFrame, strict: bool = True) -> DataFrame:
     explode, join or group.
     """
     keys = [c for c in pages.columns if c != "html"]
-    return detail_pairs(pages, strict).select(*keys, *detail_columns(F.col("pairs")))
+    return detail_pairs(pages, strict).select(*keys, X.once(*detail_columns(F.col("pairs"))))
 
 
 def has_any_detail() -> Column:

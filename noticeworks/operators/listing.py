@@ -31,17 +31,11 @@ def candidate_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
     body = rows.select(*keys, "_skip", F.posexplode_outer("rows").alias("row_ord", "_row")).where(
         X.whole(F.col("row_ord") >= F.col("_skip"))
     )
-    # inline() over a one-element array computes text and cells once for filter and projection.
     split = body.select(
         *keys,
         "row_ord",
-        F.inline(
-            F.array(
-                F.struct(
-                    K.row_text(F.col("_row")).alias("row_text"),
-                    K.row_cells(F.col("_row")).alias("cells"),
-                )
-            )
+        X.once(
+            K.row_text(F.col("_row")).alias("row_text"), K.row_cells(F.col("_row")).alias("cells")
         ),
     )
     return split.where(
@@ -69,7 +63,7 @@ def project_rows(candidates: DataFrame) -> DataFrame:
     title, ref = N.split_title_ref(F.col("_title_ref"))
     rest = [c for c in texts.columns if c != "_title_ref"]
     return texts.select(
-        *rest, F.inline(F.array(F.struct(title.alias("title"), ref.alias("ref_no"))))
+        *rest, X.once(title.alias("title"), ref.alias("ref_no"))
     )
 
 
