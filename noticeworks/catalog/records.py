@@ -243,7 +243,7 @@ WITH i AS (SELECT *, CASE WHEN k % 3 <> 0 THEN '/x/' || k % 500 END AS u FROM ({
 d AS (SELECT '/x/' || p_partkey AS u, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE p_type END AS t, n_name
   FROM part JOIN nation ON p_partkey % 25 = n_nationkey WHERE p_partkey < 400)
 SELECT k, 'eprocure' AS source, title, ref_no, i.u AS url,
-  coalesce(t, CASE WHEN k % 2 = 0 THEN 'old type' END) AS tender_type, n_name AS location
+  coalesce(t, CASE WHEN k % 2 = 0 THEN 'old type' END) AS tender_type, n_name AS location, d.u IS NOT NULL AS detail_merged
 FROM i LEFT JOIN d ON i.u = d.u"""
 
 

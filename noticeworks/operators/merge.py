@@ -30,6 +30,7 @@ def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
 
     ``detail`` has one row per URL. Rows without a URL get spread keys, and a URL that many
     listing rows share is split by the skew join, so no task takes more than its share.
+    ``detail_merged`` tells the rows that got any field.
     """
     fields = [c for c in detail.columns if c in M.DETAIL_FIELDS or c in M.LISTING_FIELDS]
     fields = [c for c in fields if c != "url"]
@@ -45,6 +46,7 @@ def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
             (F.coalesce(f"_d_{c}", c) if c in listing.columns else F.col(f"_d_{c}")).alias(c)
             for c in fields
         ],
+        X.any_of([F.col(f"_d_{c}").isNotNull() for c in fields]).alias("detail_merged"),
     )
 
 
@@ -157,21 +159,20 @@ def merge_notices(current: DataFrame, incoming: DataFrame) -> DataFrame:
     raw_data are never null and always overwrite. Keys of one side only pass through. Both
     sides are unique on the key, so no key can be hot.
     """
-    old = current.withColumn("_old", F.lit(True))
-    new = incoming.withColumn("_new", F.lit(True))
-    on = [old[k] == new[k] for k in M.NOTICE_KEY]
+    old = current.alias("o")
+    new = incoming.withColumn("_new", F.lit(True)).alias("n")
+    on = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in M.NOTICE_KEY]
     joined = old.join(new, on, "full_outer")
-    out = [F.coalesce(new[k], old[k]).alias(k) for k in M.NOTICE_KEY]
-    for c in current.columns:
-        if c in M.NOTICE_KEY:
-            continue
+
+    def merged(c):
+        mine, theirs = F.col(f"n.{c}"), F.col(f"o.{c}")
         if c not in incoming.columns:
-            out.append(old[c])
-        elif c in M.ALWAYS_WRITTEN:
-            out.append(F.when(new["_new"], new[c]).otherwise(old[c]).alias(c))
-        else:
-            out.append(F.coalesce(new[c], old[c]).alias(c))
-    return joined.select(*out).select(*current.columns)
+            return theirs
+        if c in M.ALWAYS_WRITTEN:
+            return F.when(F.col("n._new"), mine).otherwise(theirs).alias(c)
+        return F.coalesce(mine, theirs).alias(c)
+
+    return joined.select(*[merged(c) for c in current.columns])
 
 
 def latest_per_key(rows: DataFrame) -> DataFrame:

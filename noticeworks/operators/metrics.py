@@ -24,18 +24,15 @@ def status_metrics(notices: DataFrame, crawl_enabled: bool = True) -> DataFrame:
 
 
 def run_counters(merged: DataFrame) -> DataFrame:
-    """Per source: rows, rows with a URL, rows that got any detail field, distinct notice keys.
+    """Per source: rows, rows with a URL, rows that a detail record was merged into, notice keys.
 
     ``merged`` holds listing rows after the detail merge. Rows are first reduced to one per
     key, so a key shared by very many rows costs one row per task.
     """
-    detail = [c for c in M.DETAIL_FIELDS if c in merged.columns]
     per_key = merged.groupBy("source", X.key_or_missing(F.col("ref_no")).alias("_key")).agg(
         F.count("*").alias("n"),
         F.count_if(F.col("url") != "").alias("with_url"),
-        F.count_if(
-            (F.col("url") != "") & X.any_of([F.col(c).isNotNull() for c in detail])
-        ).alias("merged"),
+        F.count_if("detail_merged").alias("merged"),
     )
     return per_key.groupBy("source").agg(
         F.sum("n").alias("scraped"),

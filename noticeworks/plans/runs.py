@@ -25,7 +25,9 @@ def collect_items(
 ) -> DataFrame:
     """All items of a run: crawled central listing first, then the scraped one with its detail."""
     scraped = L.extract_listing(listing_pages, source_rank=1, page_cap=page_cap, strict=strict)
-    if detail is not None:
+    if detail is None:
+        scraped = scraped.withColumn("detail_merged", F.lit(False))
+    else:
         scraped = merge.merge_detail(scraped, detail)
     if listing_jobs is None:
         return scraped
