@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from noticeworks.functions import text as X
+from noticeworks.session import spread
 
 LONG = "dd-MMM-yyyy hh:mm a"
 
@@ -130,7 +131,7 @@ def listing_pages(
 
 def part_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with a nation (25 rows, fixed) as detail-page values, null where a page would say NA."""
-    p = table(spark, sf_dir, "part")
+    p = spread(table(spark, sf_dir, "part"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("p_partkey")
     return p.join(F.broadcast(n), F.expr("p_partkey % 25 = n_nationkey")).select(

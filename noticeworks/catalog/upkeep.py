@@ -22,6 +22,15 @@ from noticeworks.streaming import incremental
 RUN_AT = dt.datetime(2026, 3, 1, 6, 0)
 
 
+def _beside(rows, *one_row):
+    """Columns of one-row frames added to every row, as scalar subqueries."""
+    for n, frame in enumerate(one_row):
+        name = f"_one{n}"
+        value = frame.select(F.struct("*")).scalar()
+        rows = rows.withColumn(name, value).select(*rows.columns, f"{name}.*")
+    return rows
+
+
 # --- Dedup ---------------------------------------------------------------------------------
 
 
@@ -150,8 +159,9 @@ def snapshot_append(spark, sf):
     store.append(items.where("id % 2 = 0"), "r1", RUN_AT, "s")
     for _ in range(2):
         store.append(items, "r2", RUN_AT + dt.timedelta(days=1), "s")
-    return store.latest_items().select("ref_no", "title").crossJoin(
-        store.latest().select("id", "snapshot_id", "count")  # one row
+    return _beside(
+        store.latest_items().select("ref_no", "title"),
+        store.latest().select("id", "snapshot_id", "count"),
     )
 
 
@@ -397,7 +407,7 @@ def scheduled_run(spark, sf):
         )
     state = runs.status(store).drop("last_updated_at", "cloudflare_enabled")
     live = kept.latest().select("live_tenders", F.col("count").alias("snapshot_count"))
-    return counters.crossJoin(state).crossJoin(live)  # both have one row
+    return _beside(counters, state, live)
 
 
 RUN_SQL = f"""
@@ -438,7 +448,7 @@ def backfill_run(spark, sf):
     )
     store.upsert(old, RUN_AT)
     counters = runs.backfill_run(_payload(spark, sf), store, RUN_AT)
-    return counters.crossJoin(store.read().agg(F.count("*").alias("stored")))  # both have one row
+    return _beside(counters, store.read().agg(F.count("*").alias("stored")))
 
 
 QUERIES = {

@@ -85,11 +85,7 @@ def listing_run(
     stored = snapshots.append(
         L.extract_listing(pages, strict=strict), run_id, run_at, SNAPSHOT_SOURCE, live
     )
-    envelope = stored.agg(F.count("*").alias("count")).select(
-        F.lit(SNAPSHOT_SOURCE).alias("source"), "count",
-        F.lit(live.get["total_pages"]).cast("bigint").alias("total_pages"),
-        F.lit(live.get["live_tenders"]).cast("int").alias("live_tenders"),
-    )
+    envelope = snapshots.header(run_id).select("source", "count", "total_pages", "live_tenders")
     return export.response_items(stored), envelope
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that the plans rely on. They are safe on any cluster: none of them fixes a
 # partition count, AQE picks it from the measured shuffle sizes.
@@ -58,3 +58,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="noticeworks-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan gives fewer partitions than that (few or small files).
+
+    Only then is anything shuffled. Use it on narrow rows, before the work that makes them wide.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever file system it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

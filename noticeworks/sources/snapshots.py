@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from noticeworks import model as M
+from noticeworks.session import path_exists
 
 
 def run_header(items: DataFrame) -> DataFrame:
@@ -75,23 +75,32 @@ class SnapshotStore:
     ) -> DataFrame:
         """Write the items of a run, then its header; return the items as stored.
 
-        A header is written last, so a run that failed half-way is never the latest one.
-        ``observation`` is attached to the items' own scan and gives ``live_tenders``. The run
-        id names the folder: writing the same run again replaces it.
+        The header is written last, so a run that failed half-way is never the latest one and
+        its items are written anew. A run whose header exists is complete: it is left as it is
+        and nothing is computed again. ``observation`` is attached to the items' own scan and
+        gives ``live_tenders`` and ``total_pages``.
         """
         folder = f"{self.path}/items/snapshot_id={snapshot_id}"
-        items.write.mode("overwrite").parquet(folder)
-        live = observation.get["live_tenders"] if observation is not None else None
-        stored = self.spark.read.parquet(folder)
-        header = stored.agg(F.count("*").alias("count")).select(
-            F.lit(snapshot_id).alias("snapshot_id"),
-            F.lit(scraped_at).cast("timestamp_ntz").alias("scraped_at"),
-            F.lit(source).alias("source"),
-            F.lit(live).cast("int").alias("live_tenders"),
-            "count",
-        )
-        header.write.mode("overwrite").parquet(f"{self.path}/headers/run={snapshot_id}")
-        return stored
+        header = self._header_path(snapshot_id)
+        if not path_exists(self.spark, f"{header}/_SUCCESS"):
+            items.write.mode("overwrite").parquet(folder)
+            seen = observation.get if observation is not None else {}
+            self.spark.read.parquet(folder).agg(F.count("*").alias("count")).select(
+                F.lit(snapshot_id).alias("snapshot_id"),
+                F.lit(scraped_at).cast("timestamp_ntz").alias("scraped_at"),
+                F.lit(source).alias("source"),
+                F.lit(seen.get("live_tenders")).cast("int").alias("live_tenders"),
+                F.lit(seen.get("total_pages")).cast("bigint").alias("total_pages"),
+                "count",
+            ).write.mode("overwrite").parquet(header)
+        return self.items(snapshot_id)
+
+    def _header_path(self, snapshot_id: str) -> str:
+        return f"{self.path}/headers/run={snapshot_id}"
+
+    def header(self, snapshot_id: str) -> DataFrame:
+        """The header row of one run."""
+        return self.spark.read.parquet(self._header_path(snapshot_id))
 
     def headers(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/headers").drop("run")
