@@ -54,19 +54,20 @@ def embed(
 
     @F.pandas_udf("array<float>")
     def run(texts: pd.Series) -> pd.Series:
-        result = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-        wanted = texts[texts.map(lambda t: isinstance(t, str))]
+        vectors: list = [None] * len(texts)
+        wanted = [i for i, t in enumerate(texts) if isinstance(t, str)]
         for start in range(0, len(wanted), chunk):
-            part = wanted.iloc[start:start + chunk]
+            places = wanted[start:start + chunk]
+            part = [texts.iloc[i] for i in places]
             try:
-                vectors = list(embed_batch(list(part)))
-                if len(vectors) != len(part):
+                got = list(embed_batch(part))
+                if len(got) != len(part):
                     raise ValueError("one vector per text expected")
             except Exception:
-                vectors = one_by_one(part)
-            for at, vector in zip(part.index, vectors):
-                result.at[at] = None if vector is None else np.asarray(vector, dtype=np.float32)
-        return result
+                got = one_by_one(part)
+            for i, vector in zip(places, got):
+                vectors[i] = None if vector is None else np.asarray(vector, dtype=np.float32)
+        return pd.Series(vectors, index=texts.index, dtype=object)
 
     ready = F.when(X.strip(F.col(text)) != "", C.embed_input(F.col(text)))
     return df.withColumn(out, run(ready))

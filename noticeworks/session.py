@@ -24,6 +24,9 @@ RUNTIME_CONF = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -55,8 +58,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="noticeworks-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="noticeworks-")
+        base = _LOCAL_DIRS[app]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
