@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from noticeworks import model as M
 from noticeworks.functions import text as X
@@ -34,41 +34,45 @@ def backfill_rows(items: DataFrame) -> DataFrame:
     )
 
 
-def _classified(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows with ``_reason``: bad, existing or null. Existing keys are unique on the right side."""
-    known = existing.select("ref_no").distinct().withColumn("_known", F.lit(True))
-    bad = (F.col("title") == "") | (F.col("url") == "")
-    return rows.join(known, "ref_no", "left").withColumn(
-        "_reason", F.when(bad, "bad").when(F.col("_known"), "existing")
-    ).drop("_known")
+def _is_bad() -> Column:
+    return (F.col("title") == "") | (F.col("url") == "")
 
 
 def backfill_inserts(items: DataFrame, existing: DataFrame) -> DataFrame:
-    """The rows a backfill inserts: complete, not stored yet, last one per key."""
-    fresh = _classified(backfill_rows(items), existing).where(F.col("_reason").isNull())
-    return dedup.last_wins(fresh.drop("_reason"), M.NOTICE_KEY, "ingest_ord").drop("ingest_ord")
+    """The rows a backfill inserts: complete, not stored yet, last one per key.
+
+    Keys are reduced first, so the check against the stored keys sees every key once and rows
+    that share the missing-key marker cannot pile up in the join.
+    """
+    complete = backfill_rows(items).where(X.whole(~_is_bad()))
+    latest = dedup.last_wins(complete, M.NOTICE_KEY, "ingest_ord").drop("ingest_ord")
+    return latest.join(existing.select("ref_no").distinct(), "ref_no", "left_anti")
 
 
 def backfill_counters(items: DataFrame, existing: DataFrame) -> DataFrame:
     """One row: items read, rejected as bad, already stored, duplicate in the snapshot, inserted.
 
-    Duplicates are counted from the per-key counts, so nothing has to be ranked.
+    A row is rejected for the first reason that holds, in that order. Rows are counted per key
+    before the stored keys are looked up, and duplicates follow from those counts: nothing is
+    ranked, and the join sees every key at most twice.
     """
-    rows = _classified(backfill_rows(items), existing)
-    per_key = rows.groupBy(
-        "_reason",
-        F.when(F.col("_reason").isNull(), F.col("ref_no")).alias("_ref"),
-        F.when(F.col("_reason").isNull(), F.col("source")).alias("_src"),
-    ).agg(F.count("*").alias("n"))
-
-    def total(reason):
-        return F.coalesce(F.sum(F.when(F.col("_reason") == reason, F.col("n"))), F.lit(0))
-
-    keyed = F.col("_reason").isNull()
-    return per_key.agg(
+    per_key = (
+        backfill_rows(items)
+        .groupBy(_is_bad().alias("bad"), "ref_no", "source")
+        .agg(F.count("*").alias("n"))
+    )
+    known = existing.select("ref_no").distinct().withColumn("_known", F.lit(True))
+    looked_up = per_key.join(known, "ref_no", "left")
+    stored = ~F.col("bad") & F.col("_known").isNotNull()
+    fresh = ~F.col("bad") & F.col("_known").isNull()
+
+    def total(condition, value="n"):
+        return F.coalesce(F.sum(F.when(condition, F.expr(value))), F.lit(0))
+
+    return looked_up.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        total("bad").alias("skipped_bad"),
-        total("existing").alias("skipped_existing"),
-        F.coalesce(F.sum(F.when(keyed, F.col("n") - 1)), F.lit(0)).alias("skipped_duplicate"),
-        F.count_if(keyed).alias("inserted"),
+        total(F.col("bad")).alias("skipped_bad"),
+        total(stored).alias("skipped_existing"),
+        total(fresh, "n - 1").alias("skipped_duplicate"),
+        F.count_if(fresh).alias("inserted"),
     )

@@ -127,19 +127,17 @@ def first_usable(jobs: DataFrame, strict: bool = True) -> DataFrame:
     is parsed; a body is tokenised only where the JSON is empty and the session is alive. Bodies
     never reach a shuffle, and each task sends one row per job.
     """
-    json_ok = F.transform(
-        "records", lambda r: (r["status"] == "completed") & json_usable(r["json"])
+    ok = F.transform("records", lambda r: (r["status"] == "completed") & json_usable(r["json"]))
+    flagged = jobs.select("job_id", "records", X.once(ok.alias("ok")))
+    first_json = F.array_position("ok", F.lit(True)).cast("int")
+    kept = F.slice(
+        F.arrays_zip(F.col("records").alias("r"), F.col("ok").alias("ok")),
+        F.lit(1), F.when(first_json > 0, first_json).otherwise(1 << 30),
     )
-    first_json = F.array_position(json_ok, F.lit(True)).cast("int")
-    kept = F.when(first_json > 0, F.slice("records", F.lit(1), first_json)).otherwise(
-        F.col("records")
-    )
-    recs = jobs.select("job_id", F.posexplode_outer(kept).alias("record_ord", "_rec")).where(
-        F.col("_rec.status") == "completed"
-    )
-    marked = recs.select(
-        "job_id", "record_ord", F.col("_rec.json").alias("json"), F.col("_rec.html").alias("html"),
-        X.once(json_usable(F.col("_rec.json")).alias("_is_json")),
+    recs = flagged.select("job_id", F.posexplode_outer(kept).alias("record_ord", "_rec"))
+    marked = recs.where(F.col("_rec.r.status") == "completed").select(
+        "job_id", "record_ord", F.col("_rec.ok").alias("_is_json"),
+        F.col("_rec.r.json").alias("json"), F.col("_rec.r.html").alias("html"),
     )
     body = F.when(~F.col("_is_json") & ~S.session_expired(F.col("html")), F.col("html"))
     parsed = D.detail_pairs(marked.withColumn("html", body), strict)

@@ -17,6 +17,23 @@ def _unit(vectors) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
+def _best_k(scores: np.ndarray, items: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best k columns of every row, equal scores by item id.
+
+    Only entries that reach a row's k-th best score are sorted.
+    """
+    width = min(k, scores.shape[1])
+    cut = scores.shape[1] - width
+    bar = np.partition(scores, cut, axis=1)[:, cut][:, None]
+    row, col = np.nonzero(scores >= bar)
+    score, item = scores[row, col], items[row, col]
+    order = np.lexsort((item, -score, row))
+    row, score, item = row[order], score[order], item[order]
+    first = np.searchsorted(row, np.arange(len(scores)))
+    kept = np.arange(len(row)) - first[row] < width
+    return score[kept].reshape(-1, width), item[kept].reshape(-1, width)
+
+
 class _TopK:
     """Running best k items per user: users x k numbers, whatever passes through."""
 
@@ -30,10 +47,7 @@ class _TopK:
         block = self.users @ _unit(vectors).T
         scores = np.hstack([self.scores, block])
         items = np.hstack([self.items, np.broadcast_to(ids, block.shape)])
-        # Best score first; equal scores by item id.
-        order = np.lexsort((items, -scores), axis=1)[:, : self.k]
-        self.scores = np.take_along_axis(scores, order, axis=1)
-        self.items = np.take_along_axis(items, order, axis=1)
+        self.scores, self.items = _best_k(scores, items, self.k)
 
     def rows(self, user_ids) -> pd.DataFrame:
         width = self.items.shape[1]
