@@ -314,7 +314,8 @@ def response_envelope(spark, sf):
 
 
 ENVELOPE_SQL = f"""
-SELECT l.*, (SELECT count(*) FROM ({ITEMS}) WHERE {GOOD}) AS count FROM ({LIVE_SQL}) l"""
+SELECT true AS success, l.*, (SELECT count(*) FROM ({ITEMS}) WHERE {GOOD}) AS count, CAST(NULL AS VARCHAR) AS error
+FROM ({LIVE_SQL}) l"""
 
 
 def sample_rows(spark, sf):

@@ -14,6 +14,7 @@ MAX_VALUE_CHARS = 600
 MAX_EMBED_CHARS = 30000
 EMBED_DIM = 1536
 EMBED_BATCH = 100
+CHALLENGE_ERROR = "CAPTCHA solving failed"
 DEFAULT_PAGE_CAP = 200
 FREE_PAGE_CAP = 100
 HEADER_SCAN_ROWS = 5

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from noticeworks import model as M
+from noticeworks.functions import status as S
 from noticeworks.operators import listing as L
 
 
@@ -13,19 +14,28 @@ def response_items(rows: DataFrame) -> DataFrame:
 
 
 def response_envelope(rows: DataFrame, pages: DataFrame) -> DataFrame:
-    """Per source: item count, pages and live notices, and whether anything was found.
+    """Per source: success, item count, pages, live notices and the error, if any.
 
-    Both inputs are reduced to one row per source before they meet, and the items themselves
-    are exported beside the envelope instead of inside it, whatever their number.
+    A source of which only challenge pages are stored has failed. Both inputs are reduced to one
+    row per source before they meet, and the items themselves are exported beside the envelope
+    instead of inside it, whatever their number.
     """
     counts = rows.groupBy("source").agg(F.count("*").alias("count"))
-    return (
-        L.live_counts(pages).join(counts, "source", "left")
-        .select(
-            F.col("source"),
-            F.coalesce("count", F.lit(0)).alias("count"),
-            "total_pages", "live_tenders",
-        )
+    per_page = pages.select(
+        "source", "page_no",
+        L.page_live_count(F.col("html")).alias("_live"),
+        (~S.challenge_page(F.col("html"))).alias("_readable"),
+    )
+    seen = per_page.groupBy("source").agg(
+        F.max("page_no").alias("total_pages"),
+        F.max_by("_live", "page_no").alias("live_tenders"),
+        F.max("_readable").alias("success"),
+    )
+    return seen.join(counts, "source", "left").select(
+        "success", "source",
+        F.coalesce("count", F.lit(0)).alias("count"),
+        "total_pages", "live_tenders",
+        F.when(~F.col("success"), M.CHALLENGE_ERROR).alias("error"),
     )
 
 

@@ -214,6 +214,16 @@ def test_export_and_page_files(spark, tmp_path):
     assert got["page_no"] == 12 and got["html"] == "<p>\nx</p>"
 
 
+def test_envelope_of_a_challenged_source(spark):
+    pages = spark.createDataFrame(
+        [(1, "a", "u", 1, "<img id=captcha>"), (2, "b", "u", 1, "<p></p>"), (3, "b", "u", 2, "<img id=captcha>")], M.PAGE_SCHEMA
+    )
+    rows = spark.createDataFrame([("b",), ("b",)], "source string")
+    got = {r["source"]: r.asDict() for r in export.response_envelope(rows, pages).collect()}
+    assert (got["a"]["success"], got["a"]["count"], got["a"]["error"]) == (False, 0, "CAPTCHA solving failed")
+    assert (got["b"]["success"], got["b"]["count"], got["b"]["total_pages"], got["b"]["error"]) == (True, 2, 2, None)
+
+
 def test_sample_and_search(spark):
     rows = items(spark, [("t" * 100, "o" * 60, "c", "r")] * 5, "title string, organisation string, closing_date string, ref_no string")
     got = search.sample_rows(rows).collect()
