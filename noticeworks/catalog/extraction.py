@@ -121,8 +121,8 @@ def next_cell(spark, sf):
 
 
 def strict_cells(spark, sf):
-    """Rows of the pages that need the strict tokenizer, next to what flat reading would give."""
-    rows = T.with_rows(K.listing_pages(spark, sf), "listing").where("page_no % 5 = 0")
+    """All table rows with their cell counts; every fifth page needs the strict tokenizer."""
+    rows = T.with_rows(K.listing_pages(spark, sf), "listing")
     return rows.select("page_no", F.posexplode("rows").alias("row_ord", "r")).select(
         "page_no", "row_ord", F.size(T.row_cells(F.col("r"))).alias("n_cells"),
         F.get(T.row_cells(F.col("r")), F.lit(5)).isNotNull().alias("has_sixth"),
@@ -130,8 +130,8 @@ def strict_cells(spark, sf):
 
 
 STRICT_SQL = f"""
-WITH i AS (SELECT *, k % 23 <> 0 AND k % 13 <> 0 AND k % 17 <> 0 AS nested FROM ({ITEMS}) WHERE page_no % 5 = 0),
-r AS (SELECT page_no, k, 0 AS sub, CASE WHEN k % 23 = 0 THEN 5 WHEN k % 17 = 0 THEN 4 WHEN k % 13 = 0 THEN 5 ELSE 7 END AS n FROM i
+WITH i AS (SELECT *, page_no % 5 = 0 AND k % 23 <> 0 AND k % 13 <> 0 AND k % 17 <> 0 AS nested FROM ({ITEMS})),
+r AS (SELECT page_no, k, 0 AS sub, CASE WHEN k % 23 = 0 THEN 5 WHEN k % 17 = 0 THEN 4 WHEN k % 13 = 0 THEN 5 WHEN nested THEN 7 ELSE 6 END AS n FROM i
   UNION ALL SELECT page_no, k, 1, 1 FROM i WHERE nested)
 SELECT page_no, CAST(row_number() OVER (PARTITION BY page_no ORDER BY k, sub) AS INTEGER) AS row_ord,
   CAST(n AS INTEGER) AS n_cells, n > 5 AS has_sixth FROM r"""

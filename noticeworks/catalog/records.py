@@ -223,14 +223,14 @@ def url_coverage(spark, sf):
 
 
 def detail_merge(spark, sf):
-    """Order items with details for some links; a third of all rows has no link at all."""
+    """Order items with details for some links: a third of all rows has no link, a third shares one."""
     k = F.col("k")
     items = K.order_items(spark, sf).select(
         k, F.lit("eprocure").alias("source"), "title", "ref_no",
-        F.when(k % 3 != 0, F.concat(F.lit("/x/"), k % 500)).alias("url"),
+        F.when(k % 3 == 1, "/x/2").when(k % 3 == 2, F.concat(F.lit("/x/"), k)).alias("url"),
         F.when(k % 2 == 0, "old type").alias("tender_type"),
     )
-    detail = K.part_details(spark, sf).where("k < 400").select(
+    detail = K.part_details(spark, sf).select(
         F.concat(F.lit("/x/"), k).alias("url"),
         F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, "").otherwise(F.col("tender_type")).alias("tender_type"),
         F.col("location"),
@@ -239,9 +239,9 @@ def detail_merge(spark, sf):
 
 
 DETAIL_MERGE_SQL = f"""
-WITH i AS (SELECT *, CASE WHEN k % 3 <> 0 THEN '/x/' || k % 500 END AS u FROM ({ITEMS})),
+WITH i AS (SELECT *, CASE k % 3 WHEN 1 THEN '/x/2' WHEN 2 THEN '/x/' || k END AS u FROM ({ITEMS})),
 d AS (SELECT '/x/' || p_partkey AS u, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE p_type END AS t, n_name
-  FROM part JOIN nation ON p_partkey % 25 = n_nationkey WHERE p_partkey < 400)
+  FROM part JOIN nation ON p_partkey % 25 = n_nationkey)
 SELECT k, 'eprocure' AS source, title, ref_no, i.u AS url,
   coalesce(t, CASE WHEN k % 2 = 0 THEN 'old type' END) AS tender_type, n_name AS location, d.u IS NOT NULL AS detail_merged
 FROM i LEFT JOIN d ON i.u = d.u"""

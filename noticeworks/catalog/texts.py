@@ -168,19 +168,19 @@ def embed_batches(spark, sf):
 
 
 def match_topk(spark, sf):
-    """Every vector as a user, matched with the vectors of other labels."""
+    """Every vector as a user, matched with all vectors, its own included."""
     e = K.table(spark, sf, "embeddings")
-    users = e.where("label = 0").select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vector"))
-    items = e.where("label <> 0").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    users = e.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("vector"))
+    items = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
     return match.match_topk(users, items, k=5).select(
         "user_id", "item_id", F.round("score", 4).alias("score"), "rank"
     )
 
 
 MATCH_SQL = """
-WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (SELECT u.vec_id AS user_id, i.vec_id AS item_id, list_cosine_similarity(u.v, i.v) AS score
-  FROM e u JOIN e i ON u.label = 0 AND i.label <> 0)
+  FROM e u, e i)
 SELECT user_id, item_id, round(score, 4) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id
   ORDER BY score DESC, item_id) AS rank FROM s) WHERE rank <= 5"""
 

@@ -5,9 +5,6 @@ from __future__ import annotations
 from html import escape
 from html.parser import HTMLParser
 
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
-
-
 class _TableReader(HTMLParser):
     """Collects the rows below selected tables, each with all its descendant cells."""
 
@@ -52,8 +49,7 @@ class _TableReader(HTMLParser):
                 cell = table["cell"]
                 if cell is not None and cell["link"] is None:
                     cell["link"] = attrs.get("href") or ""
-        if tag not in _VOID:
-            self._break_nodes()
+        self._break_nodes()
 
     def handle_endtag(self, tag):
         if self.open:

@@ -7,8 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 # Upper bound for the user matrix that every task holds: rows x dimensions of float64.
-MAX_MATRIX_BYTES = 256 * 1024 * 1024
-_BLOCK_ROWS = 50_000
+MAX_MATRIX_BYTES = 64 * 1024 * 1024
+# Upper bound for the scores that a task holds at a time.
+_SCORE_BYTES = 32 * 1024 * 1024
+_BLOCK_ROWS = 16_384
 
 
 def _unit(vectors) -> np.ndarray:
@@ -58,7 +60,9 @@ class _TopK:
         })
 
 
-def _chunks(frame: pd.DataFrame, size: int = 2048):
+def _chunks(frame: pd.DataFrame, n_users: int):
+    """Parts of a frame whose scores against all users stay within the bound."""
+    size = max(1, _SCORE_BYTES // (8 * max(n_users, 1)))
     for start in range(0, len(frame), size):
         yield frame.iloc[start:start + size]
 
@@ -105,7 +109,7 @@ def _against_broadcast(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
         user_ids, matrix = shared.value
         top = _TopK(matrix, k)
         for frame in frames:
-            for part in _chunks(frame):
+            for part in _chunks(frame, len(user_ids)):
                 top.add(part["item_id"].to_numpy(), part["vector"])
         yield top.rows(user_ids)
 
@@ -138,7 +142,7 @@ def _by_blocks(
                 {"user_id": "int64", "item_id": "int64", "score": "float64"}
             )
         top = _TopK(_unit(u["vector"]), k)
-        for part in _chunks(i):
+        for part in _chunks(i, len(u)):
             top.add(part["item_id"].to_numpy(), part["vector"])
         return top.rows(u["user_id"])
 

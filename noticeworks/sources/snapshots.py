@@ -1,6 +1,6 @@
 """Snapshots of runs: all item rows plus one header row per run.
 
-A snapshot has no upper size, so its items are stored as rows (partitioned by run date and run),
+A snapshot has no upper size, so its items are stored as rows (one folder per run),
 not as one array. ``payload_chunks`` and ``unpack`` convert to and from the array form, with one
 array per listing page, which bounds each array by what a page holds.
 """

@@ -46,8 +46,12 @@ class NoticeTable:
         versions = self._versions()
         if not versions:
             return None
-        rows = self.spark.read.text(f"{self.path}/{_POINTER}/{versions[-1]}", wholetext=True).head()
-        return json.loads(rows[0])
+        jvm, fs = self._fs()
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_POINTER}/{versions[-1]}"))
+        try:
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _save(self, state: dict) -> None:
         """Write the pointer beside its place, then rename; a concurrent writer makes this fail."""

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +170,27 @@ def test_cells_and_neighbours(pages):
 def test_real_pages_have_no_tables(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert T.with_rows(df, "listing", strict=False).where(F.size("rows") > 0).count() == 0
+
+
+def test_both_tokenizers_agree_on_random_pages(spark):
+    """A script in a last extra row sends the same page down the strict path."""
+    rng = random.Random(7)
+    bits = ["supply", " ", "\n", "<b>", "</b>", "<br>", "<a href='/x?a=1&amp;b=2'>", "</a>", "&amp;", "&nbsp;", "9", ".", "₹",
+            "<img src=x>", "&lt;", "é", " [ref] ", "<!-- note -->", "<A HREF=http://h/1>"]
+
+    def cell():
+        end = rng.choice(["</td>", "</TD>", "", "</td >"])
+        cls = rng.choice(["", " class=td_caption", " class='a td_caption b'", ' CLASS="td_field"'])
+        return f"<td{cls}>" + "".join(rng.choice(bits) for _ in range(rng.randrange(8))) + end
+
+    pages = []
+    for i in range(120):
+        rows = "".join("<tr>" + "".join(cell() for _ in range(rng.randrange(7))) + rng.choice(["</tr>", ""]) for _ in range(rng.randrange(6)))
+        pages.append((i, rows))
+    df = spark.createDataFrame(pages, "page_id int, rows string")
+    body = lambda extra: F.concat(F.lit('<table class="tablebg" id="table">'), "rows", F.lit(extra + "</table>"))
+    for kind in ("listing", "detail"):
+        native = T.cells(df.select("page_id", body("<tr><td>x</td></tr>").alias("html")), kind, strict=False)
+        strict = T.cells(df.select("page_id", body("<tr><td>x<script></script></td></tr>").alias("html")), kind)
+        key = lambda r: (r["page_id"], r["row_ord"], r["cell_ord"])
+        assert sorted(native.collect(), key=key) == sorted(strict.collect(), key=key)
