@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticeworks.session import shared_dir
@@ -46,3 +46,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ordered_sums(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
+    """Adds the sum of ``amount`` over all rows before each row in ``order``.
+
+    Rows are dealt into ranges of the order; sums run inside each range and start at what the
+    ranges before it hold. The table of range totals has as many rows as there are partitions.
+    """
+    keys = [f"order_key_{i}" for i in range(len(order))]
+    keyed = df.select("*", *[c.alias(k) for c, k in zip(order, keys)], amount.cast("long").alias("order_amount"))
+    ranged = stored(keyed.repartitionByRange(*keys).withColumn("order_range", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("order_range").agg(F.sum("order_amount").alias("range_total"))
+    before = Window.orderBy("order_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        F.col("order_range").alias("start_range"), F.coalesce(F.sum("range_total").over(before), F.lit(0)).alias("range_start"))
+    inside = Window.partitionBy("order_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    both = ranged.join(starts, F.col("order_range") == F.col("start_range"))
+    total = F.col("range_start") + F.coalesce(F.sum("order_amount").over(inside), F.lit(0))
+    return both.select(*df.columns, total.alias(name))
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds the place of each row in ``order``, from 0."""
+    return ordered_sums(df, order, F.lit(1), name)

@@ -3,18 +3,67 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noticeworks.llm import divergence
+from noticeworks.llm import divergence, linedup, mix, packing, tokenfiles
 from noticeworks.llm.common import read
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.line_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op1_mix": op1_mix,
+    "op2_line_dedup": op2_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op8_pack": op8_pack,
+    "op10_token_files": op10_token_files,
 }
 
-SQL: dict[str, str] = {}
+_BLANK = r"[\x20\x09-\x0D]+"
+_TRIM = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
+        split AS (SELECT rid, source, unnest(string_split(text, chr(10))) AS line,
+                         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d WHERE text IS NOT NULL),
+        l AS (SELECT *, trim(line, {_TRIM}) AS k FROM split),
+        held AS (SELECT source, k, count(DISTINCT rid) AS pages FROM l WHERE k <> '' GROUP BY source, k),
+        hosts AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
+        bad AS (SELECT held.source, k FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+                WHERE 100 * held.pages > {linedup.PERCENT} * hosts.pages AND held.pages >= {linedup.MIN_PAGES}),
+        marked AS (SELECT l.*, bad.k IS NOT NULL AS dropped FROM l
+                   LEFT JOIN bad ON l.source IS NOT DISTINCT FROM bad.source AND l.k = bad.k),
+        done AS (SELECT rid, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+                        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text
+                 FROM marked GROUP BY rid)
+        SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+               CASE WHEN d.text IS NOT NULL THEN md5(done.text) END AS text_md5
+        FROM d LEFT JOIN done USING (rid)""",
+}
