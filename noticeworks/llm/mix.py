@@ -63,9 +63,10 @@ def _pivot(key, table):
     """Round the fractions x of one block; at most one stays fractional."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     part, order = table.column("part"), [("size", "descending"), ("doc_id", "ascending"), ("tie", "ascending")]
-    table = table.take(pa.compute.sort_indices(table.select(["size", "doc_id", "tie"]), order))
+    table = table.take(pc.sort_indices(table.select(["size", "doc_id", "tie"]), order))
     x, w = table.column("x").to_numpy().copy(), table.column("size").to_numpy().astype(float)
     draws = np.random.default_rng([SEED, *(k.as_py() for k in key), len(part)]).random(len(x))
     held = -1
