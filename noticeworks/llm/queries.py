@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import divergence, linedup, mix, packing, tokenfiles
+from noticeworks.llm import divergence, linedup, mix, packing, partenum, tokenfiles
 from noticeworks.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_pack": op8_pack,
     "op10_token_files": op10_token_files,
 }
