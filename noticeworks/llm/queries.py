@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import divergence, linedup, mix, packing, partenum, tokenfiles
+import corpus_pipeline
+from noticeworks.llm import classify, divergence, linedup, mix, packing, partenum, tokenfiles
 from noticeworks.llm.common import read
 
 
@@ -24,6 +25,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -44,10 +49,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_pack": op8_pack,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 _BLANK = r"[\x20\x09-\x0D]+"
