@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from noticeworks.llm import classify, divergence, linedup, mix, packing, partenum, tokenfiles
+from noticeworks.llm import classify, divergence, licenses, linedup, mix, packing, partenum, tokenfiles
 from noticeworks.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).withColumn("spans", licenses.span_text("spans"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op7_jaccard_join": op7_jaccard_join,
