@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from noticeworks.llm import classify, divergence, licenses, linedup, mix, packing, partenum, tokenfiles
+from noticeworks.llm import classify, divergence, licenses, linedup, lm, mix, packing, partenum, tokenfiles, topk
 from noticeworks.llm.common import read
 
 
@@ -38,6 +38,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,10 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
@@ -56,8 +64,10 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
+    "op6_top_k": op6_top_k,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_pack": op8_pack,
+    "op9_lm_scores": op9_lm_scores,
     "op10_token_files": op10_token_files,
     "pipeline": corpus_pipeline.run,
 }
@@ -66,6 +76,14 @@ _BLANK = r"[\x20\x09-\x0D]+"
 _TRIM = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 
 SQL: dict[str, str] = {
+    "op6_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::DOUBLE) AS x FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+              FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
     "op2_line_dedup": f"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
         split AS (SELECT rid, source, unnest(string_split(text, chr(10))) AS line,
