@@ -414,9 +414,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = stored(classes_of(columns(docs, "doc_id", "text")), "near")
     one = found.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "tie")).alias("key"))
     times = found.groupBy("doc_id", "tie").count()
-    keys = one.select("key.*").join(
-        times, one["key.doc_id"].eqNullSafe(times["doc_id"]) & (one["key.tie"] == times["tie"])).select(
-        F.col("key.doc_id").alias("key_id"), F.col("key.tie").alias("key_tie"), "count")
+    chosen = one.select(F.col("key.doc_id").alias("key_id"), F.col("key.tie").alias("key_tie"))
+    keys = chosen.join(times, F.col("key_id").eqNullSafe(F.col("doc_id")) & (F.col("key_tie") == F.col("tie"))).select(
+        "key_id", "key_tie", "count")
     plain = numbered(docs)
     text = F.coalesce(place_of(docs, "text"), F.lit(""))
     tied = plain.withColumn("tie_of_row", F.xxhash64(text))
