@@ -26,7 +26,7 @@ from noticeworks.session import shared_dir
 
 END = 0                       # id that ends a document
 FRAME_IDS = 1 << 16           # a frame is closed beyond that many ids; documents are not cut
-FILE_CHARS = 16_000_000       # characters of text per file, about
+FILE_CHARS = 32_000_000       # characters of text per file, about
 # Fixed values of the public file format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 

@@ -8,8 +8,9 @@ goes straight to the vocabulary's model, any other piece through the whole token
 from __future__ import annotations
 
 import re
+import struct
 
-CACHED_PIECES = 400_000  # a task forgets its pieces beyond that many
+CACHED_PIECES = 800_000  # a task forgets its pieces beyond that many
 
 # Letters whose lower case and normal form are simple, and marks that no special token holds.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -52,12 +53,13 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _model(self, part: str) -> list[int]:
-        mapped = part.encode().decode("latin-1").translate(self.letters)
+        if part.isascii():  # of these marks and letters only the space has another letter
+            mapped = self.letters[32] + part[1:] if part[0] == " " else part
+        else:
+            mapped = part.encode().decode("latin-1").translate(self.letters)
         return [t.id for t in self.model.tokenize(mapped)]
 
     def _piece(self, text: str) -> bytes:
-        import numpy as np
-
         space = text[:1] == " "
         found = _WORD.fullmatch(text, 1 if space else 0)
         if not found:
@@ -69,7 +71,8 @@ class Encoder:
             parts[0] = text[:1] + parts[0] if space else parts[0]
         else:
             parts = [p.lower() for p in parts]
-        return np.array([i for p in parts for i in self._model(p)], "<u2").tobytes()
+        ids = [i for p in parts for i in self._model(p)]
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def _lines(self, text: str) -> bytes:
         """A piece with line ends between other characters: every line end is a token of its own."""
@@ -99,7 +102,8 @@ class Encoder:
             return b"".join([cache.get(p) or self.known(p, cache) for p in pieces])
         pieces = text.split(" ")
         # A cut before a space holds only between two other characters.
-        if "" in pieces or any(p[0].isspace() or p[-1].isspace() for p in pieces):
+        if "  " in text or " " in (text[:1], text[-1:]) or any(
+                " " in text[max(0, m.start() - 1):m.end() + 1] for m in _OTHER.finditer(text)):
             pieces = self._joined(pieces)
         cache = self.cache
         out = [self.known(pieces[0], self.bare)] if pieces[0] else []
@@ -119,3 +123,4 @@ class Encoder:
 
 
 _ODD = re.compile("[\x1c-\x1f]")
+_OTHER = re.compile(r"[^\S ]")  # white space but the space
