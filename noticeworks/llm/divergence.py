@@ -159,7 +159,7 @@ def judged(docs: DataFrame, refs: DataFrame, *keep: Column, guard_words: int = G
         F.when(long_enough, distance(F.col("class_shares"), F.col("ref_class_shares"))).alias("class_distance"),
         F.when(long_enough, distance(F.col("word_shares"), F.col("ref_word_shares"))).alias("word_distance"),
     )
-    slack = LENGTH_SLACK / F.sqrt(F.col("n_words").cast("double"))
+    slack = LENGTH_SLACK / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
     c, w = F.col("class_distance"), F.col("word_distance")
     diverges = (c > CHAR_LIMIT) | (w > F.lit(WORD_LIMIT) + slack) | ((c > F.lit(PAIR_LIMITS[0]) + slack) & (w > PAIR_LIMITS[1]))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
