@@ -30,6 +30,20 @@ CACHED_WORDS = 500_000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+def _small(numbers) -> bytes:
+    """Numbers that are mostly small, compressed before they are shuffled."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+
+
+def _numbers(small: bytes, kind):
+    import numpy as np
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(small), kind)
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """block, doc_ids, lengths, word hashes and places in them, n_words; words in small letters."""
     schema = f"block long, doc_ids array<{docs.schema['doc_id'].dataType.simpleString()}>, lengths binary, words binary, places binary, n_words long"
@@ -54,7 +68,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([
                 pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)),
                 pa.array([np.array([len(t) for t in texts], np.int32).tobytes()], pa.binary()),
-                pa.array([words.tobytes()], pa.binary()), pa.array([places.astype(np.int32).tobytes()], pa.binary()),
+                pa.array([words.tobytes()], pa.binary()), pa.array([_small(places.astype(np.int32))], pa.binary()),
                 pa.array([n], pa.int64())], ["block", "doc_ids", "lengths", "words", "places", "n_words"])
 
         for batch in batches:
@@ -94,7 +108,7 @@ def _asked(block: dict, order: int, buckets: int):
     import numpy as np
 
     lengths = np.frombuffer(block["lengths"], np.int32)
-    words = np.frombuffer(block["words"], np.uint64)[np.frombuffer(block["places"], np.int32)]
+    words = np.frombuffer(block["words"], np.uint64)[_numbers(block["places"], np.int32)]
     grams = _grams(words, lengths, order)
     distinct, count = np.unique(np.concatenate(grams), return_counts=True)
     if len(distinct) and distinct[0] == 0:
@@ -118,7 +132,8 @@ def _requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 spans = list(zip(cuts[:-1], cuts[1:]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(buckets, dtype=np.int32)), pa.array([block["block"]] * buckets, pa.int64()),
-                    *[pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (low, high, count.astype(np.uint32))],
+                    *[pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (low, high)],
+                    pa.array([_small(count[a:b].astype(np.uint32)) for a, b in spans], pa.binary()),
                 ], ["bucket", "block", "low", "high", "counts"])
 
     return blocks.mapInArrow(task, "bucket int, block long, low binary, high binary, counts binary")
@@ -132,14 +147,15 @@ def _answers(requests: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         read = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-        low, high, counts = read("low", np.uint32), read("high", np.uint16), read("counts", np.uint32)
+        low, high = read("low", np.uint32), read("high", np.uint16)
+        counts = [_numbers(x, np.uint32) for x in table.column("counts").to_pylist()]
         grams = np.concatenate(low).astype(np.uint64) | np.concatenate(high).astype(np.uint64) << np.uint64(32)
         _, place = np.unique(grams, return_inverse=True)
         totals = np.bincount(place, weights=np.concatenate(counts).astype(float)).astype(np.uint64)
         cuts = np.cumsum([0, *map(len, low)])
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
-            "totals": pa.array([totals[place[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
+            "totals": pa.array([_small(totals[place[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
 
     return requests.groupBy("bucket").applyInArrow(bucket, "block long, bucket int, totals binary")
 
@@ -163,7 +179,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -
         block = left.to_pylist()[0]
         lengths, grams, asked, _, _, _ = _asked(block, order, buckets)
         rows = sorted(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist()))
-        counts = np.concatenate([np.frombuffer(t, np.uint64) for _, t in rows]).astype(float)
+        counts = np.concatenate([_numbers(t, np.uint64) for _, t in rows]).astype(float)
         order_ = np.argsort(asked)
         asked, counts = asked[order_], counts[order_]
 
