@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from noticeworks.llm.common import columns
-from noticeworks.llm.tokens import Encoder
+from noticeworks.llm.tokens import encoder
 
 LENGTH = 2048           # tokens of a sequence
 SEGMENTS = 256          # pieces in a sequence at most
@@ -132,7 +132,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, segments: int =
         import numpy as np
         import pyarrow as pa
 
-        encoder, context = Encoder(vocabulary, spaced=False), TaskContext.get()
+        tokens, context = encoder(vocabulary, False), TaskContext.get()
         first = context.partitionId() << 32
         ids: dict[int, tuple] = {}
         rows: list[tuple] = []
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, segments: int =
             id_type = batch.schema.field("doc_id").type
             prompts = batch.column(prompt).to_pylist() if prompt else [0] * batch.num_rows
             for doc_id, text, p in zip(batch.column("doc_id").to_pylist(), batch.column("text"), prompts):
-                got = np.frombuffer(encoder.encode(text.as_py() or ""), "<u2")
+                got = np.frombuffer(tokens.encode(text.as_py() or ""), "<u2")
                 ids[counts[0]] = (doc_id, np.append(got, np.uint16(END)))
                 packer.add(counts[0], len(got) + 1, p or 0)
                 counts[0] += 1

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticeworks.llm.common import columns, stored
-from noticeworks.llm.tokens import Encoder
+from noticeworks.llm.tokens import encoder
 from noticeworks.session import shared_dir
 
 END = 0                       # id that ends a document
@@ -136,7 +136,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str) -> DataFrame:
         number = context.partitionId()
         final = f"{base}/part-{number:06d}.ids.zst"
         draft = f"{base}/_{number:06d}-{context.taskAttemptId()}.part"
-        encoder, total = Encoder(vocabulary, spaced=True), 0
+        tokens, total = encoder(vocabulary, True), 0
         end = np.array([END], "<u2").tobytes()
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -144,7 +144,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str) -> DataFrame:
                     where.create_dir(base, recursive=True)
                     stream = where.open_output_stream(draft)
                     writer = Writer(stream)
-                ids = encoder.encode(text.as_py() or "") + end
+                ids = tokens.encode(text.as_py() or "") + end
                 writer.add(doc_id, ids)
                 total += len(ids) // 2
         if writer is not None:

@@ -1,16 +1,18 @@
 """Token ids of whole texts by the tokenizers library, with a cache of the pieces texts repeat.
 
 Both public vocabularies used here cut a text at white space before they look for tokens, so the
-ids of a text are those of its pieces in a row. A piece is encoded once per task; a plain word
-goes straight to the vocabulary's model, any other piece through the whole tokenizer.
+ids of a text are those of its pieces in a row. A piece is encoded once per Python worker, whose
+tasks share the pieces they know; a plain word goes straight to the vocabulary's model, any other
+piece through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 
-CACHED_PIECES = 800_000  # a task forgets its pieces beyond that many
+CACHED_PIECES = 800_000  # a worker forgets its pieces beyond that many
 
 # Letters whose lower case and normal form are simple, and marks that no special token holds.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -122,5 +124,11 @@ class Encoder:
         return [*out, " ".join(open_)]
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(path: str, spaced: bool) -> Encoder:
+    """The encoder of this worker; the next task finds the vocabulary loaded and its pieces known."""
+    return Encoder(path, spaced)
+
+
 _ODD = re.compile("[\x1c-\x1f]")
 _OTHER = re.compile(r"[^\S ]")  # white space but the space
