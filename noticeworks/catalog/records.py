@@ -101,7 +101,7 @@ SELECT p_partkey AS k, 'T-' || p_partkey AS tender_id, p_type AS tender_type,
   n_name AS location, lpad(CAST(p_partkey AS VARCHAR), 6, '1') AS pincode,
   CASE WHEN p_partkey % 9 <> 0 THEN round(p_retailprice * 1000) END AS tender_value,
   CASE WHEN p_partkey % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(p_size * 1000 AS DOUBLE) END AS emd_amount,
-  p_size AS period_of_work_days, CASE WHEN p_partkey % 6 <> 0 THEN 1200 END AS bid_validity_days,
+  CAST(p_size AS BIGINT) AS period_of_work_days, CASE WHEN p_partkey % 6 <> 0 THEN CAST(1200 AS BIGINT) END AS bid_validity_days,
   CAST(NULL AS VARCHAR) AS pre_bid_meeting_date,
   'Officer ' || p_partkey % 25 AS inviting_authority_name,
   'Block ' || p_partkey % 10 || ', ' || n_name AS inviting_authority_address

@@ -203,7 +203,7 @@ SQL = {
     "amount_parse": """
 SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN floor(o_totalprice) WHEN 1 THEN floor(o_totalprice) + 0.5
   WHEN 5 THEN -100 * floor(o_totalprice) END AS amount FROM orders""",
-    "int_parse": "SELECT p_partkey AS k, CASE WHEN p_partkey % 4 < 2 THEN p_size END AS days FROM part",
+    "int_parse": "SELECT p_partkey AS k, CASE WHEN p_partkey % 4 < 2 THEN CAST(p_size AS BIGINT) WHEN p_partkey % 4 = 3 THEN 99999999999 END AS days FROM part",
     "date_parse": DATE_SQL,
     "job_status_class": JOB_CLASS_SQL,
     "tender_text": TEXT_SQL,
@@ -216,6 +216,6 @@ FROM (SELECT doc_id, regexp_matches(text, '[\\p{L}\\p{N}]') AS w FROM documents)
     "embed_batches": """
 SELECT doc_id, CASE WHEN b THEN NULL ELSE length(t) END AS chars, CASE WHEN b THEN NULL ELSE length(t) - length(replace(t, ' ', '')) END AS blanks,
   CASE WHEN b THEN NULL ELSE length(t) - length(replace(t, 'e', '')) END AS es
-FROM (SELECT doc_id, substr(text, 1, 30000) AS t, trim(text) = '' AS b FROM documents)""",
+FROM (SELECT doc_id, text AS t, trim(text) = '' AS b FROM documents)""",
     "match_topk": MATCH_SQL,
 }

@@ -403,7 +403,7 @@ def scheduled_run(spark, sf):
     for _ in range(2):
         counters = runs.scheduled_run(
             spark, "r1", RUN_AT, K.listing_jobs(spark, sf), K.listing_pages(spark, sf), detail,
-            store, kept, page_cap=1_000_000_000,
+            store, kept,
         )
     state = runs.status(store).drop("last_updated_at", "cloudflare_enabled")
     live = kept.latest().select("live_tenders", F.col("count").alias("snapshot_count"))
@@ -421,7 +421,7 @@ s AS (SELECT source, count(*) AS scraped, count(*) FILTER (has_url) AS with_url,
   FROM a GROUP BY source),
 n AS (SELECT source, ref_no, bool_or(det) AS det FROM a GROUP BY source, ref_no)
 SELECT s.*, (SELECT count(*) FROM n) AS tender_count, (SELECT count(*) FILTER (det) FROM n) AS detail_scraped_count,
-  (SELECT count(*) FILTER (NOT det) FROM n) AS pending_detail_count, (SELECT count(*) - 100 FROM n) AS embedding_pending_count,
+  (SELECT count(*) FILTER (NOT det) FROM n) AS pending_detail_count, CAST(0 AS BIGINT) AS embedding_pending_count,
   CAST((SELECT max(o_orderkey) + 1 FROM orders) AS INTEGER) AS live_tenders, (SELECT count(*) FROM a) AS snapshot_count
 FROM s"""
 
@@ -433,7 +433,7 @@ def listing_run(spark, sf):
 
 
 LISTING_RUN_SQL = f"""
-WITH i AS (SELECT * FROM ({ITEMS}) WHERE page_no <= 200)
+WITH i AS (SELECT * FROM ({ITEMS}))
 SELECT 'eprocure.gov.in/AdvancedSearch' AS source, (SELECT count(*) FROM i WHERE {GOOD}) AS count,
   (SELECT max(page_no) FROM i) AS total_pages,
   CAST((SELECT CASE WHEN k % 23 = 0 THEN 1 ELSE k + 1 END FROM i WHERE page_no = (SELECT max(page_no) FROM i)

@@ -95,9 +95,9 @@ def amount(c: Column) -> Column:
 
 
 def first_int(c: Column) -> Column:
-    """The first run of digits as an int."""
+    """The first run of digits as a bigint, null beyond its range."""
     digits = F.regexp_extract(c, r"(\d+)", 1)
-    return F.when(digits != "", digits.try_cast("int"))
+    return F.when(digits != "", digits.try_cast("bigint"))
 
 
 _DATE_SHAPE = (

@@ -116,7 +116,7 @@ ALWAYS_WRITTEN = ["title", "url", "is_active", "detail_scraped", "raw_data"]
 def detail_type(name: str) -> str:
     if name in AMOUNT_FIELDS:
         return "double"
-    return "int" if name in DAY_FIELDS else "string"
+    return "bigint" if name in DAY_FIELDS else "string"
 
 
 # --- Schemas (DDL) -------------------------------------------------------------------------------

@@ -17,7 +17,7 @@ def call_budget(
 ) -> DataFrame:
     """Adds, per call, the calls of its key in the trailing window and whether that is too many.
 
-    A call exactly one window old still counts. Equal time stamps are counted together first.
+    A call exactly one window old still counts. A call without a time stamp has no count (null). Equal time stamps are counted together first.
     Then every (key, time slot) is a window group of its own; the slot before it is copied in
     as context. A busy key therefore spreads over as many tasks as it has slots, and a group
     never holds more than two slots' worth of distinct time stamps.
@@ -40,6 +40,7 @@ def call_budget(
     joined = stamped.join(
         counted,
         stamped[key].eqNullSafe(counted["_key"]) & (stamped["_us"] == counted["_stamp"]),
+        "left",
     )
     return joined.select(
         *log.columns,

@@ -21,7 +21,7 @@ def detail_json(c: Column) -> Column:
         elif name in M.AMOUNT_FIELDS:
             value = X.amount(raw[name])
         elif name in M.DAY_FIELDS:
-            value = raw[name].try_cast("double").try_cast("int")
+            value = raw[name].try_cast("double").try_cast("bigint")
         else:
             value = raw[name]
         fields.append(value.alias(name))

@@ -96,9 +96,9 @@ def extract_listing(
     return rows.select("source", *M.LISTING_FIELDS, order.alias("ingest_ord"))
 
 
-def cap_pages(pages: DataFrame, page_cap: int = M.DEFAULT_PAGE_CAP) -> DataFrame:
-    """Pages up to the cap; page numbers start at 1."""
-    return pages.where(F.col("page_no") <= page_cap)
+def cap_pages(pages: DataFrame, page_cap: int | None = M.DEFAULT_PAGE_CAP) -> DataFrame:
+    """Pages up to the cap, all for None; page numbers start at 1."""
+    return pages if page_cap is None else pages.where(F.col("page_no") <= page_cap)
 
 
 def without_challenges(pages: DataFrame) -> DataFrame:

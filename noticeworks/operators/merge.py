@@ -28,7 +28,8 @@ def _spread_key(key: Column, row_hash: Column) -> Column:
 def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
     """Detail fields into listing rows by URL; a non-null detail value wins.
 
-    ``detail`` has one row per URL. Rows without a URL get spread keys, and a URL that many
+    Of several detail rows of one URL the last by ``ingest_ord`` counts; without that column one
+    of them, chosen by its values alone. Rows without a URL get spread keys, and a URL that many
     listing rows share is split by the skew join, so no task takes more than its share.
     ``detail_merged`` tells the rows that got any field.
     """
@@ -37,7 +38,14 @@ def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
     left = listing.withColumn(
         "_key", _spread_key(F.col("url"), F.xxhash64(*listing.columns))
     )
-    right = detail.select(F.col("url").alias("_url"), *[F.col(c).alias(f"_d_{c}") for c in fields])
+    last = F.col("ingest_ord") if "ingest_ord" in detail.columns else F.xxhash64(*fields)
+    right = (
+        detail.where(F.col("url") != "")
+        # The second key keeps the join's own exchange, which is what AQE can split at a hot URL.
+        .groupBy(F.col("url").alias("_url"), F.xxhash64("url").alias("_h"))
+        .agg(F.max_by(F.struct(*[F.col(c).alias(f"_d_{c}") for c in fields]), last).alias("_d"))
+        .select("_url", "_d.*")
+    )
     joined = left.join(right, left["_key"] == right["_url"], "left")
     kept = [c for c in listing.columns if c not in fields]
     return joined.select(

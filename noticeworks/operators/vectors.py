@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from noticeworks import model as M
-from noticeworks.functions import compose as C, text as X
+from noticeworks.functions import text as X
 
 
 def hash_vectors(df: DataFrame, text: str = "text", dim: int = M.EMBED_DIM, out: str = "embedding") -> DataFrame:
@@ -20,7 +20,7 @@ def hash_vectors(df: DataFrame, text: str = "text", dim: int = M.EMBED_DIM, out:
     A text without any word has no vector.
     """
     words = F.filter(
-        F.split(F.lower(C.embed_input(F.col(text))), r"[^\p{L}\p{N}]+"), lambda w: w != ""
+        F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != ""
     )
     counted = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim).transform(
         df.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
@@ -69,16 +69,20 @@ def embed(
                 vectors[i] = None if vector is None else np.asarray(vector, dtype=np.float32)
         return pd.Series(vectors, index=texts.index, dtype=object)
 
-    ready = F.when(X.strip(F.col(text)) != "", C.embed_input(F.col(text)))
+    ready = F.when(X.strip(F.col(text)) != "", F.col(text))
     return df.withColumn(out, run(ready))
 
 
-def pending(notices: DataFrame, n: int = M.EMBED_BATCH, id_col: str = "id") -> DataFrame:
+def pending(notices: DataFrame, n: int | None = M.EMBED_BATCH, id_col: str = "id") -> DataFrame:
     """Up to ``n`` notices without a vector: detailed ones, or any only if none is detailed.
 
+    All notices without a vector if ``n`` is None.
+
     One top-n ordered by (not detailed, id) holds the answer: if any detailed notice is pending,
     the top-n starts with detailed ones, and the others in it are dropped.
     """
+    if n is None:
+        return notices.where(F.col("embedding").isNull())
     tier = F.when(F.col("detail_scraped"), 0).otherwise(1)
     top = (
         notices.where(F.col("embedding").isNull()).withColumn("_tier", tier)

@@ -46,8 +46,8 @@ def scheduled_run(
     detail: DataFrame | None,
     table: NoticeTable,
     snapshots: SnapshotStore,
-    page_cap: int = M.DEFAULT_PAGE_CAP,
-    embed_limit: int = M.EMBED_BATCH,
+    page_cap: int | None = None,
+    embed_limit: int | None = None,
     embed=vectors.hash_vectors,
     strict: bool = True,
 ) -> DataFrame:
@@ -66,8 +66,8 @@ def scheduled_run(
     return metrics.run_counters(stored)
 
 
-def embed_pending(table: NoticeTable, limit: int, embed=vectors.hash_vectors, batch=None) -> None:
-    """Vectors for up to ``limit`` pending notices, written back to the table."""
+def embed_pending(table: NoticeTable, limit: int | None = None, embed=vectors.hash_vectors, batch=None) -> None:
+    """Vectors for the pending notices (up to ``limit``, if given), written back to the table."""
     notices = table.read()
     chosen = vectors.pending(
         notices.withColumn("id", F.struct(*M.NOTICE_KEY)), limit
@@ -77,7 +77,7 @@ def embed_pending(table: NoticeTable, limit: int, embed=vectors.hash_vectors, ba
 
 def listing_run(
     run_id: str, run_at, listing_pages: DataFrame, snapshots: SnapshotStore,
-    page_cap: int = M.DEFAULT_PAGE_CAP, strict: bool = True,
+    page_cap: int | None = None, strict: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Extract and snapshot only; returns response items and envelope."""
     live = Observation()

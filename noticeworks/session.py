@@ -53,11 +53,13 @@ def local_session(cpus: int | str = "*", app: str = "noticeworks") -> SparkSessi
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, below the folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset (tests, local
-    runs) a temporary folder takes its place.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a temporary folder
+    takes its place in local mode; a cluster, whose machines do not share one, is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_DIRS:
             _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="noticeworks-")

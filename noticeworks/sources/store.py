@@ -46,26 +46,34 @@ class NoticeTable:
         versions = self._versions()
         if not versions:
             return None
+        return self._at(versions[-1]) | {"version": versions[-1]}
+
+    def _at(self, version: int) -> dict:
         jvm, fs = self._fs()
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_POINTER}/{versions[-1]}"))
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_POINTER}/{version}"))
         try:
             return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _save(self, state: dict) -> None:
-        """Write the pointer beside its place, then rename; a concurrent writer makes this fail."""
+    def _save(self, state: dict, version: int) -> bool:
+        """Write the pointer beside its place, then rename it to its version; false if that is taken.
+
+        A rename that does not replace is one step on HDFS. On stores without one, let a single
+        writer work at a time.
+        """
         jvm, fs = self._fs()
         new_path = jvm.org.apache.hadoop.fs.Path
-        last = self._versions()
-        target = new_path(f"{self.path}/{_POINTER}/{(last[-1] if last else 0) + 1}")
+        target = new_path(f"{self.path}/{_POINTER}/{version}")
         draft = new_path(f"{self.path}/_draft-{uuid.uuid4().hex}")
         out = fs.create(draft)
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
         fs.mkdirs(target.getParent())
         if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError("the notice table was changed by another writer")
+            fs.delete(draft, False)
+            return False
+        return True
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*M.NOTICE_KEY), F.lit(self.buckets)).cast("int")
@@ -80,76 +88,98 @@ class NoticeTable:
         state = self._load()
         return self._read(state["folders"] if state else {})
 
-    def _write(self, rows: DataFrame, batch: str, touched: list[int] | None) -> None:
-        """Write rows by bucket and point the touched buckets to the new folder.
+    def _commit(self, staged: DataFrame, change, batch, stored_only: bool = False) -> None:
+        """Rewrite the buckets of the staged rows with ``change`` and move the pointer.
 
-        The rebalance hint lets AQE split a large bucket over several files and join small ones.
+        Everything is computed from one pinned version. If another writer took the next version
+        in the meantime, the change is computed anew from that writer's state.
         """
-        folder = f"data/{uuid.uuid4().hex}"
-        bucketed = rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
-        bucketed.write.partitionBy("bucket").mode("errorifexists").parquet(f"{self.path}/{folder}")
-        state = self._load() or {"buckets": self.buckets, "folders": {}, "batches": []}
-        for b in touched if touched is not None else self._written(folder):
-            state["folders"][str(b)] = folder
-        state["batches"] = (state["batches"] + [batch])[-1000:]
-        self._save(state)
-
-    def _written(self, folder: str) -> list[int]:
+        wanted = [r[0] for r in staged.select("bucket").distinct().collect()]  # <= buckets
+        while wanted:
+            state = self._load() or {"version": 0, "buckets": self.buckets, "folders": {}}
+            if self._holds(state, batch):
+                return
+            old = {b: f for b, f in state["folders"].items() if int(b) in wanted}
+            touched = [int(b) for b in old] if stored_only else wanted
+            if not touched:
+                return
+            folder = f"data/{uuid.uuid4().hex}"
+            # The rebalance hint lets AQE split a large bucket over several files and join small ones.
+            rows = change(self._read(old), staged.drop("bucket")).withColumn("bucket", self._bucket())
+            rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+            new = {k: v for k, v in state.items() if k != "version"}
+            new["folders"] = state["folders"] | {str(b): folder for b in touched}
+            if isinstance(batch, tuple):
+                new["streams"] = state.get("streams", {}) | {batch[0]: batch[1]}
+            elif batch:
+                new["batches"] = state.get("batches", []) + [batch]
+            if self._save(new, state["version"] + 1):
+                return
+            self._delete(folder)
+
+    @staticmethod
+    def _holds(state: dict | None, batch) -> bool:
+        """Whether the table has the batch: by name, or by the last number of its stream."""
+        if not state or not batch:
+            return False
+        if isinstance(batch, tuple):
+            return batch[1] <= state.get("streams", {}).get(batch[0], -1)
+        return batch in state.get("batches", [])
+
+    def _delete(self, folder: str) -> None:
         jvm, fs = self._fs()
-        names = [s.getPath().getName() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"))]
-        return [int(n.split("=")[1]) for n in names if n.startswith("bucket=")]
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
 
-    def _done(self, batch: str) -> bool:
-        state = self._load()
-        return bool(state) and batch in state["batches"]
+    def clean_up(self, keep: int = 2) -> int:
+        """Delete data folders that none of the last ``keep`` versions uses, and left-over stages.
 
-    def upsert(self, incoming: DataFrame, updated_at, batch: str | None = None) -> None:
+        Run it while nobody writes; readers of the kept versions are not disturbed. Returns the
+        number of data folders that went.
+        """
+        used = {f for v in self._versions()[-keep:] for f in self._at(v)["folders"].values()}
+        jvm, fs = self._fs()
+        data = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data")
+        names = [f"data/{s.getPath().getName()}" for s in fs.listStatus(data)] if fs.exists(data) else []
+        gone = [n for n in names if n not in used]
+        for folder in [*gone, "staging"]:
+            self._delete(folder)
+        return len(gone)
+
+    def upsert(self, incoming: DataFrame, updated_at, batch: str | tuple[str, int] | None = None) -> None:
         """Upsert notice rows (any number per key; the last one by ``ingest_ord`` counts).
 
-        ``batch`` names the write: a batch that is already in the table is skipped, which makes
-        replays harmless. The reduced batch is written once to a staging folder below the table,
+        ``batch`` names the write, by a name or by (stream id, batch number): a batch that is
+        already in the table is skipped, which makes replays harmless. Names are kept for good,
+        of a stream the last number only. The reduced batch is written once to a staging folder below the table,
         since the expensive extraction behind it would otherwise run for the bucket list, too.
         """
-        batch = batch or uuid.uuid4().hex
-        if self._done(batch):
+        if self._holds(self._load(), batch):
             return
-        stage = f"{self.path}/staging/{uuid.uuid4().hex}"
+        stage = f"staging/{uuid.uuid4().hex}"
         latest = merge.latest_per_key(incoming).drop("ingest_ord")
         latest.withColumn("updated_at", F.lit(updated_at).cast("timestamp_ntz")).withColumn(
             "bucket", self._bucket()
-        ).write.parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        touched = [r[0] for r in staged.select("bucket").distinct().collect()]  # <= buckets
-        if not touched:
-            return
-        state = self._load()
-        folders = {b: f for b, f in (state["folders"] if state else {}).items() if int(b) in touched}
-        merged = merge.merge_notices(self._read(folders), staged.drop("bucket"))
-        self._write(merged, batch, touched)
+        ).write.parquet(f"{self.path}/{stage}")
+        self._commit(self.spark.read.parquet(f"{self.path}/{stage}"), merge.merge_notices, batch)
+        self._delete(stage)
 
-    def insert_new(self, rows: DataFrame, updated_at, batch: str | None = None) -> None:
+    def insert_new(self, rows: DataFrame, updated_at, batch: str | tuple[str, int] | None = None) -> None:
         """Insert rows whose keys are not stored; a stored key would be updated, never doubled."""
         self.upsert(rows.withColumn("ingest_ord", F.lit(0)), updated_at, batch)
 
     def set_embeddings(self, vectors: DataFrame, batch: str | None = None) -> None:
         """Write vectors (ref_no, source, embedding) back to their notices; nulls change nothing."""
-        batch = batch or uuid.uuid4().hex
-        if self._done(batch):
+        if self._holds(self._load(), batch):
             return
-        stage = f"{self.path}/staging/{uuid.uuid4().hex}"
+        stage = f"staging/{uuid.uuid4().hex}"
         vectors.where(F.col("embedding").isNotNull()).select(
             *M.NOTICE_KEY, "embedding", self._bucket().alias("bucket")
-        ).write.parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        touched = [r[0] for r in staged.select("bucket").distinct().collect()]  # <= buckets
-        state = self._load()
-        folders = {b: f for b, f in (state["folders"] if state else {}).items() if int(b) in touched}
-        if not folders:
-            return
-        self._write(
-            write_back(self._read(folders), staged.drop("bucket"), M.NOTICE_KEY),
-            batch, [int(b) for b in folders],
+        ).write.parquet(f"{self.path}/{stage}")
+        self._commit(
+            self.spark.read.parquet(f"{self.path}/{stage}"),
+            lambda table, new: write_back(table, new, M.NOTICE_KEY), batch, stored_only=True,
         )
+        self._delete(stage)
 
 
 def write_back(table: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:

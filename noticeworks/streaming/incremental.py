@@ -20,15 +20,16 @@ def upsert_new_pages(
 ):
     """Extract and upsert all pages that arrived since the last run, then stop.
 
-    The checkpoint remembers the files that were read; the table remembers the batches it holds,
-    so a batch that is replayed after a failure changes nothing.
+    The checkpoint remembers the files that were read; the table remembers the last batch of each
+    stream, so a batch that is replayed after a failure changes nothing. A stream is told by the
+    id that Spark keeps in its checkpoint: a new or reset checkpoint is another stream.
     """
     pages = stream_pages(spark, page_dir, files_per_batch)
-    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = merge.notice_rows(L.extract_listing(batch, strict=strict))
-        table.upsert(rows, updated_at, batch=f"{name}:{batch_id}")
+        kept = spark.read.json(f"{checkpoint.rstrip('/')}/metadata", schema="id string").first()
+        table.upsert(rows, updated_at, batch=(kept["id"], batch_id))
 
     query = (
         pages.writeStream.trigger(availableNow=True)

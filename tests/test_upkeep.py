@@ -8,6 +8,7 @@ from noticeworks.operators import backfill, calllog, dedup, merge, metrics, sear
 from noticeworks.plans import runs
 from noticeworks.sources import export, pages as P, snapshots
 from noticeworks.sources.store import NoticeTable, write_back
+from noticeworks.streaming import incremental
 
 AT = dt.datetime(2026, 3, 1)
 ORD = "struct<source_rank:int,page_no:bigint,row_ord:int>"
@@ -32,6 +33,13 @@ def test_merge_detail(spark):
     assert got[None]["location"] is None and got[""]["location"] is None
 
 
+def test_merge_detail_never_multiplies_rows(spark):
+    listing = items(spark, [("t1", "u1")], "title string, url string")
+    detail = items(spark, [("u1", "Pune"), ("u1", "Goa")], "url string, location string")
+    assert [r["location"] for r in merge.merge_detail(listing, detail).collect()] == ["Goa"]
+    assert merge.merge_detail(listing, detail.drop("ingest_ord")).count() == 1
+
+
 def test_merge_detail_splits_a_hot_url(spark):
     """Half of all rows share one URL: the join splits that partition instead of one task taking it."""
     listing = spark.range(40_000).select(
@@ -114,6 +122,45 @@ def test_batches_are_applied_once(spark, table):
     assert state(table)["k", "e"]["title"] == "one"
 
 
+def test_two_interleaved_writers_keep_both_updates(spark, table, monkeypatch):
+    table.upsert(notice(spark, [("k0", "e", "t", "u", None, None)]), AT)
+    other, save = NoticeTable(spark, table.path), table._save
+
+    def late(state, version):
+        if not other._holds(other._load(), "second"):
+            other.upsert(notice(spark, [("k0", "e", "theirs", "u", None, None), ("kB", "e", "b", "u", None, None)]), AT, batch="second")
+        return save(state, version)
+
+    monkeypatch.setattr(table, "_save", late)
+    table.upsert(notice(spark, [("kA", "e", "a", "u", None, None)]), AT, batch="first")
+    assert {k[0]: r["title"] for k, r in state(table).items()} == {"k0": "theirs", "kA": "a", "kB": "b"}
+    assert table._load()["batches"] == ["second", "first"]
+
+
+def test_clean_up_spares_what_kept_versions_use(spark, table):
+    rows = notice(spark, [(f"k{i}", "e", "t", "u", None, None) for i in range(50)])
+    for _ in range(4):
+        table.upsert(rows, AT)
+    before = state(table)
+    assert table.clean_up(keep=2) == 2 and state(table) == before and table.clean_up() == 0
+
+
+def test_streams_with_like_named_or_reset_checkpoints_are_told_apart(spark, table, tmp_path):
+    def run(name, checkpoint, html_rows):
+        spark.createDataFrame(html_rows, M.PAGE_SCHEMA).write.mode("append").parquet(str(tmp_path / name))
+        incremental.upsert_new_pages(spark, str(tmp_path / name), table, str(tmp_path / checkpoint), AT)
+
+    def page(n):
+        row = "".join(f"<td>{x}</td>" for x in ("1.", "01-Mar-2026", "09-Mar-2026", "10-Mar-2026", f'<a href="/n?id={n}">Supply of pumps {n}</a>/REF-{n}/2026', "Water Board"))
+        return [(n, "eprocure", "u", 1, f'<html><table class="list_table"><tr>{row}</tr></table></html>')]
+
+    run("a", "a1/checkpoint", page(1))
+    run("b", "b1/checkpoint", page(2))
+    run("b", "b2/checkpoint", page(3))  # a new checkpoint counts from 0 again
+    run("b", "b2/checkpoint", [])
+    assert len(table._load()["streams"]) == 3 and len(state(table)) == 3
+
+
 def test_vectors_survive_later_upserts(spark, table):
     rows = notice(spark, [("a", "e", "pump", "u", None, "Open"), ("b", "e", "road", "u", None, None)])
     table.upsert(rows, AT)
@@ -125,6 +172,16 @@ def test_vectors_survive_later_upserts(spark, table):
     assert all(v["embedding"] and len(v["embedding"]) == 8 for v in state(table).values())
 
 
+def test_all_pending_notices_get_vectors_without_a_limit(spark, table):
+    table.upsert(notice(spark, [(f"k{i}", "e", "pump " * 9000 + "end", "u", None, "Open" if i % 2 else None) for i in range(5)]), AT)
+    runs.embed_pending(table, embed=lambda df: vectors.hash_vectors(df, dim=64))
+    assert all(r["embedding"] for r in state(table).values())
+    # The last word of a long text counts.
+    texts = spark.createDataFrame([("pump " * 9000,), ("pump " * 9000 + "end",)], "text string")
+    a, b = [r[0] for r in vectors.hash_vectors(texts).select("embedding").collect()]
+    assert a != b
+
+
 def test_write_back(spark):
     t = spark.createDataFrame([(1, [1.0]), (2, None), (3, None)], "id int, embedding array<float>")
     v = spark.createDataFrame([(1, None), (2, [2.0]), (9, [9.0])], "id int, embedding array<float>")
@@ -195,6 +252,11 @@ def test_call_budget_boundary_and_brute_force(spark):
         assert got[i] == (n, n > 3)
 
 
+def test_call_without_time_stamp_is_kept(spark):
+    df = spark.createDataFrame([(1, "k", AT), (2, "k", None)], "i int, key string, ts timestamp_ntz")
+    assert {r["i"]: r["calls_in_window"] for r in calllog.call_budget(df).collect()} == {1: 1, 2: None}
+
+
 def test_job_state(spark):
     rows = [("a", AT, 1, "running"), ("a", AT, 2, "complete"), ("b", AT, 1, "pending"), ("b", AT + dt.timedelta(seconds=300), 2, "running"),
             ("c", AT, 1, "running"), ("c", AT + dt.timedelta(seconds=299), 1, "odd"), ("d", AT, 1, "error"), ("d", AT + dt.timedelta(seconds=999), 2, "error")]
