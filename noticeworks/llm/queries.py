@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from noticeworks.llm import classify, divergence, licenses, linedup, lm, mix, packing, partenum, tokenfiles, topk
+from noticeworks.llm import (
+    classify, divergence, lexical, licenses, linedup, lm, mix, negatives, packing, partenum, positional, tokenfiles, topk,
+)
 from noticeworks.llm.common import read
 
 
@@ -58,6 +60,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return negatives.hard_negatives(
+        read(spark, sf_dir, "embeddings"), vec_id % 50 == 0, F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
@@ -69,13 +87,68 @@ QUERIES = {
     "op8_pack": op8_pack,
     "op9_lm_scores": op9_lm_scores,
     "op10_token_files": op10_token_files,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_decontamination": op13_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _TRIM = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _terms(text: str) -> str:
+    """SQL for the list of terms of a text."""
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
 SQL: dict[str, str] = {
+    "op11_lexical_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_terms("text")} AS t FROM documents),
+        z AS (SELECT count(*) FILTER (len(t) > 0) AS docs, sum(len(t))::BIGINT AS words FROM d),
+        q AS (SELECT iid, item_id, term, count(*) AS times FROM (
+                SELECT iid, item_id, unnest(t) AS term FROM (
+                  SELECT row_number() OVER () AS iid, item_id, {_terms("text")} AS t FROM benchmark)) GROUP BY ALL),
+        p AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (
+                SELECT rid, doc_id, len(t) AS n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+              FROM (SELECT term, count(*) AS df FROM p GROUP BY term), z),
+        s AS (SELECT iid, item_id, rid, doc_id,
+                sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+              FROM q JOIN w USING (term) JOIN p USING (term), z GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 20""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS x FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                     list_inner_product(a.x, b.x)::BIGINT AS score
+              FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3""",
+    "op13_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_terms("text")} AS t FROM documents),
+        i AS (SELECT item_id, {_terms("text")} AS t, least({positional.WINDOW}, len(t)) AS k FROM benchmark),
+        w AS (SELECT DISTINCT item_id, k, array_to_string(t[s:s + k - 1], ' ') AS g
+              FROM (SELECT item_id, k, t, unnest(range(1, len(t) - k + 2)) AS s FROM i WHERE k > 0)),
+        o AS (SELECT rid, s, k, array_to_string(t[s:s + k - 1], ' ') AS g
+              FROM (SELECT rid, t, k, unnest(range(1, len(t) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM w) WHERE len(t) >= k)),
+        m AS (SELECT rid, s, k, item_id FROM o JOIN w USING (k, g)),
+        h AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(s, s + k)) AS pos FROM m) GROUP BY rid),
+        n AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+              FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM m) GROUP BY rid)
+        SELECT doc_id, len(t) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (rid) LEFT JOIN n USING (rid)""",
     "op6_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::DOUBLE) AS x FROM embeddings
                    WHERE vec_id IS NOT NULL AND len(embedding) > 0
