@@ -16,7 +16,7 @@ from noticeworks.operators import (
 from noticeworks.plans import runs
 from noticeworks.session import shared_dir
 from noticeworks.sources import snapshots
-from noticeworks.sources.store import NoticeTable, write_back
+from noticeworks.sources.store import NoticeTable
 from noticeworks.streaming import incremental
 
 RUN_AT = dt.datetime(2026, 3, 1, 6, 0)
@@ -116,13 +116,38 @@ def upsert_table(spark, sf):
 
 
 def embedding_writeback(spark, sf):
-    """Vectors for every third key written back to notices that lack one."""
-    n = K.order_notices(spark, sf).select("ref_no", "source", "embedding", "id")
-    vec = n.where("id % 3 = 0").select(
+    """Stored notices with vectors; then new ones for every third key, some of them null, are written back."""
+    n = K.order_notices(spark, sf)
+    store = _stored_notices(spark, n)
+    store.set_embeddings(n.where("id % 3 = 0").select(
         "ref_no", "source",
         F.when(F.col("id") % 5 != 0, F.array(F.lit(2.0).cast("float"))).alias("embedding"),
-    )
-    return write_back(n, vec, M.NOTICE_KEY).select("id", F.get("embedding", F.lit(0)).cast("double").alias("v0"))
+    ))
+    number = F.regexp_extract("ref_no", r"(\d+)", 1).cast("bigint")
+    return store.read().select(number.alias("id"), F.get("embedding", F.lit(0)).cast("double").alias("v0"))
+
+
+def _stored_notices(spark, n):
+    """Order notices in a stored table, those with a vector with it."""
+    store = NoticeTable(spark, shared_dir(spark, "notices"), buckets=8)
+    rows = n.select(
+        "ref_no", "source", "title", "organisation", F.lit("/o").alias("url"), "published_date", "tender_value",
+        F.lit(True).alias("is_active"), "detail_scraped", F.lit(0).alias("ingest_ord"))
+    store.upsert(rows, RUN_AT)
+    store.set_embeddings(n.select("ref_no", "source", "embedding"))
+    return store
+
+
+def status_stored(spark, sf):
+    """The status of a stored table, from the counts that its commits keep."""
+    return _stored_notices(spark, K.order_notices(spark, sf)).status()
+
+
+def pending_stored(spark, sf):
+    """The pending notices of a stored table: only the keys of the vectors are read."""
+    store = _stored_notices(spark, K.order_notices(spark, sf))
+    number = F.regexp_extract("ref_no", r"(\d+)", 1).cast("bigint")
+    return vectors.pending(store.pending().withColumn("id", number)).select("id", "detail_scraped")
 
 
 # --- Snapshots -----------------------------------------------------------------------------
@@ -469,6 +494,8 @@ QUERIES = {
     "existing_keys": existing_keys,
     "tender_scan": tender_scan,
     "status_metrics": status_metrics,
+    "status_stored": status_stored,
+    "pending_stored": pending_stored,
     "last_updated": last_updated,
     "search_filter": search_filter,
     "pending_select": pending_select,
@@ -528,6 +555,11 @@ SELECT o_orderkey AS id, 'REF-' || o_orderkey AS ref_no, 'Order ' || o_orderkey
 SELECT count(*) AS tender_count, count(*) FILTER (o_orderstatus = 'F') AS detail_scraped_count,
   count(*) FILTER (o_orderstatus = 'O') AS pending_detail_count, count(*) FILTER (o_orderkey % 4 = 0) AS embedding_pending_count,
   true AS cloudflare_enabled, max(o_orderdate) AS last_updated_at FROM orders""",
+    "status_stored": """
+SELECT count(*) AS tender_count, count(*) FILTER (o_orderstatus = 'F') AS detail_scraped_count,
+  count(*) FILTER (o_orderstatus = 'O') AS pending_detail_count, count(*) FILTER (o_orderkey % 4 = 0) AS embedding_pending_count,
+  true AS cloudflare_enabled, TIMESTAMP '2026-03-01 06:00:00' AS last_updated_at FROM orders""",
+    "pending_stored": "SELECT o_orderkey AS id, true AS detail_scraped FROM orders WHERE o_orderkey % 4 = 0 AND o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 100",
     "last_updated": "SELECT max(o_orderdate) AS updated_at FROM orders",
     "search_filter": """
 SELECT o_orderkey AS id, 'Order ' || o_orderkey || ' ' || o_orderpriority AS title, 'Customer ' || o_custkey AS organisation,

@@ -126,10 +126,6 @@ ORDER_TYPE = "struct<source_rank:int,page_no:bigint,row_ord:int>"
 
 PAGE_SCHEMA = ("page_id BIGINT, source STRING, url STRING, page_no BIGINT, html STRING")
 
-LISTING_SCHEMA = (", ".join(f"{f} STRING" for f in LISTING_FIELDS) + f", ingest_ord {ORDER_TYPE}")
-
-DETAIL_SCHEMA = ("url STRING, " + ", ".join(f"{f} {detail_type(f)}" for f in DETAIL_FIELDS))
-
 CRAWL_JOB_SCHEMA = (
     "job_id STRING, status STRING, total INT, "
     "records ARRAY<STRUCT<url: STRING, status: STRING, json: STRING, html: STRING>>"
@@ -147,21 +143,17 @@ DETAIL_JSON_FIELDS = [f for f in DETAIL_FIELDS if f != "pre_bid_meeting_date"]
 # Numbers are read as text and cast afterwards: "7" and 7 both give 7.
 DETAIL_JSON = ", ".join(f"{f} STRING" for f in DETAIL_JSON_FIELDS)
 
-NOTICE_SCHEMA = (
+STORED_SCHEMA = (
     "ref_no STRING, source STRING, title STRING, organisation STRING, url STRING, "
     "published_date TIMESTAMP_NTZ, closing_date TIMESTAMP_NTZ, opening_date TIMESTAMP_NTZ, "
     "is_active BOOLEAN, "
     + ", ".join(f"{f} {detail_type(f)}" for f in STORED_DETAIL_FIELDS)
-    + ", detail_scraped BOOLEAN, raw_data MAP<STRING, STRING>, updated_at TIMESTAMP_NTZ, "
-    "embedding ARRAY<FLOAT>"
+    + ", detail_scraped BOOLEAN, raw_data MAP<STRING, STRING>, updated_at TIMESTAMP_NTZ"
 )
+VECTOR_SCHEMA = "ref_no STRING, source STRING, embedding ARRAY<FLOAT>"
 
 PREFERENCE_SCHEMA = (
     "user_id STRING, user_goal STRING, keywords ARRAY<STRING>, categories ARRAY<STRING>, "
     "regions ARRAY<STRING>, roles ARRAY<STRING>, primary_industry STRING, "
     "secondary_industries ARRAY<STRING>, business_type STRING"
 )
-
-FETCH_LOG_SCHEMA = (
-    "key STRING, job_id STRING, ts TIMESTAMP_NTZ, seq INT, status STRING, http_status INT"
-)

@@ -183,6 +183,14 @@ def merge_notices(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return joined.select(*[merged(c) for c in current.columns])
 
 
+def newer(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both sides, each with one row per key; an incoming value that is not null wins."""
+    values = [c for c in current.columns if c not in keys]
+    new = incoming.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values])
+    joined = current.join(new, keys, "full_outer")
+    return joined.select(*keys, *[F.coalesce(f"_new_{c}", c).alias(c) for c in values])
+
+
 def latest_per_key(rows: DataFrame) -> DataFrame:
     """One incoming row per notice key, the last one; needed before an upsert."""
     return dedup.last_wins(rows, M.NOTICE_KEY, "ingest_ord")

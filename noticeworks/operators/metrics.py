@@ -23,6 +23,21 @@ def status_metrics(notices: DataFrame, crawl_enabled: bool = True) -> DataFrame:
     )
 
 
+def status_of_parts(parts: DataFrame, crawl_enabled: bool = True) -> DataFrame:
+    """The same metrics from counts of parts: rows, detailed, undetailed, updated_at, embedded."""
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    return parts.agg(
+        total("rows").alias("tender_count"),
+        total("detailed").alias("detail_scraped_count"),
+        total("undetailed").alias("pending_detail_count"),
+        (total("rows") - total("embedded")).alias("embedding_pending_count"),
+        F.lit(crawl_enabled).alias("cloudflare_enabled"),
+        F.max("updated_at").alias("last_updated_at"),
+    )
+
+
 def run_counters(merged: DataFrame) -> DataFrame:
     """Per source: rows, rows with a URL, rows that a detail record was merged into, notice keys.
 

@@ -76,16 +76,18 @@ def embed(
 def pending(notices: DataFrame, n: int | None = M.EMBED_BATCH, id_col: str = "id") -> DataFrame:
     """Up to ``n`` notices without a vector: detailed ones, or any only if none is detailed.
 
-    All notices without a vector if ``n`` is None.
+    All notices without a vector if ``n`` is None; without the column ``embedding`` none has one.
 
     One top-n ordered by (not detailed, id) holds the answer: if any detailed notice is pending,
     the top-n starts with detailed ones, and the others in it are dropped.
     """
+    if "embedding" in notices.columns:
+        notices = notices.where(F.col("embedding").isNull())
     if n is None:
-        return notices.where(F.col("embedding").isNull())
+        return notices
     tier = F.when(F.col("detail_scraped"), 0).otherwise(1)
     top = (
-        notices.where(F.col("embedding").isNull()).withColumn("_tier", tier)
+        notices.withColumn("_tier", tier)
         .orderBy("_tier", id_col).limit(n)
     )
     # The window runs over the n rows of the top-n, nothing more.

@@ -68,11 +68,10 @@ def scheduled_run(
 
 def embed_pending(table: NoticeTable, limit: int | None = None, embed=vectors.hash_vectors, batch=None) -> None:
     """Vectors for the pending notices (up to ``limit``, if given), written back to the table."""
-    notices = table.read()
     chosen = vectors.pending(
-        notices.withColumn("id", F.struct(*M.NOTICE_KEY)), limit
+        table.pending().withColumn("id", F.struct(*M.NOTICE_KEY)), limit
     ).withColumn("text", C.notice_text())
-    table.set_embeddings(embed(chosen.drop("embedding")), batch)
+    table.set_embeddings(embed(chosen), batch)
 
 
 def listing_run(
@@ -102,4 +101,5 @@ def backfill_run(items: DataFrame, table: NoticeTable, run_at, batch: str | None
 
 
 def status(table: NoticeTable, crawl_enabled: bool = True) -> DataFrame:
-    return metrics.status_metrics(table.read(), crawl_enabled)
+    """The status metrics of the stored notices."""
+    return table.status(crawl_enabled)

@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when that costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Files of a bucketed table are sorted by its key: with this, Spark takes their order as given.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # Notice dates carry no zone; UTC keeps every rendering independent of the host.
     "spark.sql.session.timeZone": "UTC",
 }
@@ -76,7 +78,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def file_system(spark: SparkSession, path: str):
+    """The JVM gateway and the file system that a path names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    jvm, fs = file_system(spark, path)
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver without a job."""
+    jvm, fs = file_system(spark, path)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(path))
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

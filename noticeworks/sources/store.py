@@ -1,42 +1,53 @@
-"""The notice table: Parquet in key buckets, one folder per write, one small pointer file.
+"""The notice table: bucketed, sorted Parquet, one folder per write, one small pointer per version.
 
-An upsert reads and rewrites only the buckets that its batch touches, writes them to a new
-folder and then switches the pointer, so readers see the old or the new state and a lost
-executor (or driver) leaves the table as it was.
+Notices and their vectors are two tables with the same buckets of the notice key. A version is
+registered with the session's catalog as a bucketed table, so merges, write-backs and look-ups by
+key read the stored side bucket by bucket: it is neither shuffled nor sorted, only the batch is. A
+write rewrites the buckets that its batch touches, of the table it changes, into a new folder and
+then adds the next pointer, which lists the folder and a few counts of every bucket. Readers see the
+old or the new state, and a lost executor (or driver) leaves the table as it was.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from noticeworks import model as M
-from noticeworks.operators import merge
+from noticeworks.operators import merge, metrics
+from noticeworks.session import file_system, read_text
 
 _POINTER = "_pointer"
+_KEY = ", ".join(M.NOTICE_KEY)
+_STATS = {  # what a pointer keeps of a bucket, by table
+    "notices": lambda: [
+        F.count("*").alias("rows"), F.count_if("detail_scraped").alias("detailed"),
+        F.count_if(~F.col("detail_scraped")).alias("undetailed"), F.max("updated_at").alias("updated_at")],
+    "vectors": lambda: [F.count("*").alias("rows")],
+}
 
 
 class NoticeTable:
     """A keyed notice table below ``path``. ``buckets`` is fixed when the table is created."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, schema: str = M.NOTICE_SCHEMA):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, schema: str = M.STORED_SCHEMA):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema
+        self.schemas = {"notices": schema, "vectors": M.VECTOR_SCHEMA}
         state = self._load()
         self.buckets = state["buckets"] if state else buckets
 
-    # The pointer holds {bucket: folder}: its size depends on the bucket count only.
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    # A pointer holds {table: {bucket: folder and counts}}: its size depends on the bucket count only.
+    def _place(self, name: str):
+        jvm, fs = file_system(self.spark, self.path)
+        return fs, jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
     def _versions(self) -> list[int]:
-        jvm, fs = self._fs()
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_POINTER}")
+        fs, folder = self._place(_POINTER)
         if not fs.exists(folder):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
@@ -44,91 +55,158 @@ class NoticeTable:
 
     def _load(self) -> dict | None:
         versions = self._versions()
-        if not versions:
-            return None
-        return self._at(versions[-1]) | {"version": versions[-1]}
+        return self._at(versions[-1]) | {"version": versions[-1]} if versions else None
 
     def _at(self, version: int) -> dict:
-        jvm, fs = self._fs()
-        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_POINTER}/{version}"))
-        try:
-            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return json.loads(read_text(self.spark, f"{self.path}/{_POINTER}/{version}"))
 
-    def _save(self, state: dict, version: int) -> bool:
-        """Write the pointer beside its place, then rename it to its version; false if that is taken.
-
-        A rename that does not replace is one step on HDFS. On stores without one, let a single
-        writer work at a time.
-        """
-        jvm, fs = self._fs()
-        new_path = jvm.org.apache.hadoop.fs.Path
-        target = new_path(f"{self.path}/{_POINTER}/{version}")
-        draft = new_path(f"{self.path}/_draft-{uuid.uuid4().hex}")
+    def _draft(self, state: dict):
+        fs, draft = self._place(f"_draft-{uuid.uuid4().hex}")
         out = fs.create(draft)
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
+        return fs, draft
+
+    def _save(self, state: dict, version: int) -> bool:
+        """Add the pointer of a version, whole and only if there is none; false if there is.
+
+        Each way is a single step that fails where the name is taken, with no look beforehand: a
+        hard link on local disks, a conditional create on object stores that offer it, and elsewhere
+        (HDFS) a rename, which never replaces a file there.
+        """
+        fs, target = self._place(f"{_POINTER}/{version}")
         fs.mkdirs(target.getParent())
-        if fs.exists(target) or not fs.rename(draft, target):
+        fs, draft = self._draft(state)
+        jvm = self.spark.sparkContext._jvm
+        conditional = "fs.option.create.conditional.overwrite"
+        try:
+            if fs.getScheme() == "file":
+                local = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+                jvm.java.nio.file.Files.createLink(local(target), local(draft))
+                return True
+            if fs.hasPathCapability(target, conditional):
+                out = fs.createFile(target).overwrite(False).opt(conditional, True).build()
+                out.write(bytearray(json.dumps(state).encode()))
+                out.close()
+                return True
+            return fs.rename(draft, target)
+        except Exception as taken:
+            if "AlreadyExists" in str(taken):
+                return False
+            raise
+        finally:
             fs.delete(draft, False)
-            return False
-        return True
 
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*M.NOTICE_KEY), F.lit(self.buckets)).cast("int")
+        """The bucket that Spark's own bucketing gives a key."""
+        return F.pmod(F.hash(*M.NOTICE_KEY), F.lit(self.buckets)).cast("int")
+
+    def _scan(self, state: dict | None, kind: str, wanted: list[int] | None = None) -> DataFrame:
+        """A table of a version, or those of its buckets that are wanted."""
+        parts = (state or {}).get(kind, {})
+        if not parts:
+            return self.spark.createDataFrame([], self.schemas[kind])
+        folders = {int(b): p["folder"] for b, p in parts.items()}
+        which = json.dumps([self.path, kind, sorted(folders.items())])
+        name = f"{kind}_{hashlib.md5(which.encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({self.schemas[kind]}, bucket INT) USING parquet PARTITIONED BY (bucket) "
+                f"CLUSTERED BY ({_KEY}) SORTED BY ({_KEY}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/none'")
+            places = [f"PARTITION (bucket={b}) LOCATION '{self.path}/{f}/bucket={b}'" for b, f in sorted(folders.items())]
+            for i in range(0, len(places), 1000):
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(places[i:i + 1000]))
+        table = self.spark.table(name)
+        return (table if wanted is None else table.where(F.col("bucket").isin(wanted))).drop("bucket")
+
+    def _write(self, rows: DataFrame, kind: str) -> dict:
+        """Write rows to a new folder, one sorted file for each bucket; what the pointer keeps of them."""
+        folder, name = f"data/{uuid.uuid4().hex}", f"draft_{uuid.uuid4().hex}"
+        rows.withColumn("bucket", self._bucket()).write.partitionBy("bucket").bucketBy(self.buckets, *M.NOTICE_KEY).sortBy(
+            *M.NOTICE_KEY).format("parquet").option("path", f"{self.path}/{folder}").saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay
+        written = self.spark.read.schema(f"{self.schemas[kind]}, bucket INT").parquet(f"{self.path}/{folder}")
+        stats = written.groupBy("bucket").agg(*_STATS[kind]()).collect()  # <= buckets
+        plain = lambda v: v.isoformat() if isinstance(v, dt.datetime) else v
+        return {str(r["bucket"]): {"folder": folder} | {k: plain(v) for k, v in r.asDict().items() if k != "bucket"} for r in stats}
 
-    def _read(self, folders: dict[str, str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/{folder}/bucket={b}" for b, folder in sorted(folders.items())]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def notices(self) -> DataFrame:
+        """The stored notices without their vectors."""
+        return self._scan(self._load(), "notices")
+
+    def vectors(self) -> DataFrame:
+        return self._scan(self._load(), "vectors")
 
     def read(self) -> DataFrame:
+        """The stored notices with their vectors, joined bucket by bucket."""
+        state = self._load()
+        return self._scan(state, "notices").join(self._scan(state, "vectors"), M.NOTICE_KEY, "left")
+
+    def pending(self) -> DataFrame:
+        """The notices without a vector; only the keys of the vectors are read."""
         state = self._load()
-        return self._read(state["folders"] if state else {})
+        return self._scan(state, "notices").join(self._scan(state, "vectors").select(*M.NOTICE_KEY), M.NOTICE_KEY, "left_anti")
 
-    def _commit(self, staged: DataFrame, change, batch, stored_only: bool = False) -> None:
-        """Rewrite the buckets of the staged rows with ``change`` and move the pointer.
+    def status(self, crawl_enabled: bool = True) -> DataFrame:
+        """The status metrics of the stored notices, from the counts that the pointer holds: no file is read."""
+        state = self._load() or {}
+        when = lambda t: dt.datetime.fromisoformat(t) if t else None
+        rows = [(p["rows"], p["detailed"], p["undetailed"], when(p["updated_at"]), 0) for p in state.get("notices", {}).values()]
+        rows += [(0, 0, 0, None, p["rows"]) for p in state.get("vectors", {}).values()]
+        parts = self.spark.createDataFrame(
+            rows, "rows bigint, detailed bigint, undetailed bigint, updated_at timestamp_ntz, embedded bigint")
+        return metrics.status_of_parts(parts, crawl_enabled)
+
+    def _commit(self, staged: DataFrame, kind: str, change, batch) -> None:
+        """Rewrite the buckets of the staged rows with ``change`` and add the next pointer.
 
         Everything is computed from one pinned version. If another writer took the next version
         in the meantime, the change is computed anew from that writer's state.
         """
-        wanted = [r[0] for r in staged.select("bucket").distinct().collect()]  # <= buckets
+        wanted = [r[0] for r in staged.select(self._bucket().alias("bucket")).distinct().collect()]  # <= buckets
         while wanted:
-            state = self._load() or {"version": 0, "buckets": self.buckets, "folders": {}}
+            state = self._load() or {"version": 0, "buckets": self.buckets, "notices": {}, "vectors": {}}
             if self._holds(state, batch):
                 return
-            old = {b: f for b, f in state["folders"].items() if int(b) in wanted}
-            touched = [int(b) for b in old] if stored_only else wanted
-            if not touched:
+            known = any(str(b) in state[kind] for b in wanted)
+            new = staged if known else staged.repartition(self.buckets, *M.NOTICE_KEY)
+            parts = self._write(change(state, self._scan(state, kind, wanted) if known else None, new, wanted), kind)
+            if not parts:
                 return
-            folder = f"data/{uuid.uuid4().hex}"
-            # The rebalance hint lets AQE split a large bucket over several files and join small ones.
-            rows = change(self._read(old), staged.drop("bucket")).withColumn("bucket", self._bucket())
-            rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
-            new = {k: v for k, v in state.items() if k != "version"}
-            new["folders"] = state["folders"] | {str(b): folder for b in touched}
+            self._mark(state)
+            after = {k: v for k, v in state.items() if k not in ("version", "batch")} | {kind: state[kind] | parts}
             if isinstance(batch, tuple):
-                new["streams"] = state.get("streams", {}) | {batch[0]: batch[1]}
+                after["streams"] = state.get("streams", {}) | {batch[0]: batch[1]}
             elif batch:
-                new["batches"] = state.get("batches", []) + [batch]
-            if self._save(new, state["version"] + 1):
+                after["batch"] = batch
+            if self._save(after, state["version"] + 1):
                 return
-            self._delete(folder)
+            self._delete(next(iter(parts.values()))["folder"])
 
-    @staticmethod
-    def _holds(state: dict | None, batch) -> bool:
+    # A pointer names its own batch only. Its marker is written before the next pointer, so a batch
+    # is known by its marker or, if it was the last one, by the pointer.
+    def _marker(self, batch: str):
+        return self._place(f"_batches/{hashlib.sha256(batch.encode()).hexdigest()}")
+
+    def _mark(self, state: dict) -> None:
+        if state.get("batch"):
+            fs, marker = self._marker(state["batch"])
+            fs.create(marker, True).close()
+
+    def _holds(self, state: dict | None, batch) -> bool:
         """Whether the table has the batch: by name, or by the last number of its stream."""
         if not state or not batch:
             return False
         if isinstance(batch, tuple):
             return batch[1] <= state.get("streams", {}).get(batch[0], -1)
-        return batch in state.get("batches", [])
+        if state.get("batch") == batch:
+            return True
+        fs, marker = self._marker(batch)
+        return fs.exists(marker)
 
-    def _delete(self, folder: str) -> None:
-        jvm, fs = self._fs()
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
+    def _delete(self, name: str) -> None:
+        fs, place = self._place(name)
+        fs.delete(place, True)
 
     def clean_up(self, keep: int = 2) -> int:
         """Delete data folders that none of the last ``keep`` versions uses, and left-over stages.
@@ -136,50 +214,59 @@ class NoticeTable:
         Run it while nobody writes; readers of the kept versions are not disturbed. Returns the
         number of data folders that went.
         """
-        used = {f for v in self._versions()[-keep:] for f in self._at(v)["folders"].values()}
-        jvm, fs = self._fs()
-        data = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data")
+        kept = [self._at(v) for v in self._versions()[-keep:]]
+        used = {p["folder"] for state in kept for kind in self.schemas for p in state[kind].values()}
+        fs, data = self._place("data")
         names = [f"data/{s.getPath().getName()}" for s in fs.listStatus(data)] if fs.exists(data) else []
         gone = [n for n in names if n not in used]
         for folder in [*gone, "staging"]:
             self._delete(folder)
         return len(gone)
 
+    def _staged(self, rows: DataFrame, kind: str, change, batch) -> None:
+        """Write a batch once below the table, since the bucket list and the merge both read it; then commit."""
+        if self._holds(self._load(), batch):
+            return
+        stage = f"staging/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{stage}")
+        self._commit(self.spark.read.schema(rows.schema).parquet(f"{self.path}/{stage}"), kind, change, batch)
+        self._delete(stage)
+
     def upsert(self, incoming: DataFrame, updated_at, batch: str | tuple[str, int] | None = None) -> None:
         """Upsert notice rows (any number per key; the last one by ``ingest_ord`` counts).
 
         ``batch`` names the write, by a name or by (stream id, batch number): a batch that is
-        already in the table is skipped, which makes replays harmless. Names are kept for good,
-        of a stream the last number only. The reduced batch is written once to a staging folder below the table,
-        since the expensive extraction behind it would otherwise run for the bucket list, too.
+        already in the table is skipped, which makes replays harmless. Names are kept for good, each
+        in a marker of its own; of a stream the last number only.
         """
-        if self._holds(self._load(), batch):
-            return
-        stage = f"staging/{uuid.uuid4().hex}"
-        latest = merge.latest_per_key(incoming).drop("ingest_ord")
-        latest.withColumn("updated_at", F.lit(updated_at).cast("timestamp_ntz")).withColumn(
-            "bucket", self._bucket()
-        ).write.parquet(f"{self.path}/{stage}")
-        self._commit(self.spark.read.parquet(f"{self.path}/{stage}"), merge.merge_notices, batch)
-        self._delete(stage)
+        columns = self.spark.createDataFrame([], self.schemas["notices"]).schema
+        latest = merge.latest_per_key(incoming).drop("ingest_ord").withColumn(
+            "updated_at", F.lit(updated_at).cast("timestamp_ntz"))
+
+        def change(state, current, new, wanted):
+            if current is not None:
+                return merge.merge_notices(current, new)
+            return new.select(*[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in columns])
+
+        self._staged(latest, "notices", change, batch)
 
     def insert_new(self, rows: DataFrame, updated_at, batch: str | tuple[str, int] | None = None) -> None:
         """Insert rows whose keys are not stored; a stored key would be updated, never doubled."""
         self.upsert(rows.withColumn("ingest_ord", F.lit(0)), updated_at, batch)
 
     def set_embeddings(self, vectors: DataFrame, batch: str | None = None) -> None:
-        """Write vectors (ref_no, source, embedding) back to their notices; nulls change nothing."""
-        if self._holds(self._load(), batch):
-            return
-        stage = f"staging/{uuid.uuid4().hex}"
-        vectors.where(F.col("embedding").isNotNull()).select(
-            *M.NOTICE_KEY, "embedding", self._bucket().alias("bucket")
-        ).write.parquet(f"{self.path}/{stage}")
-        self._commit(
-            self.spark.read.parquet(f"{self.path}/{stage}"),
-            lambda table, new: write_back(table, new, M.NOTICE_KEY), batch, stored_only=True,
-        )
-        self._delete(stage)
+        """Write vectors (ref_no, source, embedding; one row per key) back to their notices.
+
+        Null vectors change nothing, and vectors of keys that are not stored are left out.
+        """
+        new = vectors.where(F.col("embedding").isNotNull()).select(*M.NOTICE_KEY, "embedding")
+
+        def change(state, current, new, wanted):
+            keys = self._scan(state, "notices", wanted).select(*M.NOTICE_KEY)
+            known = new.join(keys, M.NOTICE_KEY, "left_semi")
+            return known if current is None else merge.newer(current, known, M.NOTICE_KEY)
+
+        self._staged(new, "vectors", change, batch)
 
 
 def write_back(table: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from noticeworks.operators import calllog, listing as L, merge
+from noticeworks.session import read_text
 from noticeworks.sources.pages import stream_pages
 from noticeworks.sources.store import NoticeTable
 
@@ -26,10 +30,13 @@ def upsert_new_pages(
     """
     pages = stream_pages(spark, page_dir, files_per_batch)
 
+    @functools.cache
+    def stream_id() -> str:
+        return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = merge.notice_rows(L.extract_listing(batch, strict=strict))
-        kept = spark.read.json(f"{checkpoint.rstrip('/')}/metadata", schema="id string").first()
-        table.upsert(rows, updated_at, batch=(kept["id"], batch_id))
+        table.upsert(rows, updated_at, batch=(stream_id(), batch_id))
 
     query = (
         pages.writeStream.trigger(availableNow=True)

@@ -109,9 +109,10 @@ def test_upsert_rule(spark, table):
 
 def test_upsert_rewrites_touched_buckets_only(spark, table):
     table.upsert(notice(spark, [(f"k{i}", "e", "t", "u", None, None) for i in range(50)]), AT)
-    before = table._load()["folders"]
+    folders = lambda: {b: p["folder"] for b, p in table._load()["notices"].items()}
+    before = folders()
     table.upsert(notice(spark, [("k1", "e", "t2", "u", None, None)]), AT)
-    after = table._load()["folders"]
+    after = folders()
     assert len(before) == 4 and sum(before[b] != after[b] for b in after) == 1
     assert len(state(table)) == 50
 
@@ -120,6 +121,79 @@ def test_batches_are_applied_once(spark, table):
     table.upsert(notice(spark, [("k", "e", "one", "u", None, None)]), AT, batch="b1")
     table.upsert(notice(spark, [("k", "e", "two", "u", None, None)]), AT, batch="b1")
     assert state(table)["k", "e"]["title"] == "one"
+    # Names stay known after other batches, and the pointer keeps its own name only.
+    for name in ("b2", "b3"):
+        table.upsert(notice(spark, [("k", "e", name, "u", None, None)]), AT, batch=name)
+    for name in ("b1", "b2", "b3"):
+        table.upsert(notice(spark, [("k", "e", "again", "u", None, None)]), AT, batch=name)
+    assert state(table)["k", "e"]["title"] == "b3" and table._load()["batch"] == "b3"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("shuffle_partitions", ["4", "200"])
+def test_stored_rows_are_neither_shuffled_nor_sorted(spark, table, tmp_path, shuffle_partitions):
+    rows = notice(spark, [(f"k{i}", "e", "t", "u", None, None) for i in range(50)])
+    table.upsert(rows, AT)
+    table.set_embeddings(spark.createDataFrame([("k1", "e", [1.0]), ("k2", "e", [2.0])], M.VECTOR_SCHEMA))
+    merge.latest_per_key(rows).drop("ingest_ord").write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": shuffle_partitions}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        both, whole, left = plan(merge.merge_notices(table.notices(), batch)), plan(table.read()), plan(table.pending())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # One exchange and one sort in the merge, both of the batch; none where stored tables meet.
+    assert both.count("Exchange hashpartitioning") == 1 and both.count("+- Sort [") == 1 and "Bucketed: true" in both
+    assert both.index("Bucketed: true") < both.index("Exchange hashpartitioning")
+    assert "Exchange" not in whole and "Sort [" not in whole and "Exchange" not in left and "Sort [" not in left
+    assert "embedding" not in left.split("ReadSchema")[-1]
+
+
+def test_commit_never_replaces_a_pointer_that_appears_meanwhile(spark, table, monkeypatch):
+    """The target appears when the draft has been written: just before the one step that claims it."""
+    table.upsert(notice(spark, [("k", "e", "t", "u", None, None)]), AT)
+    draft, theirs = table._draft, {"buckets": 4, "notices": {}, "vectors": {}, "batch": "theirs"}
+
+    def late(state):
+        made = draft(state)
+        if not other:
+            other.append(NoticeTable(spark, table.path)._save(theirs, 2))
+        return made
+
+    other = []
+    monkeypatch.setattr(table, "_draft", late)
+    assert table._save({"buckets": 4, "notices": {}, "vectors": {}, "batch": "mine"}, 2) is False
+    assert other == [True] and table._at(2) == theirs and table._versions() == [1, 2]
+    fs, folder = table._place("")
+    assert not [f for f in fs.listStatus(folder) if f.getPath().getName().startswith("_draft")]
+
+
+def test_status_comes_from_the_pointer(spark, table):
+    rows = [(f"k{i}", "e", "t", "u", None, "Open" if i % 3 == 0 else None) for i in range(40)]
+
+    def same():
+        assert table.status().collect() == metrics.status_metrics(table.read()).collect()
+        assert "FileScan" not in plan(table.status())
+
+    same()
+    table.upsert(notice(spark, rows), AT)
+    same()
+    table.set_embeddings(spark.createDataFrame(
+        [("k1", "e", [1.0]), ("k2", "e", None), ("k3", "e", [3.0]), ("gone", "e", [4.0])], M.VECTOR_SCHEMA))
+    same()
+    table.upsert(notice(spark, rows[:5] + [("new", "e", "n", "u", 1.0, "Open")]), AT + dt.timedelta(days=1))
+    table.set_embeddings(spark.createDataFrame([("k1", "e", [9.0]), ("new", "e", [5.0])], M.VECTOR_SCHEMA))
+    same()
+    got = table.status().head()
+    assert (got["tender_count"], got["embedding_pending_count"], table.pending().count()) == (41, 38, 38)
+    assert {k[0]: v["embedding"] for k, v in state(table).items() if v["embedding"]} == {"k1": [9.0], "k3": [3.0], "new": [5.0]}
 
 
 def test_two_interleaved_writers_keep_both_updates(spark, table, monkeypatch):
@@ -134,7 +208,7 @@ def test_two_interleaved_writers_keep_both_updates(spark, table, monkeypatch):
     monkeypatch.setattr(table, "_save", late)
     table.upsert(notice(spark, [("kA", "e", "a", "u", None, None)]), AT, batch="first")
     assert {k[0]: r["title"] for k, r in state(table).items()} == {"k0": "theirs", "kA": "a", "kB": "b"}
-    assert table._load()["batches"] == ["second", "first"]
+    assert table._holds(table._load(), "first") and table._holds(table._load(), "second")
 
 
 def test_clean_up_spares_what_kept_versions_use(spark, table):
@@ -151,7 +225,7 @@ def test_streams_with_like_named_or_reset_checkpoints_are_told_apart(spark, tabl
         incremental.upsert_new_pages(spark, str(tmp_path / name), table, str(tmp_path / checkpoint), AT)
 
     def page(n):
-        row = "".join(f"<td>{x}</td>" for x in ("1.", "01-Mar-2026", "09-Mar-2026", "10-Mar-2026", f'<a href="/n?id={n}">Supply of pumps {n}</a>/REF-{n}/2026', "Water Board"))
+        row = "".join(f"<td>{x}</td>" for x in ("1.", "01-Mar-2026", "09-Mar-2026", "10-Mar-2026", f'<a href="/n?id={n}">[Supply of pumps and pipes {n}][REF-{n}][{n}]</a>', "Water Board"))
         return [(n, "eprocure", "u", 1, f'<html><table class="list_table"><tr>{row}</tr></table></html>')]
 
     run("a", "a1/checkpoint", page(1))
