@@ -8,6 +8,7 @@ from noticeworks import model as M
 from noticeworks.catalog import carriers as K
 from noticeworks.functions import notice as N, status as S, text as X
 from noticeworks.operators import detail as D, listing as L, tokenise as T
+from noticeworks.session import shared_dir
 from noticeworks.sources import export
 from noticeworks.sources.pages import read_pages
 
@@ -217,6 +218,41 @@ SELECT 'eprocure' AS source, (SELECT last FROM p) AS total_pages,
         WHERE page_no = last AND k % 17 <> 0 ORDER BY k DESC LIMIT 1) AS INTEGER) AS live_tenders"""
 
 
+def live_count_nested(spark, sf):
+    """Rows with a table inside their second cell: its cell counts as one more cell of the row."""
+    rows = K.listing_rows_html(K.order_items(spark, sf)).withColumn(
+        "row", F.regexp_replace("row", r"^(.*?</td><td>)", "$1<table><tr><td>7.</td></tr></table>"))
+    return L.live_counts(K.listing_pages(spark, sf, rows=rows))
+
+
+# Rows with four cells of their own count here, too.
+LIVE_NESTED_SQL = f"""
+WITH i AS ({ITEMS}), p AS (SELECT max(page_no) AS last FROM i)
+SELECT 'eprocure' AS source, (SELECT last FROM p) AS total_pages,
+  CAST((SELECT CASE WHEN k % 23 = 0 THEN 1 ELSE k + 1 END FROM i, p
+        WHERE page_no = last ORDER BY k DESC LIMIT 1) AS INTEGER) AS live_tenders"""
+
+
+def quarantine(spark, sf):
+    """Pages of which every sixth is a challenge page: rows and quarantined pages, written apart in one pass."""
+    path = shared_dir(spark, "outcomes")
+    pages = challenged(spark, sf).withColumn(
+        "source", F.when(F.col("page_no") % 4 == 0, "cppp").otherwise(F.col("source")))
+    found = L.extract_outcomes(pages)
+    found.write.partitionBy("outcome").parquet(path)
+    aside = spark.read.schema(found.schema).parquet(path)
+    ids = F.count_if(F.col("page_id") == F.col("ingest_ord.page_no")).alias("named")
+    return L.quarantine_counts(aside).join(
+        aside.where("outcome = 'quarantine' and reason is not null and page_url is not null").groupBy("source").agg(ids), "source")
+
+
+QUARANTINE_SQL = f"""
+WITH i AS (SELECT *, CASE WHEN page_no % 4 = 0 THEN 'cppp' ELSE 'eprocure' END AS source FROM ({ITEMS})),
+q AS (SELECT source, count(DISTINCT page_no) AS n FROM i WHERE page_no % 6 = 0 GROUP BY source)
+SELECT source, (SELECT count(*) FROM i WHERE i.source = q.source AND page_no % 6 <> 0 AND {GOOD}) AS n_rows,
+  n AS quarantined, n AS named FROM q"""
+
+
 def has_next(spark, sf):
     return K.listing_pages(spark, sf).select("page_no", S.has_next_page(F.col("html")).alias("has_next"))
 
@@ -250,11 +286,13 @@ SELECT page_id, page_id % 7 IN (0, 1, 3) AS is_challenge, page_id % 5 = 0 AS is_
 
 def without_challenges(spark, sf):
     """Listing pages of which every sixth is a challenge page: it yields no rows."""
-    pages = K.listing_pages(spark, sf)
-    marked = pages.withColumn(
+    return typed(L.extract_listing(challenged(spark, sf)))
+
+
+def challenged(spark, sf):
+    return K.listing_pages(spark, sf).withColumn(
         "html", F.concat("html", F.when(F.col("page_no") % 6 == 0, "<img id=captchaPic>").otherwise(""))
     )
-    return typed(L.extract_listing(marked))
 
 
 def detail_extract(spark, sf):
@@ -339,6 +377,8 @@ QUERIES = {
     "title_ref_split": title_ref_split,
     "row_validity": row_validity,
     "live_count": live_count,
+    "live_count_nested": live_count_nested,
+    "quarantine": quarantine,
     "has_next": has_next,
     "page_cap": page_cap,
     "page_flags": page_flags,
@@ -361,6 +401,8 @@ SQL = {
     "title_ref_split": TITLE_SQL,
     "row_validity": VALIDITY_SQL,
     "live_count": LIVE_SQL,
+    "live_count_nested": LIVE_NESTED_SQL,
+    "quarantine": QUARANTINE_SQL,
     "has_next": "SELECT DISTINCT o_orderkey // 10 + 1 AS page_no, o_orderkey // 10 < (SELECT max(o_orderkey) // 10 FROM orders) AS has_next FROM orders",
     "page_cap": f"SELECT * FROM ({LISTING_SQL}) WHERE page_no <= 100",
     "page_flags": FLAGS_SQL,

@@ -8,7 +8,8 @@ from noticeworks import model as M
 from noticeworks.catalog import carriers as K
 from noticeworks.catalog.extraction import GOOD, ITEMS
 from noticeworks.functions import text as X
-from noticeworks.operators import crawljson as J, detail as D, merge, metrics
+from noticeworks.operators import crawljson as J, merge, metrics
+from noticeworks.plans import runs
 from noticeworks.session import shared_dir
 from noticeworks.sources import crawl, snapshots
 
@@ -77,10 +78,13 @@ def page_completeness(spark, sf):
 # Rows with neither id nor title still count as extracted objects of their page.
 COMPLETENESS_SQL = """
 WITH r AS (SELECT o_orderkey // 10 + 1 AS page_no, CASE WHEN o_orderkey % 8 = 0 THEN 2 ELSE 1 END AS n FROM orders),
-p AS (SELECT page_no, sum(n) AS n FROM r WHERE page_no % 9 <> 0 GROUP BY page_no)
-SELECT 'job-' || (page_no - 1) // 20 AS job_id, count(*) AS pages, CAST(sum(n) AS BIGINT) AS extracted_rows,
-  max(page_no) AS last_page, max(page_no) * 10 AS claimed_total
-FROM p GROUP BY (page_no - 1) // 20"""
+p AS (SELECT page_no, sum(n) AS n FROM r WHERE page_no % 9 <> 0 GROUP BY page_no),
+u AS (SELECT (page_no - 1) // 20 AS job, count(*) AS n FROM (%s) WHERE copy = 0 OR tender_id IS NULL GROUP BY 1),
+j AS (SELECT (page_no - 1) // 20 AS job, count(*) AS pages, CAST(sum(n) AS BIGINT) AS extracted_rows,
+  max(page_no) AS last_page, max(page_no) * 10 AS claimed_total FROM p GROUP BY 1)
+SELECT 'job-' || job AS job_id, pages, extracted_rows, last_page, claimed_total, coalesce(u.n, 0) AS unique_rows,
+  greatest(claimed_total - coalesce(u.n, 0), 0) AS gap, claimed_total <= coalesce(u.n, 0) AS complete
+FROM j LEFT JOIN u USING (job)""".replace("%s", CRAWLED)
 
 
 def json_detail(spark, sf):
@@ -182,16 +186,15 @@ FROM ({_route_sql()}) WHERE way IS NOT NULL"""
 def _chain(spark, sf):
     jobs = K.detail_jobs(spark, sf)
     # Every URL is asked for twice; a seventh of the jobs were never submitted.
-    asked = jobs.select("url").unionByName(jobs.select("url"))
-    sent = jobs.where("k % 7 <> 3").select("job_id", "url")
-    fields = J.first_usable(jobs.where("k % 7 <> 3"))
-    direct = D.extract_detail(K.detail_pages(spark, sf).where("k % 3 <> 2 or k % 4 = 0"))
-    return asked, sent, merge.fallback_chain(asked, sent, fields, direct)
+    parts = K.part_details(spark, sf).select("k", "url")
+    sent = parts.where("k % 7 <> 3").select(F.concat(F.lit("D-"), "k").alias("job_id"), "url")
+    pages = K.detail_pages(spark, sf).where("k % 3 <> 2 or k % 4 = 0")
+    return merge.detail_records(
+        parts.unionByName(parts), sent, jobs.select("job_id", "records"), pages, lambda df: runs._written(df, "answers"))
 
 
 def fallback_chain(spark, sf):
-    _, _, best = _chain(spark, sf)
-    return best.select("url", "route", "tender_id", "tender_value", "bid_validity_days", "pre_bid_meeting_date")
+    return _chain(spark, sf).select("url", "route", "tender_id", "tender_value", "bid_validity_days", "pre_bid_meeting_date")
 
 
 CHAIN_SQL = f"""
@@ -206,7 +209,7 @@ FROM r"""
 
 
 def extractable_urls(spark, sf):
-    return metrics.extractable_urls(_chain(spark, sf)[2])
+    return metrics.extractable_urls(_chain(spark, sf))
 
 
 def route_split(spark, sf):
@@ -233,7 +236,7 @@ def detail_merge(spark, sf):
     detail = K.part_details(spark, sf).select(
         F.concat(F.lit("/x/"), k).alias("url"),
         F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, "").otherwise(F.col("tender_type")).alias("tender_type"),
-        F.col("location"),
+        F.col("location"), F.lit(0).alias("ingest_ord"),
     )
     return merge.merge_detail(items, detail)
 

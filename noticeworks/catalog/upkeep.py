@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from noticeworks import model as M
 from noticeworks.catalog import carriers as K
-from noticeworks.catalog.extraction import GOOD, ITEMS
-from noticeworks.catalog.records import CRAWLED
+from noticeworks.catalog.extraction import GOOD, ITEMS, challenged
+from noticeworks.catalog.records import CHAIN_SQL, CRAWLED
 from noticeworks.operators import (
     backfill, calllog, dedup, listing as L, merge, metrics, search, vectors,
 )
@@ -416,36 +416,67 @@ SELECT ref_no, 'eprocure' AS source, title, coalesce(url, '') AS url, published_
 FROM ({ITEMS}) WHERE {GOOD}"""
 
 
-def scheduled_run(spark, sf):
-    """Crawled and scraped listings with detail: snapshot, upsert, embed, counters; run twice."""
+def _whole_run(spark, sf, times=1):
+    """Crawled jobs, scraped pages (every sixth a challenge page), detail jobs and direct detail pages:
+    collect, fetch detail, snapshot, upsert, embed, counters."""
     base = shared_dir(spark, "run")
     store = NoticeTable(spark, f"{base}/table", buckets=8)
     kept = snapshots.SnapshotStore(spark, f"{base}/snapshots")
-    detail = K.part_details(spark, sf).select(
-        F.concat(F.lit("https://eprocure.gov.in/eprocure/app?id="), "k", F.lit("&s=1")).alias("url"),
-        "tender_type", "location",
+    link = F.concat(F.lit("https://eprocure.gov.in/eprocure/app?id="), "k", F.lit("&s=1")).alias("url")
+    # A seventh of the jobs were never submitted, and some pages were never stored.
+    detail = runs.DetailSources(
+        K.part_details(spark, sf).where("k % 7 <> 3").select(F.concat(F.lit("D-"), "k").alias("job_id"), link),
+        K.detail_jobs(spark, sf).select("job_id", "records"),
+        K.detail_pages(spark, sf).where("k % 3 <> 2 or k % 4 = 0").select(link, "html"),
     )
-    for _ in range(2):
+    for _ in range(times):
         counters = runs.scheduled_run(
-            spark, "r1", RUN_AT, K.listing_jobs(spark, sf), K.listing_pages(spark, sf), detail,
-            store, kept,
-        )
+            spark, "r1", RUN_AT, K.listing_jobs(spark, sf), challenged(spark, sf), detail, store, kept)
+    return counters, store, kept
+
+
+def run_notices(spark, sf):
+    """The notices that a whole run stores, with their merged detail."""
+    _, store, _ = _whole_run(spark, sf)
+    return store.notices().select(
+        "ref_no", "source", "title", "tender_id", "tender_type", "tender_value", "bid_validity_days", "detail_scraped",
+        F.col("raw_data")["pre_bid_meeting_date"].alias("pre_bid_meeting_date"))
+
+
+def scheduled_run(spark, sf):
+    """The counters of a whole run that is sent twice, with the state it leaves."""
+    counters, store, kept = _whole_run(spark, sf, times=2)
     state = runs.status(store).drop("last_updated_at", "cloudflare_enabled")
     live = kept.latest().select("live_tenders", F.col("count").alias("snapshot_count"))
     return _beside(counters, state, live)
 
 
+# Each part's best detail record; the run asks for it by the link of the order with the same key.
+_DETAIL = CHAIN_SQL.replace("'/detail/' || k AS url", "k, tender_type")
+RUN_NOTICES_SQL = f"""
+WITH f AS (SELECT * FROM ({_DETAIL}) WHERE route <> 'none'),
+e AS (SELECT i.ref_no, 'eprocure' AS source, i.title, f.tender_id, f.tender_type, f.tender_value, f.bid_validity_days,
+    f.k IS NOT NULL AS detail_scraped, f.pre_bid_meeting_date
+  FROM ({ITEMS}) i LEFT JOIN f ON i.k = f.k AND i.k % 7 <> 0 AND i.k % 11 <> 0
+  WHERE page_no % 6 <> 0 AND {GOOD.replace("k %", "i.k %")}),
+c AS (SELECT coalesce(tender_id, 'UNKNOWN') AS ref_no, name, tender_id FROM ({CRAWLED}) WHERE copy = 0 OR tender_id IS NULL
+  QUALIFY row_number() OVER (PARTITION BY tender_id ORDER BY 'job-' || (page_no - 1) // 20 DESC, page_no DESC, k DESC, copy DESC) = 1)
+SELECT * FROM e UNION ALL SELECT ref_no, 'cppp', name, tender_id, NULL, NULL, NULL, false, NULL FROM c"""
+
 RUN_SQL = f"""
 WITH c AS (SELECT 'cppp' AS source, coalesce(tender_id, 'UNKNOWN') AS ref_no, k % 7 <> 0 AS has_url, false AS det
     FROM ({CRAWLED}) WHERE copy = 0 OR tender_id IS NULL),
 e AS (SELECT 'eprocure' AS source, ref_no, url IS NOT NULL AS has_url,
-    k % 7 <> 0 AND k % 11 <> 0 AND k IN (SELECT p_partkey FROM part) AS det FROM ({ITEMS}) WHERE {GOOD}),
+    k % 7 <> 0 AND k % 11 <> 0 AND k IN (SELECT k FROM ({_DETAIL}) WHERE route <> 'none') AS det
+  FROM ({ITEMS}) WHERE {GOOD} AND page_no % 6 <> 0),
 a AS (SELECT * FROM c UNION ALL SELECT * FROM e),
 s AS (SELECT source, count(*) AS scraped, count(*) FILTER (has_url) AS with_url, count(*) FILTER (det) AS merged,
   count(DISTINCT ref_no) AS upserted, greatest(count(*) FILTER (ref_no = 'UNKNOWN') - 1, 0) AS lost_to_missing_key
   FROM a GROUP BY source),
 n AS (SELECT source, ref_no, bool_or(det) AS det FROM a GROUP BY source, ref_no)
-SELECT s.*, (SELECT count(*) FROM n) AS tender_count, (SELECT count(*) FILTER (det) FROM n) AS detail_scraped_count,
+SELECT s.*, CASE WHEN source = 'cppp' THEN 0 ELSE (SELECT count(DISTINCT o_orderkey // 10 + 1) FROM orders
+    WHERE (o_orderkey // 10 + 1) % 6 = 0) END AS quarantined, (SELECT count(*) FROM n) AS embedded, 'ok' AS outcome,
+  (SELECT count(*) FROM n) AS tender_count, (SELECT count(*) FILTER (det) FROM n) AS detail_scraped_count,
   (SELECT count(*) FILTER (NOT det) FROM n) AS pending_detail_count, CAST(0 AS BIGINT) AS embedding_pending_count,
   CAST((SELECT max(o_orderkey) + 1 FROM orders) AS INTEGER) AS live_tenders, (SELECT count(*) FROM a) AS snapshot_count
 FROM s"""
@@ -508,6 +539,7 @@ QUERIES = {
     "incremental_upsert": incremental_upsert,
     "listing_run": listing_run,
     "scheduled_run": scheduled_run,
+    "run_notices": run_notices,
 }
 
 SQL = {
@@ -577,4 +609,5 @@ WHERE o_orderkey % 4 = 0 AND o_orderstatus <> 'F' ORDER BY o_orderkey LIMIT 100"
     "incremental_upsert": INCREMENTAL_SQL,
     "listing_run": LISTING_RUN_SQL,
     "scheduled_run": RUN_SQL,
+    "run_notices": RUN_NOTICES_SQL,
 }

@@ -8,6 +8,15 @@ from noticeworks import model as M
 from noticeworks.functions import text as X
 
 
+def row_order(source_rank: int, page_no, page_id, row_ord, seen_at=None, run=None) -> Column:
+    """The order of a row among all rows of all sources; what is not known is null and comes first."""
+    values = (F.lit(source_rank), seen_at, run, page_no, page_id, row_ord)
+    kinds = ("int", "timestamp_ntz", "string", "bigint", "bigint", "int")
+    names = ("source_rank", "seen_at", "run", "page_no", "page_id", "row_ord")
+    return F.struct(*[
+        (F.lit(None) if v is None else v).cast(k).alias(n) for v, k, n in zip(values, kinds, names)]).alias("ingest_ord")
+
+
 def split_title_ref(c: Column) -> tuple[Column, Column]:
     """``[title][ref][id]`` to (title, ref); anything with fewer brackets is all title.
 

@@ -122,7 +122,10 @@ def detail_type(name: str) -> str:
 # --- Schemas (DDL) -------------------------------------------------------------------------------
 
 
-ORDER_TYPE = "struct<source_rank:int,page_no:bigint,row_ord:int>"
+# The order of rows: source, crawl time (if known), job, page, stored page, row. No two rows share one.
+ORDER_TYPE = (
+    "struct<source_rank:int,seen_at:timestamp_ntz,run:string,page_no:bigint,page_id:bigint,row_ord:int>"
+)
 
 PAGE_SCHEMA = ("page_id BIGINT, source STRING, url STRING, page_no BIGINT, html STRING")
 

@@ -39,25 +39,31 @@ def _is_bad() -> Column:
 
 
 def backfill_inserts(items: DataFrame, existing: DataFrame) -> DataFrame:
-    """The rows a backfill inserts: complete, not stored yet, last one per key.
+    """The rows a backfill inserts: complete, not stored yet, last one per key."""
+    return inserts_of(backfill_rows(items), existing)
 
-    Keys are reduced first, so the check against the stored keys sees every key once and rows
+
+def inserts_of(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """The same from notice rows. Keys are reduced first, so the check against the stored keys sees every key once and rows
     that share the missing-key marker cannot pile up in the join.
     """
-    complete = backfill_rows(items).where(X.whole(~_is_bad()))
+    complete = rows.where(X.whole(~_is_bad()))
     latest = dedup.last_wins(complete, M.NOTICE_KEY, "ingest_ord").drop("ingest_ord")
     return latest.join(existing.select("ref_no").distinct(), "ref_no", "left_anti")
 
 
 def backfill_counters(items: DataFrame, existing: DataFrame) -> DataFrame:
-    """One row: items read, rejected as bad, already stored, duplicate in the snapshot, inserted.
+    """One row: items read, rejected as bad, already stored, duplicate in the snapshot, inserted."""
+    return counters_of(backfill_rows(items), existing)
+
 
-    A row is rejected for the first reason that holds, in that order. Rows are counted per key
+def counters_of(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """The same from notice rows. A row is rejected for the first reason that holds, in that order. Rows are counted per key
     before the stored keys are looked up, and duplicates follow from those counts: nothing is
     ranked, and the join sees every key at most twice.
     """
     per_key = (
-        backfill_rows(items)
+        rows
         .groupBy(_is_bad().alias("bad"), "ref_no", "source")
         .agg(F.count("*").alias("n"))
     )

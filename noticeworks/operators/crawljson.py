@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from noticeworks import model as M
-from noticeworks.functions import status as S, text as X
+from noticeworks.functions import notice as N, status as S, text as X
 from noticeworks.operators import dedup, detail as D
 
 _OPEN_OBJECT = "{"
@@ -55,12 +55,13 @@ def compact_json(columns: list[str]) -> Column:
 
 
 def listing_records(jobs: DataFrame) -> DataFrame:
-    """Completed records of crawl jobs, one row per crawled listing page."""
+    """Completed records of crawl jobs, one row per crawled listing page; ``crawled_at`` is optional."""
     rec = F.posexplode_outer("records").alias("record_ord", "_rec")
+    at = F.col("crawled_at") if "crawled_at" in jobs.columns else F.lit(None)
     return (
-        jobs.select("job_id", rec)
+        jobs.select("job_id", at.cast("timestamp_ntz").alias("seen_at"), rec)
         .where(F.col("_rec.status") == "completed")
-        .select("job_id", "record_ord", F.from_json("_rec.json", M.LISTING_JSON_PAGE).alias("page"))
+        .select("job_id", "seen_at", "record_ord", F.from_json("_rec.json", M.LISTING_JSON_PAGE).alias("page"))
     )
 
 
@@ -68,14 +69,14 @@ def listing_rows(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
     """Crawl jobs to normalised listing rows, duplicates included.
 
     Narrow: explode twice, parse, project. An element that is no object, or that names neither
-    an id nor a title, is skipped.
+    an id nor a title, is skipped. Rows are ordered by crawl time, job, record and place in it.
     """
     pages = listing_records(jobs)
     items = pages.select(
-        "job_id", "record_ord", F.posexplode_outer("page.tenders").alias("row_ord", "_item")
+        "job_id", "seen_at", "record_ord", F.posexplode_outer("page.tenders").alias("row_ord", "_item")
     ).where(F.col("_item").startswith(_OPEN_OBJECT))
     raw = items.select(
-        "job_id", "record_ord", "row_ord",
+        "job_id", "seen_at", "record_ord", "row_ord",
         F.inline(F.array(F.from_json("_item", M.LISTING_JSON_ROW))),  # parsed once
     )
     path = X.strip(F.coalesce("detail_path", F.lit("")))
@@ -87,11 +88,7 @@ def listing_rows(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
         X.link_url(path).alias("url"),
         X.blank_to_null(F.col("tender_id")).alias("tender_id"),
         "serial_no", "corrigendum", "job_id",
-        F.struct(
-            F.lit(source_rank).alias("source_rank"),
-            F.col("record_ord").cast("bigint").alias("page_no"),
-            F.col("row_ord").cast("int").alias("row_ord"),
-        ).alias("ingest_ord"),
+        N.row_order(source_rank, F.col("record_ord"), None, F.col("row_ord"), F.col("seen_at"), F.col("job_id")),
     )
     return rows.where(X.whole(F.col("tender_id").isNotNull() | (F.col("title") != "")))
 
@@ -105,19 +102,29 @@ def extract_listing_json(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
 
 
 def page_completeness(jobs: DataFrame) -> DataFrame:
-    """Per job: crawled pages, extracted rows and the total the pages claim."""
+    """Per job: crawled pages, extracted rows, the total the pages claim, and whether all of it is there.
+
+    ``unique_rows`` are the rows that the listing keeps; ``gap`` is what the claimed total has more
+    than those, and a job is complete if that is nothing. Without a claim both are null.
+    """
+    kept = listing_rows(jobs).select("job_id", F.coalesce("tender_id", "title").alias("_key")).distinct().groupBy(
+        "job_id").agg(F.count("*").alias("_kept"))
     per_page = listing_records(jobs).select(
         "job_id",
         F.size(F.filter("page.tenders", lambda t: t.startswith(_OPEN_OBJECT))).alias("_rows"),
         F.col("page.page_number").try_cast("bigint").alias("_page"),
         F.col("page.total_records").try_cast("bigint").alias("_total"),
     )
-    return per_page.groupBy("job_id").agg(
+    per_job = per_page.groupBy("job_id").agg(
         F.count("*").alias("pages"),
         F.sum(F.greatest("_rows", F.lit(0))).alias("extracted_rows"),
         F.max("_page").alias("last_page"),
         F.max("_total").alias("claimed_total"),
     )
+    gap = F.greatest(F.col("claimed_total") - F.col("unique_rows"), F.when(F.col("claimed_total").isNotNull(), 0))
+    return per_job.join(kept, "job_id", "left").select(
+        *per_job.columns, F.coalesce("_kept", F.lit(0)).alias("unique_rows")).select(
+        "*", gap.alias("gap"), (gap == 0).alias("complete"))
 
 
 def first_usable(jobs: DataFrame, strict: bool = True) -> DataFrame:

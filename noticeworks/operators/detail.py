@@ -65,7 +65,3 @@ def extract_detail(pages: DataFrame, strict: bool = True) -> DataFrame:
     """
     keys = [c for c in pages.columns if c != "html"]
     return detail_pairs(pages, strict).select(*keys, X.once(*detail_columns(F.col("pairs"))))
-
-
-def has_any_detail() -> Column:
-    return X.any_of([F.col(f).isNotNull() for f in M.DETAIL_FIELDS])

@@ -12,7 +12,7 @@ class _TableReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.kind = kind
         self.open: list[dict] = []  # open tables, outermost first
-        self.found = {"id": [], "list_table": [], "list": [], "tablebg": []}
+        self.found = {"id": [], "list_table": [], "list": [], "tablebg": [], "any": []}
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
@@ -86,6 +86,8 @@ class _TableReader(HTMLParser):
 
     def _selects(self, kind: str) -> bool:
         """Whether a row opened now lies below a table of this kind."""
+        if kind == "any":
+            return True
         for depth, table in enumerate(self.open):
             if kind in table["kinds"]:
                 return kind != "list" or any(t["section"] == "tbody" for t in self.open[depth:])
@@ -101,6 +103,20 @@ class _TableReader(HTMLParser):
         return self.found["id"] or self.found["list_table"] or self.found["list"]
 
 
+def last_number(html: str, cells: int) -> int | None:
+    """The number in the first cell of the last row with so many cells whose first cell is a number."""
+    reader = _TableReader("any")
+    reader.feed(html)
+    reader.close()
+    for row in reversed(reader.found["any"]):
+        own = [cell for cell, _ in row["cells"] if cell["tag"] == "td"]
+        if len(own) >= cells:
+            text = "".join(own[0]["nodes"]).strip().rstrip(".")
+            if text.isdecimal() and int(text) < 1 << 31:
+                return int(text)
+    return None
+
+
 INNER_MARK = "data-inner"
 
 

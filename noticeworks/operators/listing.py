@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql.types import IntegerType
 
 from noticeworks import model as M
 from noticeworks.functions import notice as N, status as S, text as X
 from noticeworks.operators import tokenise as K
+from noticeworks.operators.flatrows import last_number
 
 
 def header_rows(rows: Column) -> Column:
@@ -18,18 +21,20 @@ def header_rows(rows: Column) -> Column:
     return F.when(first_other == 0, F.size(flags)).otherwise(first_other.cast("int") - 1)
 
 
-def candidate_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
+def candidate_rows(pages: DataFrame, strict: bool = True, kept: Column | None = None) -> DataFrame:
     """Table rows after the header prefix that are long enough and have enough cells.
 
     Narrow: explodes the rows of a page inside the task that read the page. Adds ``row_ord``
-    (position in the table, header rows counted) and the ``cells`` fragments.
+    (position in the table, header rows counted) and the ``cells`` fragments. A page without a body
+    for which ``kept`` holds gives one row without cells.
     """
     keys = [c for c in pages.columns if c != "html"]
+    kept = F.lit(False) if kept is None else kept
     rows = K.with_rows(pages, "listing", strict).withColumn("_skip", header_rows(F.col("rows")))
     # The outer form: for the inner one the optimizer would add a filter on the row count below
     # it and tokenise every page a second time for that.
     body = rows.select(*keys, "_skip", F.posexplode_outer("rows").alias("row_ord", "_row")).where(
-        X.whole(F.col("row_ord") >= F.col("_skip"))
+        X.whole(kept | (F.col("row_ord") >= F.col("_skip")))
     )
     split = body.select(
         *keys,
@@ -39,7 +44,7 @@ def candidate_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
         ),
     )
     return split.where(
-        (F.char_length("row_text") >= M.MIN_ROW_CHARS) & (F.size("cells") >= M.MIN_ROW_CELLS)
+        kept | ((F.char_length("row_text") >= M.MIN_ROW_CHARS) & (F.size("cells") >= M.MIN_ROW_CELLS))
     ).drop("row_text")
 
 
@@ -67,15 +72,15 @@ def project_rows(candidates: DataFrame) -> DataFrame:
     )
 
 
-def valid_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(
-        X.whole(
-            N.is_notice(
-                *[F.col(c) for c in
-                  ("title", "closing_date", "opening_date", "published_date", "organisation")]
-            )
-        )
-    )
+def valid_rows(rows: DataFrame, kept: Column | None = None) -> DataFrame:
+    notice = N.is_notice(
+        *[F.col(c) for c in ("title", "closing_date", "opening_date", "published_date", "organisation")])
+    return rows.where(X.whole(notice if kept is None else kept | notice))
+
+
+def _order(rows: DataFrame, source_rank: int) -> Column:
+    page_id = F.col("page_id") if "page_id" in rows.columns else None
+    return N.row_order(source_rank, F.col("page_no"), page_id, F.col("row_ord"))
 
 
 def extract_listing(
@@ -88,12 +93,43 @@ def extract_listing(
     """
     capped = pages if page_cap is None else cap_pages(pages, page_cap)
     rows = valid_rows(project_rows(candidate_rows(without_challenges(capped), strict)))
-    order = F.struct(
-        F.lit(source_rank).alias("source_rank"),
-        F.col("page_no").cast("bigint").alias("page_no"),
-        F.col("row_ord").cast("int").alias("row_ord"),
+    return rows.select("source", *M.LISTING_FIELDS, _order(rows, source_rank))
+
+
+def extract_outcomes(
+    pages: DataFrame, source_rank: int = 1, page_cap: int | None = None, strict: bool = True
+) -> DataFrame:
+    """Listing rows and the pages that were put aside, from one pass over the pages.
+
+    ``outcome`` is ``row`` or ``quarantine``; a quarantined page is one row with its page_id,
+    page_url and reason. Written with ``partitionBy("outcome")``, each kind is read by itself.
+    """
+    capped = pages if page_cap is None else cap_pages(pages, page_cap)
+    has = [c for c in ("page_id", "url") if c in capped.columns]
+    challenge = F.coalesce(S.challenge_page(F.col("html")), F.lit(False))
+    flagged = capped.select(
+        "source", "page_no", *[F.col(c).alias({"url": "page_url"}.get(c, c)) for c in has],
+        X.once(challenge.alias("_aside"), F.when(~challenge, F.col("html")).alias("html")),
+    )
+    aside = F.col("_aside")
+    rows = valid_rows(project_rows(candidate_rows(flagged, strict, aside)), aside)
+
+    def of_page(name, kind):
+        return (F.when(aside, F.col(name)) if name in rows.columns else F.lit(None)).cast(kind).alias(name)
+
+    return rows.select(
+        F.when(aside, "quarantine").otherwise("row").alias("outcome"), "source",
+        *[F.when(~aside, F.col(c)).alias(c) for c in M.LISTING_FIELDS], _order(rows, source_rank),
+        of_page("page_id", "bigint"), of_page("page_url", "string"), F.when(aside, M.CHALLENGE_ERROR).alias("reason"),
+    )
+
+
+def quarantine_counts(outcomes: DataFrame) -> DataFrame:
+    """Per source: listing rows, and pages that were put aside."""
+    return outcomes.groupBy("source").agg(
+        F.count_if(F.col("outcome") == "row").alias("n_rows"),
+        F.count_if(F.col("outcome") == "quarantine").alias("quarantined"),
     )
-    return rows.select("source", *M.LISTING_FIELDS, order.alias("ingest_ord"))
 
 
 def cap_pages(pages: DataFrame, page_cap: int | None = M.DEFAULT_PAGE_CAP) -> DataFrame:
@@ -116,42 +152,44 @@ def page_flags(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_live_count(html: Column) -> Column:
-    """Serial number in the last numbered row of a page: the number of live notices so far."""
-    pieces = F.split(html, r"<(?i:tr)(?=[\s>/])")
-    # A row in front of another row ends there; cells first, then one look at each row's cells.
-    cells = F.transform(
-        F.slice(pieces, 2, 1 << 30),
-        lambda r: K.row_cells(F.regexp_replace(r, r"(?s)^[^>]*>|</(?i:tr|table)\b.*", "")),
-    )
-    first_cells = F.transform(
-        F.filter(cells, lambda c: F.size(c) >= M.MIN_ROW_CELLS), lambda c: K.cell_text(F.get(c, F.lit(0)))
-    )
-    numbered = F.filter(first_cells, lambda t: t.rlike(r"^\d+\.*$"))
-    last = F.get(F.reverse(numbered), F.lit(0))
-    return F.regexp_extract(last, r"^(\d+)", 1).try_cast("int")
+@F.pandas_udf(IntegerType())
+def page_live_count(html: pd.Series) -> pd.Series:
+    """Serial number in the last numbered row of a page: the number of live notices so far.
+
+    Rows of all tables count, nested ones too, as a parser sees them. Use it on last pages only.
+    """
+    return html.map(lambda h: last_number(h, M.MIN_ROW_CELLS) if isinstance(h, str) else None).astype("Int32")
 
 
 def live_counts(pages: DataFrame) -> DataFrame:
-    """Pages and live-notice count per source; the count is read from the last page only.
+    """Pages and live-notice count per source; only the last page of a source is parsed.
 
-    The per-page number is computed before grouping, so one long per source is shuffled per task.
+    The page numbers are read by themselves first; of several stored copies of a last page the
+    largest count holds.
     """
-    per_page = pages.select("source", "page_no", page_live_count(F.col("html")).alias("_live"))
-    return per_page.groupBy("source").agg(
-        F.max("page_no").alias("total_pages"), F.max_by("_live", "page_no").alias("live_tenders")
-    )
+    last = pages.groupBy("source").agg(F.max("page_no").alias("total_pages"))
+    ends = last.select(F.col("source").alias("_source"), F.col("total_pages").alias("_last"))
+    bodies = pages.join(ends, (F.col("source") == F.col("_source")) & (F.col("page_no") == F.col("_last")), "left_semi")
+    counts = bodies.select(F.col("source").alias("_of"), page_live_count("html").alias("_live")).groupBy("_of").agg(
+        F.max("_live").alias("live_tenders"))
+    return last.join(counts, F.col("source") == F.col("_of"), "left").select("source", "total_pages", "live_tenders")
 
 
-def observe_live(pages: DataFrame, observation) -> DataFrame:
-    """Attach page and live counts to a scan, so that a run needs no second pass for them.
+def observe_live(pages: DataFrame, observation: Observation) -> DataFrame:
+    """Attach the last page to a scan, so that a run needs no second pass for its counts.
 
-    The observation holds ``total_pages`` and ``live_tenders`` once the frame has been written.
-    Both are maxima, so a retried task cannot distort them.
+    Each task remembers the body of its last page, nothing is parsed on the way, and repeated
+    tasks do not matter, since both values are maxima. ``live_seen`` reads the counts.
     """
-    seen = pages.withColumn("_live", page_live_count(F.col("html"))).observe(
-        observation,
-        F.max("page_no").alias("total_pages"),
-        F.max_by("_live", "page_no").alias("live_tenders"),
-    )
-    return seen.drop("_live")
+    return pages.observe(
+        observation, F.max("page_no").alias("total_pages"), F.max_by("html", "page_no").alias("last_page"))
+
+
+def live_seen(observation: Observation) -> dict:
+    """total_pages and live_tenders of the pages that a written frame has passed."""
+    seen = observation.get
+    page = seen.get("last_page")
+    return {
+        "total_pages": seen.get("total_pages"),
+        "live_tenders": last_number(page, M.MIN_ROW_CELLS) if page is not None else None,
+    }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from noticeworks import model as M
 from noticeworks.functions import text as X
-from noticeworks.operators import crawljson as J, dedup
+from noticeworks.operators import crawljson as J, dedup, detail as D
 
 _NO_MATCH = "\u0000"  # cannot start a URL
 
@@ -28,22 +28,22 @@ def _spread_key(key: Column, row_hash: Column) -> Column:
 def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
     """Detail fields into listing rows by URL; a non-null detail value wins.
 
-    Of several detail rows of one URL the last by ``ingest_ord`` counts; without that column one
-    of them, chosen by its values alone. Rows without a URL get spread keys, and a URL that many
+    Of several detail rows of one URL the last by ``ingest_ord`` counts, which they must have. Rows without a URL get spread keys, and a URL that many
     listing rows share is split by the skew join, so no task takes more than its share.
     ``detail_merged`` tells the rows that got any field.
     """
+    if "ingest_ord" not in detail.columns:
+        raise ValueError("detail rows need ingest_ord, since the last one of a URL counts")
     fields = [c for c in detail.columns if c in M.DETAIL_FIELDS or c in M.LISTING_FIELDS]
     fields = [c for c in fields if c != "url"]
     left = listing.withColumn(
         "_key", _spread_key(F.col("url"), F.xxhash64(*listing.columns))
     )
-    last = F.col("ingest_ord") if "ingest_ord" in detail.columns else F.xxhash64(*fields)
     right = (
         detail.where(F.col("url") != "")
         # The second key keeps the join's own exchange, which is what AQE can split at a hot URL.
         .groupBy(F.col("url").alias("_url"), F.xxhash64("url").alias("_h"))
-        .agg(F.max_by(F.struct(*[F.col(c).alias(f"_d_{c}") for c in fields]), last).alias("_d"))
+        .agg(F.max_by(F.struct(*[F.col(c).alias(f"_d_{c}") for c in fields]), "ingest_ord").alias("_d"))
         .select("_url", "_d.*")
     )
     joined = left.join(right, left["_key"] == right["_url"], "left")
@@ -82,11 +82,39 @@ def fallback_chain(
     records of directly stored pages. All candidates meet in one aggregate keyed by URL, which
     reduces inside each task first: one shuffle instead of one per route.
     """
-    jobs = submitted.join(job_fields, "job_id")
+    return best_route(requested, submitted.join(job_fields, "job_id"), direct)
+
+
+def detail_records(
+    requested: DataFrame, submitted: DataFrame, jobs: DataFrame, pages: DataFrame, keep, strict: bool = True
+) -> DataFrame:
+    """The fallback chain from raw crawl jobs and raw direct pages: each URL's best record and its route.
+
+    The chain goes on only for what is left: jobs of other URLs are not parsed, and of the direct
+    pages only those whose URL no job has answered reach the tokenizer. Both are semi-joins on the
+    URL, ahead of the parsing, for which Spark can send a Bloom filter to the scan of the pages.
+    ``keep`` stores the jobs' answers, which two steps read, and returns them (e.g. written Parquet).
+    """
+    asked = requested.select("url").where(F.col("url") != "").distinct()
+    sent = submitted.where(F.col("job_id").isNotNull()).join(asked, "url", "left_semi")
+    answers = keep(sent.join(J.first_usable(jobs.join(sent, "job_id", "left_semi"), strict), "job_id"))
+    direct = D.extract_detail(unanswered_pages(asked, answers, pages), strict)
+    return best_route(asked, answers, direct)
+
+
+def unanswered_pages(asked: DataFrame, answers: DataFrame, pages: DataFrame) -> DataFrame:
+    """The pages whose URL is asked for and has no answer yet, as (url, html)."""
+    rest = asked.join(answers.select("url"), "url", "left_anti")
+    return pages.select("url", "html").join(rest, "url", "left_semi")
+
+
+def best_route(requested: DataFrame, jobs: DataFrame, direct: DataFrame) -> DataFrame:
+    """The best of all candidates per requested URL; ``jobs`` has url, job_id, route and the fields."""
     names = M.DETAIL_FIELDS
 
     def candidate(df, rank, route):
-        tie = F.col("job_id") if "job_id" in df.columns else F.lit("")
+        known = [c for c in names if c in df.columns]
+        tie = F.col("job_id") if "job_id" in df.columns else F.hex(F.xxhash64(*known)) if known else F.lit("")
         return df.select(
             "url", rank.alias("_rank"), tie.alias("_tie"), route.alias("route"),
             F.struct(*[F.col(c) if c in df.columns else F.lit(None).cast(M.detail_type(c)).alias(c)

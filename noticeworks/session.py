@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Files of a bucketed table are sorted by its key: with this, Spark takes their order as given.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+    # A write by a partition column of few values opens one file for each instead of sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Notice dates carry no zone; UTC keeps every rendering independent of the host.
     "spark.sql.session.timeZone": "UTC",
 }

@@ -21,16 +21,9 @@ def response_envelope(rows: DataFrame, pages: DataFrame) -> DataFrame:
     instead of inside it, whatever their number.
     """
     counts = rows.groupBy("source").agg(F.count("*").alias("count"))
-    per_page = pages.select(
-        "source", "page_no",
-        L.page_live_count(F.col("html")).alias("_live"),
-        (~S.challenge_page(F.col("html"))).alias("_readable"),
-    )
-    seen = per_page.groupBy("source").agg(
-        F.max("page_no").alias("total_pages"),
-        F.max_by("_live", "page_no").alias("live_tenders"),
-        F.max("_readable").alias("success"),
-    )
+    readable = pages.select("source", (~S.challenge_page(F.col("html"))).alias("_readable")).groupBy("source").agg(
+        F.max("_readable").alias("success"))
+    seen = L.live_counts(pages).join(readable, "source")
     return seen.join(counts, "source", "left").select(
         "success", "source",
         F.coalesce("count", F.lit(0)).alias("count"),

@@ -35,11 +35,16 @@ def history(headers: DataFrame, n: int = 10) -> DataFrame:
 
 
 def payload_chunks(items: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """Items packed into one payload array per page, in page order."""
+    """Items packed into one payload array per page, in page order.
+
+    A page is told by all of the order but the row: source, crawl, job, number and stored page. The
+    same page number of different jobs never meets in one array.
+    """
     packed = F.collect_list(F.struct("ingest_ord", F.struct(*fields).alias("item")))
-    return items.groupBy(*keys, F.col("ingest_ord.page_no").alias("chunk_no")).agg(
-        F.transform(F.array_sort(packed), lambda x: x["item"]).alias("payload")
-    )
+    page = [f for f in items.schema["ingest_ord"].dataType.names if f not in ("page_no", "row_ord")]
+    return items.groupBy(
+        *keys, F.col("ingest_ord.page_no").alias("chunk_no"), *[F.col(f"ingest_ord.{f}").alias(f"_{f}") for f in page]
+    ).agg(F.transform(F.array_sort(packed), lambda x: x["item"]).alias("payload")).drop(*[f"_{f}" for f in page])
 
 
 def unpack(snapshots: DataFrame, payload: str = "payload") -> DataFrame:
@@ -71,20 +76,20 @@ class SnapshotStore:
         self.path = path.rstrip("/")
 
     def append(
-        self, items: DataFrame, snapshot_id: str, scraped_at, source: str, observation=None
+        self, items: DataFrame, snapshot_id: str, scraped_at, source: str, seen=None
     ) -> DataFrame:
         """Write the items of a run, then its header; return the items as stored.
 
         The header is written last, so a run that failed half-way is never the latest one and
         its items are written anew. A run whose header exists is complete: it is left as it is
-        and nothing is computed again. ``observation`` is attached to the items' own scan and
-        gives ``live_tenders`` and ``total_pages``.
+        and nothing is computed again. ``seen``, called when the items are written, gives
+        ``live_tenders`` and ``total_pages``.
         """
         folder = f"{self.path}/items/snapshot_id={snapshot_id}"
         header = self._header_path(snapshot_id)
-        if not path_exists(self.spark, f"{header}/_SUCCESS"):
+        if not self.complete(snapshot_id):
             items.write.mode("overwrite").parquet(folder)
-            seen = observation.get if observation is not None else {}
+            seen = seen() if seen is not None else {}
             self.spark.read.parquet(folder).agg(F.count("*").alias("count")).select(
                 F.lit(snapshot_id).alias("snapshot_id"),
                 F.lit(scraped_at).cast("timestamp_ntz").alias("scraped_at"),
@@ -95,6 +100,10 @@ class SnapshotStore:
             ).write.mode("overwrite").parquet(header)
         return self.items(snapshot_id)
 
+    def complete(self, snapshot_id: str) -> bool:
+        """Whether a run is stored whole."""
+        return path_exists(self.spark, f"{self._header_path(snapshot_id)}/_SUCCESS")
+
     def _header_path(self, snapshot_id: str) -> str:
         return f"{self.path}/headers/run={snapshot_id}"
 

@@ -163,7 +163,8 @@ class NoticeTable:
         Everything is computed from one pinned version. If another writer took the next version
         in the meantime, the change is computed anew from that writer's state.
         """
-        wanted = [r[0] for r in staged.select(self._bucket().alias("bucket")).distinct().collect()]  # <= buckets
+        sizes = dict(staged.groupBy(self._bucket().alias("bucket")).count().collect())  # <= buckets
+        wanted = sorted(sizes)
         while wanted:
             state = self._load() or {"version": 0, "buckets": self.buckets, "notices": {}, "vectors": {}}
             if self._holds(state, batch):
@@ -174,24 +175,35 @@ class NoticeTable:
             if not parts:
                 return
             self._mark(state)
-            after = {k: v for k, v in state.items() if k not in ("version", "batch")} | {kind: state[kind] | parts}
+            after = {k: v for k, v in state.items() if k not in ("version", "batch", "batch_rows")}
+            after[kind] = state[kind] | parts
             if isinstance(batch, tuple):
                 after["streams"] = state.get("streams", {}) | {batch[0]: batch[1]}
             elif batch:
-                after["batch"] = batch
+                after |= {"batch": batch, "batch_rows": sum(sizes.values())}
             if self._save(after, state["version"] + 1):
                 return
             self._delete(next(iter(parts.values()))["folder"])
 
     # A pointer names its own batch only. Its marker is written before the next pointer, so a batch
     # is known by its marker or, if it was the last one, by the pointer.
-    def _marker(self, batch: str):
-        return self._place(f"_batches/{hashlib.sha256(batch.encode()).hexdigest()}")
+    def _marker(self, batch: str) -> str:
+        return f"_batches/{hashlib.sha256(batch.encode()).hexdigest()}"
 
     def _mark(self, state: dict) -> None:
         if state.get("batch"):
-            fs, marker = self._marker(state["batch"])
-            fs.create(marker, True).close()
+            fs, marker = self._place(self._marker(state["batch"]))
+            out = fs.create(marker, True)
+            out.write(bytearray(str(state["batch_rows"]).encode()))
+            out.close()
+
+    def batch_rows(self, batch: str) -> int:
+        """Rows (one per key) that a named batch brought; 0 for a batch that changed nothing."""
+        state = self._load() or {}
+        if state.get("batch") == batch:
+            return state["batch_rows"]
+        fs, marker = self._place(self._marker(batch))
+        return int(read_text(self.spark, f"{self.path}/{self._marker(batch)}")) if fs.exists(marker) else 0
 
     def _holds(self, state: dict | None, batch) -> bool:
         """Whether the table has the batch: by name, or by the last number of its stream."""
@@ -201,7 +213,7 @@ class NoticeTable:
             return batch[1] <= state.get("streams", {}).get(batch[0], -1)
         if state.get("batch") == batch:
             return True
-        fs, marker = self._marker(batch)
+        fs, marker = self._place(self._marker(batch))
         return fs.exists(marker)
 
     def _delete(self, name: str) -> None:

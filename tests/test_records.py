@@ -32,7 +32,11 @@ def test_listing_rows_first_wins_over_pages(spark, tmp_path):
     assert got["only title"]["ref_no"] == "UNKNOWN" and got["only title"]["organisation"] is None
     assert got[""]["url"] == "http://h" and got[""]["closing_date"] is None
     done = J.page_completeness(df).head().asDict()
-    assert done == {"job_id": "j", "pages": 2, "extracted_rows": 6, "last_page": 1, "claimed_total": 12}
+    assert done == {"job_id": "j", "pages": 2, "extracted_rows": 6, "last_page": 1, "claimed_total": 12,
+                    "unique_rows": 3, "gap": 9, "complete": False}
+    few = jobs(spark, tmp_path, {"job_id": "j", "records": [rec(page1 | {"total_records": 2})]}, {"job_id": "n", "records": [rec(page2)]})
+    verdicts = {r["job_id"]: (r["unique_rows"], r["gap"], r["complete"]) for r in J.page_completeness(few).collect()}
+    assert verdicts == {"j": (2, 0, True), "n": (3, None, None)}
 
 
 def test_detail_json_types(spark):

@@ -11,11 +11,11 @@ from noticeworks.sources.store import NoticeTable, write_back
 from noticeworks.streaming import incremental
 
 AT = dt.datetime(2026, 3, 1)
-ORD = "struct<source_rank:int,page_no:bigint,row_ord:int>"
+ORD = M.ORDER_TYPE
 
 
 def items(spark, rows, columns):
-    return spark.createDataFrame([(*r, (1, 1, i)) for i, r in enumerate(rows)], f"{columns}, ingest_ord {ORD}")
+    return spark.createDataFrame([(*r, (1, None, None, 1, 1, i)) for i, r in enumerate(rows)], f"{columns}, ingest_ord {ORD}")
 
 
 def test_first_and_last_wins(spark):
@@ -26,7 +26,7 @@ def test_first_and_last_wins(spark):
 
 def test_merge_detail(spark):
     listing = items(spark, [("t1", "u1"), ("t2", "u1"), ("t3", None), ("t4", ""), ("t5", "u2")], "title string, url string")
-    detail = spark.createDataFrame([("u1", "Pune", ""), ("u2", None, None), ("", "no", "no")], "url string, location string, title string")
+    detail = items(spark, [("u1", "Pune", ""), ("u2", None, None), ("", "no", "no")], "url string, location string, title string")
     got = {r["url"]: r for r in merge.merge_detail(listing, detail).collect()}
     assert len(got) == 4 and got["u1"]["location"] == "Pune" and got["u1"]["title"] == ""
     assert got["u2"]["title"] == "t5" and got["u2"]["detail_merged"] is False
@@ -37,7 +37,8 @@ def test_merge_detail_never_multiplies_rows(spark):
     listing = items(spark, [("t1", "u1")], "title string, url string")
     detail = items(spark, [("u1", "Pune"), ("u1", "Goa")], "url string, location string")
     assert [r["location"] for r in merge.merge_detail(listing, detail).collect()] == ["Goa"]
-    assert merge.merge_detail(listing, detail.drop("ingest_ord")).count() == 1
+    with pytest.raises(ValueError, match="ingest_ord"):
+        merge.merge_detail(listing, detail.drop("ingest_ord"))
 
 
 def test_merge_detail_splits_a_hot_url(spark):
@@ -47,7 +48,8 @@ def test_merge_detail_splits_a_hot_url(spark):
         F.sha2(F.col("id").cast("string"), 256).alias("title"),
     )
     detail = spark.range(500).select(
-        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"), F.lit("x").alias("location")
+        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"), F.lit("x").alias("location"),
+        F.lit(0).alias("ingest_ord"),
     )
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -127,6 +129,7 @@ def test_batches_are_applied_once(spark, table):
     for name in ("b1", "b2", "b3"):
         table.upsert(notice(spark, [("k", "e", "again", "u", None, None)]), AT, batch=name)
     assert state(table)["k", "e"]["title"] == "b3" and table._load()["batch"] == "b3"
+    assert [table.batch_rows(b) for b in ("b1", "b3", "none")] == [1, 1, 0]
 
 
 def plan(df):
@@ -159,7 +162,7 @@ def test_stored_rows_are_neither_shuffled_nor_sorted(spark, table, tmp_path, shu
 def test_commit_never_replaces_a_pointer_that_appears_meanwhile(spark, table, monkeypatch):
     """The target appears when the draft has been written: just before the one step that claims it."""
     table.upsert(notice(spark, [("k", "e", "t", "u", None, None)]), AT)
-    draft, theirs = table._draft, {"buckets": 4, "notices": {}, "vectors": {}, "batch": "theirs"}
+    draft, theirs = table._draft, {"buckets": 4, "notices": {}, "vectors": {}, "batch": "theirs", "batch_rows": 0}
 
     def late(state):
         made = draft(state)
@@ -169,7 +172,7 @@ def test_commit_never_replaces_a_pointer_that_appears_meanwhile(spark, table, mo
 
     other = []
     monkeypatch.setattr(table, "_draft", late)
-    assert table._save({"buckets": 4, "notices": {}, "vectors": {}, "batch": "mine"}, 2) is False
+    assert table._save({"buckets": 4, "notices": {}, "vectors": {}, "batch": "mine", "batch_rows": 0}, 2) is False
     assert other == [True] and table._at(2) == theirs and table._versions() == [1, 2]
     fs, folder = table._place("")
     assert not [f for f in fs.listStatus(folder) if f.getPath().getName().startswith("_draft")]
