@@ -16,8 +16,8 @@ from noticeworks.operators import (
 from noticeworks.plans import runs
 from noticeworks.session import shared_dir
 from noticeworks.sources import snapshots
-from noticeworks.sources.store import NoticeTable
-from noticeworks.streaming import incremental
+from noticeworks.sources.store import JobTable, NoticeTable
+from noticeworks.streaming import incremental, logs
 
 RUN_AT = dt.datetime(2026, 3, 1, 6, 0)
 
@@ -337,12 +337,31 @@ FROM i GROUP BY source"""
 # --- Logs ----------------------------------------------------------------------------------
 
 
-def call_budget(spark, sf):
-    """Events as calls of one client: at most six within an hour."""
-    e = K.table(spark, sf, "events").select(
+def _calls(events):
+    """Events as calls of few clients, of whom one makes a third of all."""
+    return events.select(
         "event_id", F.when(F.col("user_id") % 3 == 0, "hot").otherwise(F.col("event_type")).alias("key"), "ts"
     )
-    return calllog.call_budget(e, window_seconds=3600)
+
+
+def call_budget(spark, sf):
+    """At most six calls of a client within an hour."""
+    return calllog.call_budget(_calls(K.table(spark, sf, "events")), window_seconds=3600)
+
+
+def call_budget_stream(spark, sf):
+    """The same from a stream of the events; a heartbeat a day later closes its last windows."""
+    base = shared_dir(spark, "calls")
+    calls = _calls(K.table(spark, sf, "events"))
+    calls.write.parquet(f"{base}/in")
+    calls.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts")).select(
+        F.lit(None).cast(calls.schema["event_id"].dataType).alias("event_id"), F.lit("heartbeat").alias("key"), "ts"
+    ).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(calls.schema).parquet(f"{base}/in")
+    query = logs.call_budget_stream(stream, window_seconds=3600, late="1 hour").writeStream.trigger(availableNow=True).option(
+        "checkpointLocation", f"{base}/checkpoint").format("parquet").start(f"{base}/out")
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
 
 
 BUDGET_SQL = """
@@ -369,7 +388,7 @@ def job_state_stream(spark, sf):
     schema = K.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
     base = shared_dir(spark, "jobs")
-    return incremental.job_states(spark, _polls(events), f"{base}/out", f"{base}/checkpoint")
+    return logs.job_states(spark, _polls(events), JobTable(spark, f"{base}/out", buckets=8), f"{base}/checkpoint")[1]
 
 
 JOB_SQL = f"""
@@ -533,6 +552,7 @@ QUERIES = {
     "pending_fallback": pending_fallback,
     "run_counters": run_counters,
     "call_budget": call_budget,
+    "call_budget_stream": call_budget_stream,
     "job_state": job_state,
     "job_state_stream": job_state_stream,
     "fetch_outcomes": fetch_outcomes,
@@ -603,6 +623,7 @@ SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'O' THEN false END AS detail_
 WHERE o_orderkey % 4 = 0 AND o_orderstatus <> 'F' ORDER BY o_orderkey LIMIT 100""",
     "run_counters": COUNTERS_SQL,
     "call_budget": BUDGET_SQL,
+    "call_budget_stream": BUDGET_SQL,
     "job_state": JOB_SQL,
     "job_state_stream": JOB_SQL,
     "fetch_outcomes": OUTCOME_SQL,

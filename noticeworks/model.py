@@ -153,6 +153,10 @@ STORED_SCHEMA = (
     + ", ".join(f"{f} {detail_type(f)}" for f in STORED_DETAIL_FIELDS)
     + ", detail_scraped BOOLEAN, raw_data MAP<STRING, STRING>, updated_at TIMESTAMP_NTZ"
 )
+JOB_SCHEMA = (
+    "job_id STRING, segment STRING, status STRING, status_us BIGINT, status_seq BIGINT, "
+    "first_us BIGINT, last_us BIGINT, polls BIGINT"
+)
 VECTOR_SCHEMA = "ref_no STRING, source STRING, embedding ARRAY<FLOAT>"
 
 PREFERENCE_SCHEMA = (

@@ -17,35 +17,31 @@ def call_budget(
 ) -> DataFrame:
     """Adds, per call, the calls of its key in the trailing window and whether that is too many.
 
-    A call exactly one window old still counts. A call without a time stamp has no count (null). Equal time stamps are counted together first.
-    Then every (key, time slot) is a window group of its own; the slot before it is copied in
-    as context. A busy key therefore spreads over as many tasks as it has slots, and a group
-    never holds more than two slots' worth of distinct time stamps.
+    A call exactly one window old still counts. A call without a time stamp has no count (null).
+    Every (key, time slot) is a window group of its own, to which the calls of the slot before it are
+    copied as bare time stamps. So the log is read and shuffled once, a call's columns travel with it
+    instead of being joined back, and a busy key spreads over as many tasks as it has slots.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
     span = window_seconds * 1_000_000
-    stamped = log.withColumn("_us", micros)
-    per_stamp = stamped.groupBy(key, "_us").agg(F.count("*").alias("_n"))
-    slot = F.floor(F.col("_us") / F.lit(span))
-    slots = per_stamp.withColumn(
-        "_at", F.explode(F.array(F.struct(slot.alias("slot"), F.lit(True).alias("own")),
-                                 F.struct((slot + 1).alias("slot"), F.lit(False).alias("own"))))
-    ).select(key, "_us", "_n", "_at.slot", "_at.own")
-    trailing = Window.partitionBy(key, "slot").orderBy("_us").rangeBetween(-span, 0)
-    counted = (
-        slots.withColumn("calls_in_window", F.sum("_n").over(trailing))
-        .where("own")
-        .select(F.col(key).alias("_key"), F.col("_us").alias("_stamp"), "calls_in_window")
-    )
-    joined = stamped.join(
-        counted,
-        stamped[key].eqNullSafe(counted["_key"]) & (stamped["_us"] == counted["_stamp"]),
-        "left",
-    )
-    return joined.select(
-        *log.columns,
-        "calls_in_window",
-        (F.col("calls_in_window") > budget).alias("over_budget"),
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    slot = F.floor(micros / F.lit(span))
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(log.columns)])
+
+    def copy(at, own):
+        return F.struct(at.cast("bigint").alias("slot"), own.alias("row"))
+
+    nothing = F.lit(None).cast(log.select(row.alias("r")).schema["r"].dataType)
+    # Calls without a stamp meet nobody: any slot will do, so they are spread.
+    spread = -1 - F.pmod(F.xxhash64(row), F.lit(1 << 20))
+    copies = F.when(micros.isNull(), F.array(copy(spread, row))).otherwise(
+        F.array(copy(slot, row), copy(slot + 1, nothing)))
+    dealt = log.select(F.col(key).alias("k"), micros.alias("us"), F.explode(copies).alias("at")).select(
+        "k", "us", "at.slot", "at.row")
+    trailing = Window.partitionBy("k", "slot").orderBy("us").rangeBetween(-span, 0)
+    counted = dealt.withColumn("n", F.when(F.col("us").isNotNull(), F.count("*").over(trailing))).where("row is not null")
+    return counted.select(
+        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(log.columns)],
+        F.col("n").alias("calls_in_window"), (F.col("n") > budget).alias("over_budget"),
     )
 
 
@@ -61,6 +57,22 @@ def job_state(log: DataFrame, timeout_seconds: int = M.JOB_TIMEOUT_SECONDS) -> D
         F.max("ts").alias("last_ts"),
         F.count("*").alias("polls"),
     )
+    return _with_state(agg, timeout_seconds)
+
+
+def job_state_of_segments(segments: DataFrame, timeout_seconds: int = M.JOB_TIMEOUT_SECONDS) -> DataFrame:
+    """The same from stretches of polls that a stream has written (``model.JOB_SCHEMA``)."""
+    stamp = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    agg = segments.groupBy("job_id").agg(
+        F.max_by("status", F.struct("status_us", "status_seq")).alias("status"),
+        stamp(F.min("first_us")).alias("first_ts"),
+        stamp(F.max("last_us")).alias("last_ts"),
+        F.sum("polls").alias("polls"),
+    )
+    return _with_state(agg, timeout_seconds)
+
+
+def _with_state(agg: DataFrame, timeout_seconds: int) -> DataFrame:
     elapsed = F.unix_micros(F.col("last_ts").cast("timestamp")) - F.unix_micros(
         F.col("first_ts").cast("timestamp")
     )

@@ -23,6 +23,9 @@ RUNTIME_CONF = {
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # A write by a partition column of few values opens one file for each instead of sorting its rows.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # States with timers need this store; it keeps them on disk instead of in the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Notice dates carry no zone; UTC keeps every rendering independent of the host.
     "spark.sql.session.timeZone": "UTC",
 }

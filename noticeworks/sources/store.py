@@ -1,7 +1,7 @@
-"""The notice table: bucketed, sorted Parquet, one folder per write, one small pointer per version.
+"""Keyed tables: bucketed, sorted Parquet, one folder per write, one small pointer per version.
 
-Notices and their vectors are two tables with the same buckets of the notice key. A version is
-registered with the session's catalog as a bucketed table, so merges, write-backs and look-ups by
+Notices and their vectors are two tables with the same buckets of the notice key; job states are a
+table of their own. A version is registered with the session's catalog as a bucketed table, so merges, write-backs and look-ups by
 key read the stored side bucket by bucket: it is neither shuffled nor sorted, only the batch is. A
 write rewrites the buckets that its batch touches, of the table it changes, into a new folder and
 then adds the next pointer, which lists the folder and a few counts of every bucket. Readers see the
@@ -22,22 +22,16 @@ from noticeworks.operators import merge, metrics
 from noticeworks.session import file_system, read_text
 
 _POINTER = "_pointer"
-_KEY = ", ".join(M.NOTICE_KEY)
-_STATS = {  # what a pointer keeps of a bucket, by table
-    "notices": lambda: [
-        F.count("*").alias("rows"), F.count_if("detail_scraped").alias("detailed"),
-        F.count_if(~F.col("detail_scraped")).alias("undetailed"), F.max("updated_at").alias("updated_at")],
-    "vectors": lambda: [F.count("*").alias("rows")],
-}
 
 
-class NoticeTable:
-    """A keyed notice table below ``path``. ``buckets`` is fixed when the table is created."""
+class BucketedTable:
+    """One or more tables with one key below ``path``. ``buckets`` is fixed when they are created."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, schema: str = M.STORED_SCHEMA):
+    def __init__(self, spark: SparkSession, path: str, key: list[str], schemas: dict[str, str], buckets: int = 64):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schemas = {"notices": schema, "vectors": M.VECTOR_SCHEMA}
+        self.key = key
+        self.schemas = schemas
         state = self._load()
         self.buckets = state["buckets"] if state else buckets
 
@@ -99,7 +93,11 @@ class NoticeTable:
 
     def _bucket(self) -> Column:
         """The bucket that Spark's own bucketing gives a key."""
-        return F.pmod(F.hash(*M.NOTICE_KEY), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.hash(*self.key), F.lit(self.buckets)).cast("int")
+
+    def _stats(self, kind: str) -> list[Column]:
+        """What a pointer keeps of a bucket beside its folder."""
+        return [F.count("*").alias("rows")]
 
     def _scan(self, state: dict | None, kind: str, wanted: list[int] | None = None) -> DataFrame:
         """A table of a version, or those of its buckets that are wanted."""
@@ -110,9 +108,10 @@ class NoticeTable:
         which = json.dumps([self.path, kind, sorted(folders.items())])
         name = f"{kind}_{hashlib.md5(which.encode()).hexdigest()}"
         if not self.spark.catalog.tableExists(name):
+            key = ", ".join(self.key)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({self.schemas[kind]}, bucket INT) USING parquet PARTITIONED BY (bucket) "
-                f"CLUSTERED BY ({_KEY}) SORTED BY ({_KEY}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/none'")
+                f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/none'")
             places = [f"PARTITION (bucket={b}) LOCATION '{self.path}/{f}/bucket={b}'" for b, f in sorted(folders.items())]
             for i in range(0, len(places), 1000):
                 self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(places[i:i + 1000]))
@@ -122,41 +121,14 @@ class NoticeTable:
     def _write(self, rows: DataFrame, kind: str) -> dict:
         """Write rows to a new folder, one sorted file for each bucket; what the pointer keeps of them."""
         folder, name = f"data/{uuid.uuid4().hex}", f"draft_{uuid.uuid4().hex}"
-        rows.withColumn("bucket", self._bucket()).write.partitionBy("bucket").bucketBy(self.buckets, *M.NOTICE_KEY).sortBy(
-            *M.NOTICE_KEY).format("parquet").option("path", f"{self.path}/{folder}").saveAsTable(name)
+        rows.withColumn("bucket", self._bucket()).write.partitionBy("bucket").bucketBy(self.buckets, *self.key).sortBy(
+            *self.key).format("parquet").option("path", f"{self.path}/{folder}").saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")  # the files stay
         written = self.spark.read.schema(f"{self.schemas[kind]}, bucket INT").parquet(f"{self.path}/{folder}")
-        stats = written.groupBy("bucket").agg(*_STATS[kind]()).collect()  # <= buckets
+        stats = written.groupBy("bucket").agg(*self._stats(kind)).collect()  # <= buckets
         plain = lambda v: v.isoformat() if isinstance(v, dt.datetime) else v
         return {str(r["bucket"]): {"folder": folder} | {k: plain(v) for k, v in r.asDict().items() if k != "bucket"} for r in stats}
 
-    def notices(self) -> DataFrame:
-        """The stored notices without their vectors."""
-        return self._scan(self._load(), "notices")
-
-    def vectors(self) -> DataFrame:
-        return self._scan(self._load(), "vectors")
-
-    def read(self) -> DataFrame:
-        """The stored notices with their vectors, joined bucket by bucket."""
-        state = self._load()
-        return self._scan(state, "notices").join(self._scan(state, "vectors"), M.NOTICE_KEY, "left")
-
-    def pending(self) -> DataFrame:
-        """The notices without a vector; only the keys of the vectors are read."""
-        state = self._load()
-        return self._scan(state, "notices").join(self._scan(state, "vectors").select(*M.NOTICE_KEY), M.NOTICE_KEY, "left_anti")
-
-    def status(self, crawl_enabled: bool = True) -> DataFrame:
-        """The status metrics of the stored notices, from the counts that the pointer holds: no file is read."""
-        state = self._load() or {}
-        when = lambda t: dt.datetime.fromisoformat(t) if t else None
-        rows = [(p["rows"], p["detailed"], p["undetailed"], when(p["updated_at"]), 0) for p in state.get("notices", {}).values()]
-        rows += [(0, 0, 0, None, p["rows"]) for p in state.get("vectors", {}).values()]
-        parts = self.spark.createDataFrame(
-            rows, "rows bigint, detailed bigint, undetailed bigint, updated_at timestamp_ntz, embedded bigint")
-        return metrics.status_of_parts(parts, crawl_enabled)
-
     def _commit(self, staged: DataFrame, kind: str, change, batch) -> None:
         """Rewrite the buckets of the staged rows with ``change`` and add the next pointer.
 
@@ -166,11 +138,11 @@ class NoticeTable:
         sizes = dict(staged.groupBy(self._bucket().alias("bucket")).count().collect())  # <= buckets
         wanted = sorted(sizes)
         while wanted:
-            state = self._load() or {"version": 0, "buckets": self.buckets, "notices": {}, "vectors": {}}
+            state = self._load() or {"version": 0, "buckets": self.buckets} | {k: {} for k in self.schemas}
             if self._holds(state, batch):
                 return
             known = any(str(b) in state[kind] for b in wanted)
-            new = staged if known else staged.repartition(self.buckets, *M.NOTICE_KEY)
+            new = staged if known else staged.repartition(self.buckets, *self.key)
             parts = self._write(change(state, self._scan(state, kind, wanted) if known else None, new, wanted), kind)
             if not parts:
                 return
@@ -244,6 +216,47 @@ class NoticeTable:
         self._commit(self.spark.read.schema(rows.schema).parquet(f"{self.path}/{stage}"), kind, change, batch)
         self._delete(stage)
 
+
+class NoticeTable(BucketedTable):
+    """The notice table: notices, and their vectors beside them."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        super().__init__(spark, path, M.NOTICE_KEY, {"notices": M.STORED_SCHEMA, "vectors": M.VECTOR_SCHEMA}, buckets)
+
+    def _stats(self, kind: str) -> list[Column]:
+        if kind == "vectors":
+            return super()._stats(kind)
+        return [
+            *super()._stats(kind), F.count_if("detail_scraped").alias("detailed"),
+            F.count_if(~F.col("detail_scraped")).alias("undetailed"), F.max("updated_at").alias("updated_at")]
+
+    def notices(self) -> DataFrame:
+        """The stored notices without their vectors."""
+        return self._scan(self._load(), "notices")
+
+    def vectors(self) -> DataFrame:
+        return self._scan(self._load(), "vectors")
+
+    def read(self) -> DataFrame:
+        """The stored notices with their vectors, joined bucket by bucket."""
+        state = self._load()
+        return self._scan(state, "notices").join(self._scan(state, "vectors"), M.NOTICE_KEY, "left")
+
+    def pending(self) -> DataFrame:
+        """The notices without a vector; only the keys of the vectors are read."""
+        state = self._load()
+        return self._scan(state, "notices").join(self._scan(state, "vectors").select(*M.NOTICE_KEY), M.NOTICE_KEY, "left_anti")
+
+    def status(self, crawl_enabled: bool = True) -> DataFrame:
+        """The status metrics of the stored notices, from the counts that the pointer holds: no file is read."""
+        state = self._load() or {}
+        when = lambda t: dt.datetime.fromisoformat(t) if t else None
+        rows = [(p["rows"], p["detailed"], p["undetailed"], when(p["updated_at"]), 0) for p in state.get("notices", {}).values()]
+        rows += [(0, 0, 0, None, p["rows"]) for p in state.get("vectors", {}).values()]
+        parts = self.spark.createDataFrame(
+            rows, "rows bigint, detailed bigint, undetailed bigint, updated_at timestamp_ntz, embedded bigint")
+        return metrics.status_of_parts(parts, crawl_enabled)
+
     def upsert(self, incoming: DataFrame, updated_at, batch: str | tuple[str, int] | None = None) -> None:
         """Upsert notice rows (any number per key; the last one by ``ingest_ord`` counts).
 
@@ -281,6 +294,22 @@ class NoticeTable:
         self._staged(new, "vectors", change, batch)
 
 
+class JobTable(BucketedTable):
+    """States of crawl jobs: one row for each stretch of polls that a stream has followed."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        super().__init__(spark, path, ["job_id", "segment"], {"jobs": M.JOB_SCHEMA}, buckets)
+
+    def put(self, rows: DataFrame, batch: tuple[str, int]) -> None:
+        """Rows with their latest values, one per key."""
+        self._staged(
+            rows, "jobs",
+            lambda state, current, new, wanted: new if current is None else merge.newer(current, new, self.key), batch)
+
+    def segments(self) -> DataFrame:
+        return self._scan(self._load(), "jobs")
+
+
 def write_back(table: DataFrame, vectors: DataFrame, keys: list[str]) -> DataFrame:
     """The table with new vectors where there are any; rows and other columns stay."""
     new = vectors.select(*keys, F.col("embedding").alias("_new"))

@@ -1,4 +1,4 @@
-"""Incremental runs: newly arrived pages and poll events."""
+"""Incremental runs: newly arrived pages."""
 
 from __future__ import annotations
 
@@ -7,12 +7,17 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from noticeworks.operators import calllog, listing as L, merge
+from noticeworks.operators import listing as L, merge
 from noticeworks.session import read_text
 from noticeworks.sources.pages import stream_pages
 from noticeworks.sources.store import NoticeTable
 
 
+def stream_id(spark: SparkSession, checkpoint: str):
+    """A function that gives the id Spark keeps in a checkpoint; the file is read once, while the stream runs."""
+    return functools.cache(lambda: json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"])
+
+
 def upsert_new_pages(
     spark: SparkSession,
     page_dir: str,
@@ -30,13 +35,11 @@ def upsert_new_pages(
     """
     pages = stream_pages(spark, page_dir, files_per_batch)
 
-    @functools.cache
-    def stream_id() -> str:
-        return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+    stream = stream_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = merge.notice_rows(L.extract_listing(batch, strict=strict))
-        table.upsert(rows, updated_at, batch=(stream_id(), batch_id))
+        table.upsert(rows, updated_at, batch=(stream(), batch_id))
 
     query = (
         pages.writeStream.trigger(availableNow=True)
@@ -46,31 +49,3 @@ def upsert_new_pages(
     )
     query.awaitTermination()
     return query
-
-
-def job_states(
-    spark: SparkSession, events: DataFrame, out_dir: str, checkpoint: str
-) -> DataFrame:
-    """Latest job states from a stream of poll events; returns the table that was written.
-
-    The streaming aggregate keeps one small state per job. Each trigger writes the states that
-    changed to its own folder; the newest folder of a job counts. ``events`` is a streaming
-    frame with job_id, ts, seq, status.
-    """
-    state = calllog.job_state(events)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
-
-    query = (
-        state.writeStream.outputMode("update").trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .start()
-    )
-    query.awaitTermination()
-    written = spark.read.parquet(out_dir)
-    cols = [c for c in written.columns if c not in ("job_id", "batch")]
-    return written.groupBy("job_id").agg(
-        F.max_by(F.struct(*cols), "batch").alias("_s")
-    ).select("job_id", "_s.*")

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,8 @@ from noticeworks import model as M
 from noticeworks.operators import backfill, calllog, dedup, merge, metrics, search, vectors
 from noticeworks.plans import runs
 from noticeworks.sources import export, pages as P, snapshots
-from noticeworks.sources.store import NoticeTable, write_back
-from noticeworks.streaming import incremental
+from noticeworks.sources.store import JobTable, NoticeTable, write_back
+from noticeworks.streaming import incremental, logs
 
 AT = dt.datetime(2026, 3, 1)
 ORD = M.ORDER_TYPE
@@ -334,6 +335,92 @@ def test_call_without_time_stamp_is_kept(spark):
     assert {r["i"]: r["calls_in_window"] for r in calllog.call_budget(df).collect()} == {1: 1, 2: None}
 
 
+def test_call_budget_reads_and_shuffles_the_log_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS key", "timestamp_seconds(id) AS ts", "'x' AS KEYS").write.parquet(str(tmp_path / "log"))
+    text = plan(calllog.call_budget(spark.read.parquet(str(tmp_path / "log"))))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "Join" not in text
+
+
+def calls_of(rng, n, keys=3, seconds=600):
+    base = dt.datetime(2026, 1, 1)
+    return [(i, rng.choice([f"k{j}" for j in range(keys)] + [None]), base + dt.timedelta(microseconds=rng.randint(0, seconds * 10**6))) for i in range(n)]
+
+
+def streamed(spark, tmp_path, files, schema, run):
+    """Feed files one by one to a stream; ``run`` gets the streaming frame and a checkpoint."""
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "checkpoint"))
+
+
+def test_call_budget_stream_equals_the_batch(spark, tmp_path):
+    """Calls out of order within the allowed lateness, over several triggers; one without a stamp."""
+    rng = random.Random(4)
+    rows = sorted(calls_of(rng, 300), key=lambda r: r[2] + dt.timedelta(seconds=rng.uniform(0, 50)))
+    rows += [(999, "k0", None)]
+    files = [rows[i::1][a:a + 80] for i in (0,) for a in range(0, len(rows), 80)]
+    files.append([(-1, "beat", dt.datetime(2026, 1, 2))])
+    schema = "i int, key string, ts timestamp"
+
+    def run(calls, checkpoint):
+        q = logs.call_budget_stream(calls, late="60 seconds", budget=3).writeStream.trigger(availableNow=True).option(
+            "checkpointLocation", checkpoint).format("parquet").start(str(tmp_path / "out"))
+        q.awaitTermination()
+        held.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+
+    held = []
+    streamed(spark, tmp_path, files, schema, run)
+    got = {r["i"]: tuple(r)[3:] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {r["i"]: tuple(r)[3:] for r in calllog.call_budget(spark.createDataFrame(rows, schema), budget=3).collect()}
+    assert got == want and len(got) == len(rows)
+    assert held[-1] <= 2  # the windows of the heartbeat
+
+
+def test_calls_behind_the_watermark_are_left_out(spark, tmp_path):
+    base = dt.datetime(2026, 1, 1)
+    files = [[(1, "k", base)], [(2, "k", base + dt.timedelta(hours=1))], [(3, "k", base)], [(4, "k", base + dt.timedelta(days=1))]]
+
+    def run(calls, checkpoint):
+        logs.call_budget_stream(calls, late="10 seconds").writeStream.trigger(availableNow=True).option(
+            "checkpointLocation", checkpoint).format("parquet").start(str(tmp_path / "out")).awaitTermination()
+
+    streamed(spark, tmp_path, files, "i int, key string, ts timestamp", run)
+    assert {r["i"]: r["calls_in_window"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1: 1, 2: 1}
+
+
+def test_job_state_stream_is_bounded(spark, tmp_path):
+    """Ten triggers: the states equal those of the batch, only open jobs have state, one folder stays."""
+    base = dt.datetime(2026, 1, 1)
+    schema = "job_id string, ts timestamp, seq int, status string"
+    rng = random.Random(2)
+    files, seq = [], 0
+    for trigger in range(10):
+        rows = []
+        for job in range(12):
+            for _ in range(2):
+                seq += 1
+                ended = (trigger + job) % 5 == 0
+                rows.append((f"j{job}-{trigger // 2}", base + dt.timedelta(seconds=trigger * 100 + rng.randint(0, 90)), seq,
+                             rng.choice(["completed", "error"]) if ended else rng.choice(["running", "pending"])))
+        files.append(rows)
+    table = JobTable(spark, str(tmp_path / "jobs"), buckets=1)
+    out = {}
+
+    def run(events, checkpoint):
+        out["query"], out["states"] = logs.job_states(spark, events, table, checkpoint, late="0 seconds")
+
+    streamed(spark, tmp_path, files, schema, run)
+    every = [r for f in files for r in f]
+    want = calllog.job_state(spark.createDataFrame(every, schema.replace("ts timestamp", "ts timestamp_ntz")))
+    rows = lambda df: sorted(map(str, df.select(*sorted(want.columns)).collect()))
+    assert rows(out["states"]) == rows(want)
+    assert table.clean_up(keep=1) <= 1 and len(list((tmp_path / "jobs" / "data").iterdir())) == 1
+    # A last event far ahead: the time of all open jobs is up, and only its own job has state.
+    streamed(spark, tmp_path, [[("late", base + dt.timedelta(days=1), 10**6, "running")]], schema, run)
+    assert out["query"].lastProgress["stateOperators"][0]["numRowsTotal"] <= 3
+    assert {r["job_id"] for r in out["states"].collect()} == {r[0] for r in every} | {"late"}
+
+
 def test_job_state(spark):
     rows = [("a", AT, 1, "running"), ("a", AT, 2, "complete"), ("b", AT, 1, "pending"), ("b", AT + dt.timedelta(seconds=300), 2, "running"),
             ("c", AT, 1, "running"), ("c", AT + dt.timedelta(seconds=299), 1, "odd"), ("d", AT, 1, "error"), ("d", AT + dt.timedelta(seconds=999), 2, "error")]
