@@ -1,149 +1,242 @@
-"""Best notices per user by cosine similarity: exact top-k without forming all pairs."""
+"""Best notices per user by cosine similarity: exact top-k over a clustered index.
+
+Items are put into clusters by k-means, fitted on a bounded sample of them; every item is indexed,
+once, with its angle to the centre of its cluster. Users come in blocks of bounded size, users of one
+cluster together, and a block goes to the tasks that read items. First it meets the clusters nearest
+to its users, enough to hold k items for each, which gives every user a k-th score. A cluster whose
+nearest possible item, by the angle between user and centre less the widest angle in the cluster,
+cannot reach that score is not read for the block; within the others the same bound, taken with each
+item's own angle, leaves single items out. So the answer is exact for any clustering and any size, and
+the index only decides how much is scored.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Upper bound for the user matrix that every task holds: rows x dimensions of float64.
-MAX_MATRIX_BYTES = 64 * 1024 * 1024
-# Upper bound for the scores that a task holds at a time.
-_SCORE_BYTES = 32 * 1024 * 1024
-_BLOCK_ROWS = 16_384
+from noticeworks.session import shared_dir
 
-
-def _unit(vectors) -> np.ndarray:
-    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
-
-
-def _best_k(scores: np.ndarray, items: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best k columns of every row, equal scores by item id.
-
-    Only entries that reach a row's k-th best score are sorted.
+SAMPLE = 4096                  # items that the clusters are fitted on
+CLUSTERS = 128
+ROUNDS = 5
+BLOCK_ROWS = 4096              # users that go to the tasks at once, at most
+BLOCK_BYTES = 64 * 1024 * 1024 # and the size of their vectors, at most
+_ITEMS = 512                   # items that are scored against a block at once
+_SLACK = 1e-6                  # radians, far beyond any rounding of an angle
+_DIGITS = 12                   # scores that agree so far are equal: ties go to the smaller item id
+_GROUP = 256                   # tasks whose best rows meet first
+_PARTIAL = "user_id bigint, item_id bigint, score double, task int"
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.divide(vectors, norm, out=np.zeros_like(vectors), where=norm > 0)
+
+
+def _rows(column, width: int) -> np.ndarray:
+    """The vectors of an Arrow column, all of one length, scaled to length one."""
+    offsets = column.offsets.to_numpy()
+    if (np.diff(offsets) != width).any():
+        raise ValueError("vectors of one length expected")
+    return _unit(column.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(float).reshape(-1, width))
+
+
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(a @ b.T, -1, 1))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _centres(items: DataFrame, clusters: int) -> np.ndarray:
+    """Unit vectors of the cluster centres: a few k-means rounds over the ``SAMPLE`` items with the smallest hashes."""
+    rows = items.select("vector", F.xxhash64("item_id").alias("h")).orderBy("h").limit(SAMPLE).select("vector").toArrow()
+    vectors = np.stack(rows.column("vector").to_numpy())
+    sample = np.unique(_unit(vectors.astype(float)), axis=0)
+    sample = sample[sample.any(axis=1)]
+    centres = sample[np.linspace(0, len(sample) - 1, min(clusters, len(sample))).astype(int)]
+    for _ in range(ROUNDS if len(centres) else 0):
+        nearest = np.argmax(sample @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        filled = sums.any(axis=1)
+        centres[filled] = _unit(sums[filled])
+    return centres
+
+
+def _placed(rows: DataFrame, key: str, centres: np.ndarray, width: int) -> DataFrame:
+    """Rows with the cluster of the nearest centre and the angle to it, ordered by cluster within files."""
+    shared = rows.sparkSession.sparkContext.broadcast(centres)  # <= CLUSTERS rows
+
+    def task(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            unit = _rows(batch.column("vector"), width)
+            angles = _angles(unit, shared.value) if len(shared.value) else np.zeros((len(unit), 1))
+            nearest = angles.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(nearest.astype(np.int32)), pa.array(angles[np.arange(len(unit)), nearest])],
+                [key, "vector", "cluster", "angle"])
+
+    return rows.mapInArrow(task, f"{key} bigint, vector array<double>, cluster int, angle double").sortWithinPartitions("cluster")
+
+
+class Index:
+    """The clustered items: their table, and per cluster its centre, its widest angle and its size."""
+
+    def __init__(self, items: DataFrame, clusters: int = CLUSTERS):
+        own = items.where(F.col("vector").isNotNull()).select(
+            F.col("item_id").cast("bigint").alias("item_id"), F.col("vector").cast("array<double>").alias("vector"))
+        self.width = own.agg(F.max(F.size("vector"))).head()[0] or 0
+        self.centres = _centres(own, clusters) if self.width else np.zeros((0, 0))
+        self.table = _stored(_placed(own, "item_id", self.centres, self.width), "match_index")
+        n = max(1, len(self.centres))
+        self.widest, self.sizes = np.zeros(n), np.zeros(n, np.int64)
+        for r in self.table.groupBy("cluster").agg(F.max("angle").alias("a"), F.count("*").alias("n")).collect():
+            self.widest[r["cluster"]], self.sizes[r["cluster"]] = r["a"], r["n"]
+
+    def angles(self, users: np.ndarray) -> np.ndarray:
+        """Angles of users to all centres."""
+        return _angles(users, self.centres) if len(self.centres) else np.zeros((len(users), 1))
+
+
+def _bound(angle, spread):
+    """The highest score of an item that is so far from a centre, for a user at an angle to it."""
+    return np.cos(np.maximum(angle - spread - _SLACK, 0)) + _SLACK
+
+
+class _Best:
+    """Running best k items per user of a block; ``least`` is the score that an item must reach."""
+
+    def __init__(self, least: np.ndarray, k: int):
+        self.least, self.k = least.copy(), k
+        self.user, self.item, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def add(self, scores: np.ndarray, items: np.ndarray) -> None:
+        """``scores`` of all users with some items, -inf where an item is out of reach."""
+        if scores.shape[1] > self.k:
+            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
+            least = np.maximum(self.least, kth)
+        else:
+            least = self.least
+        user, col = np.nonzero(scores >= least[:, None])
+        user, item = np.append(self.user, user), np.append(self.item, items[col])
+        score = np.append(self.score, scores[user[len(self.user):], col])
+        order = np.lexsort((item, -score, user))
+        user, item, score = user[order], item[order], score[order]
+        rank = np.arange(len(user)) - np.searchsorted(user, user)
+        kept = rank < self.k
+        self.user, self.item, self.score = user[kept], item[kept], score[kept]
+        last = rank == self.k - 1
+        self.least[user[last]] = np.maximum(self.least[user[last]], score[last])
+
+
+def _scored(index: Index, clusters, block, needed, angles, k: int) -> DataFrame:
+    """The best k items of each task among some clusters, for a block of users.
+
+    ``needed`` are scores that a user's items must reach, ``angles`` those of users to centres.
     """
-    width = min(k, scores.shape[1])
-    cut = scores.shape[1] - width
-    bar = np.partition(scores, cut, axis=1)[:, cut][:, None]
-    row, col = np.nonzero(scores >= bar)
-    score, item = scores[row, col], items[row, col]
-    order = np.lexsort((item, -score, row))
-    row, score, item = row[order], score[order], item[order]
-    first = np.searchsorted(row, np.arange(len(scores)))
-    kept = np.arange(len(row)) - first[row] < width
-    return score[kept].reshape(-1, width), item[kept].reshape(-1, width)
-
-
-class _TopK:
-    """Running best k items per user: users x k numbers, whatever passes through."""
-
-    def __init__(self, users: np.ndarray, k: int):
-        self.users = users
-        self.k = k
-        self.scores = np.full((len(users), 0), -np.inf)
-        self.items = np.zeros((len(users), 0), dtype=np.int64)
-
-    def add(self, ids: np.ndarray, vectors) -> None:
-        block = self.users @ _unit(vectors).T
-        scores = np.hstack([self.scores, block])
-        items = np.hstack([self.items, np.broadcast_to(ids, block.shape)])
-        self.scores, self.items = _best_k(scores, items, self.k)
-
-    def rows(self, user_ids) -> pd.DataFrame:
-        width = self.items.shape[1]
-        return pd.DataFrame({
-            "user_id": np.repeat(np.asarray(user_ids), width),
-            "item_id": self.items.ravel(),
-            "score": self.scores.ravel(),
-        })
-
-
-def _chunks(frame: pd.DataFrame, n_users: int):
-    """Parts of a frame whose scores against all users stay within the bound."""
-    size = max(1, _SCORE_BYTES // (8 * max(n_users, 1)))
-    for start in range(0, len(frame), size):
-        yield frame.iloc[start:start + size]
+    spark, width = index.table.sparkSession, index.width
+    shared = spark.sparkContext.broadcast((*block, needed, angles))
+
+    def task(batches):
+        import pyarrow as pa
+
+        users, matrix, least, to_centre = shared.value
+        best = _Best(least, k)
+        for batch in batches:
+            for a in range(0, batch.num_rows, _ITEMS):
+                part = batch.slice(a, _ITEMS)
+                cluster = part.column("cluster").to_numpy()
+                unit, spread = _rows(part.column("vector"), width), part.column("angle").to_numpy()
+                scores = np.full((len(users), len(cluster)), -np.inf)
+                for c in np.unique(cluster):
+                    # Items of a cluster lie around its centre: each at its own angle from it.
+                    mine = np.flatnonzero(cluster == c)
+                    gap = np.abs(to_centre[:, c, None] - spread[mine])
+                    reach = _bound(gap, 0) >= best.least[:, None]
+                    able = np.flatnonzero(reach.any(axis=1))
+                    if len(able):
+                        exact = np.round(matrix[able] @ unit[mine].T, _DIGITS)
+                        scores[np.ix_(able, mine)] = np.where(reach[able], exact, -np.inf)
+                best.add(scores, part.column("item_id").to_numpy())
+        if len(best.user):
+            number = np.full(len(best.user), TaskContext.get().partitionId(), np.int32)
+            yield pa.RecordBatch.from_pydict({
+                "user_id": pa.array(users[best.user]), "item_id": pa.array(best.item), "score": pa.array(best.score),
+                "task": pa.array(number)})
+
+    chosen = index.table.where(F.col("cluster").isin([int(c) for c in clusters]))
+    return chosen.mapInArrow(task, _PARTIAL)
+
+
+def _ranked(rows: DataFrame, k: int) -> DataFrame:
+    """The best k per user: those of neighbouring tasks meet first, so no task gets all rows of a user."""
+    order = [F.desc("score"), F.col("item_id")]
+    near = Window.partitionBy("user_id", "group").orderBy(*order)
+    best = Window.partitionBy("user_id").orderBy(*order)
+    first = rows.withColumn("group", F.floor(F.col("task") / _GROUP)).withColumn("rank", F.row_number().over(near)).where(
+        F.col("rank") <= k)
+    return first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+        "user_id", "item_id", "score", "rank")
 
 
 def match_topk(
-    users: DataFrame, items: DataFrame, k: int = 5, max_matrix_bytes: int = MAX_MATRIX_BYTES,
-    block_rows: int = _BLOCK_ROWS,
+    users: DataFrame, items: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, clusters: int = CLUSTERS,
 ) -> DataFrame:
     """The k most similar items per user: user_id, item_id, score, rank.
 
     ``users`` has (user_id bigint, vector), ``items`` (item_id bigint, vector); vectors have one
-    common length. Ties go to the smaller item id.
-
-    The size of the user matrix is measured first. Up to the bound it is broadcast and every
-    task keeps the best k per user of the items it reads: the items are never shuffled. Beyond
-    it, users and items meet block by block. Either way only (users x k) rows per task or block
-    are shuffled for the final choice.
+    common length, null ones take no part. A zero vector has similarity 0 with all. Ties go to the
+    smaller item id. Users are taken in blocks; an item is stored once.
     """
-    users = users.where(F.col("vector").isNotNull())
-    items = items.where(F.col("vector").isNotNull())
-    size = users.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).head()
-    n, dim = size["n"], size["d"] or 0
-    if n * dim * 8 <= max_matrix_bytes:
-        partial = _against_broadcast(users, items, k)
+    spark = users.sparkSession
+    none = spark.createDataFrame([], "user_id bigint, item_id bigint, score double, rank int")
+    index = Index(items, clusters)
+    if not index.width or not index.sizes.sum():
+        return none
+    own = users.where(F.col("vector").isNotNull()).select(
+        F.col("user_id").cast("bigint").alias("user_id"), F.col("vector").cast("array<double>").alias("vector"))
+    count = own.count()
+    most = max(1, min(block_rows, BLOCK_BYTES // (8 * index.width)))
+    blocks = max(1, -(-count // most))
+    placed = _placed(own, "user_id", index.centres, index.width).select("user_id", "vector", "cluster")
+    dealt = _stored(placed.repartitionByRange(blocks, "cluster", "user_id").withColumn(
+        "block", F.spark_partition_id()), "match_users")
+    out = shared_dir(spark, "matches")
+    for b in sorted(r["block"] for r in dealt.select("block").distinct().collect()):
+        rows = dealt.where(F.col("block") == b).select("user_id", "vector").toArrow()  # about one block
+        for a in range(0, rows.num_rows, most):
+            part = rows.slice(a, most)
+            _block(index, part.column("user_id").to_numpy(), _rows(part.column("vector").combine_chunks(), index.width), k, out)
+    return spark.read.schema(none.schema).parquet(out) if count else none
+
+
+def _block(index: Index, ids: np.ndarray, users: np.ndarray, k: int, out: str) -> None:
+    """Find and write the answers of one block of users."""
+    angles = index.angles(users)
+    # The nearest clusters of each user, as many as hold k items.
+    order = np.argsort(angles, axis=1, kind="stable")
+    before = np.cumsum(index.sizes[order], axis=1) - index.sizes[order]
+    near = np.unique(order[before < k])
+    first = _stored(_ranked(_scored(index, near, (ids, users), np.full(len(ids), -2.0), angles, k), k), "near")
+    place = {u: i for i, u in enumerate(ids.tolist())}
+    needed = np.full(len(ids), -2.0)
+    for r in first.where(F.col("rank") == k).select("user_id", "score").collect():  # one row per user of the block
+        needed[place[r["user_id"]]] = r["score"]
+    able = _bound(angles, index.widest[None, :]) >= needed[:, None]
+    rest = np.setdiff1d(np.flatnonzero(able.any(axis=0) & (index.sizes > 0)), near)
+    if len(rest):
+        more = _scored(index, rest, (ids, users), needed, angles, k)
+        both = first.select("user_id", "item_id", "score", F.lit(0).alias("task")).unionByName(more)
+        _ranked(both, k).write.mode("append").parquet(out)
     else:
-        per_block = max(1, max_matrix_bytes // (8 * max(dim, 1)))
-        partial = _by_blocks(users, items, k, min(per_block, block_rows), block_rows, n)
-    best = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
-    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
-_PARTIAL = "user_id bigint, item_id bigint, score double"
-
-
-def _against_broadcast(users: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    held = users.select("user_id", "vector").toPandas()  # bounded by the measured matrix size
-    if held.empty:
-        return users.sparkSession.createDataFrame([], _PARTIAL)
-    shared = users.sparkSession.sparkContext.broadcast(
-        (held["user_id"].to_numpy(), _unit(held["vector"]))
-    )
-
-    def best(frames):
-        user_ids, matrix = shared.value
-        top = _TopK(matrix, k)
-        for frame in frames:
-            for part in _chunks(frame, len(user_ids)):
-                top.add(part["item_id"].to_numpy(), part["vector"])
-        yield top.rows(user_ids)
-
-    return items.select("item_id", "vector").mapInPandas(best, _PARTIAL)
-
-
-def _by_blocks(
-    users: DataFrame, items: DataFrame, k: int, user_rows: int, item_rows: int, n_users: int
-) -> DataFrame:
-    n_items = items.count()
-    # Half-filled on average, so that hash spread does not overfill a block.
-    user_blocks = max(1, -(-2 * n_users // user_rows))
-    item_blocks = max(1, -(-2 * n_items // item_rows))
-
-    def block(col, count):
-        return F.pmod(F.xxhash64(col), F.lit(count)).cast("int")
-
-    left = users.select(
-        "user_id", "vector", block("user_id", user_blocks).alias("ub"),
-        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),
-    )
-    right = items.select(
-        "item_id", "vector", block("item_id", item_blocks).alias("ib"),
-        F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("ub"),
-    )
-
-    def best(u: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if u.empty or i.empty:
-            return pd.DataFrame({"user_id": [], "item_id": [], "score": []}).astype(
-                {"user_id": "int64", "item_id": "int64", "score": "float64"}
-            )
-        top = _TopK(_unit(u["vector"]), k)
-        for part in _chunks(i, len(u)):
-            top.add(part["item_id"].to_numpy(), part["vector"])
-        return top.rows(u["user_id"])
-
-    return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(best, _PARTIAL)
+        first.write.mode("append").parquet(out)

@@ -1,27 +1,64 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from noticeworks.operators import match, vectors
 
 
-@pytest.mark.parametrize("bytes_bound, block_rows", [(1 << 20, 50_000), (20 * 4 * 8, 13)])
-def test_match_is_exact(spark, bytes_bound, block_rows):
-    """Broadcast and block-wise matching both agree with brute force, ties included."""
+def unit(m):
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+
+
+def frame(spark, m, name):
+    offsets = pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32())
+    vectors = pa.ListArray.from_arrays(offsets, pa.array(m.ravel()))
+    return spark.createDataFrame(pa.table({name: pa.array(np.arange(len(m))), "vector": vectors}))
+
+
+def check_match(got, users, items, k):
+    """All ranks, with ties by item id: the scores agree to 12 digits where they are equal."""
+    score = np.round(unit(users) @ unit(items).T, 12)
+    rows = {(r["user_id"], r["rank"]): (r["item_id"], r["score"]) for r in got.collect()}
+    assert len(rows) == len(users) * min(k, len(items))
+    for u in range(len(users)):
+        best = np.lexsort((np.arange(len(items)), -score[u]))[:k]
+        mine = [rows[u, n + 1] for n in range(len(best))]
+        assert np.allclose([s for _, s in mine], score[u][best], atol=1e-9) and len({i for i, _ in mine}) == len(best)
+        assert np.allclose([score[u, i] for i, _ in mine], score[u][best], atol=1e-9)
+
+
+@pytest.mark.parametrize("block_rows, clusters", [(4096, 128), (13, 4), (7, 1)])
+def test_match_is_exact(spark, block_rows, clusters):
+    """One path for all sizes agrees with brute force: ties, repeated and zero vectors included."""
     rng = np.random.default_rng(1)
     users = rng.integers(-2, 3, (30, 4)).astype(float)
     items = rng.integers(-2, 3, (200, 4)).astype(float)
-    frame = lambda m, name: spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(m)], f"{name} bigint, vector array<float>")
-    got = match.match_topk(frame(users, "user_id"), frame(items, "item_id").repartition(5), 7, bytes_bound, block_rows)
-    unit = lambda m: np.divide(m, np.linalg.norm(m, axis=1, keepdims=True), out=np.zeros_like(m), where=np.linalg.norm(m, axis=1, keepdims=True) > 0)
-    score = unit(users) @ unit(items).T
-    rows = {(r["user_id"], r["rank"]): (r["item_id"], r["score"]) for r in got.collect()}
-    assert len(rows) == 30 * 7
-    for u in range(30):
-        best = sorted(score[u], reverse=True)[:7]
-        mine = [rows[u, k + 1] for k in range(7)]
-        assert np.allclose([s for _, s in mine], best) and len({i for i, _ in mine}) == 7
-        assert np.allclose([score[u, i] for i, _ in mine], best)
+    users[3], items[5], items[170] = 0, 0, 0
+    got = match.match_topk(frame(spark, users, "user_id"), frame(spark, items, "item_id").repartition(5), 7, block_rows, clusters)
+    check_match(got, users, items, 7)
+
+
+def test_match_is_exact_beyond_one_block_of_bytes(spark):
+    """More than 64 MiB of users: several blocks, clustered items, of which most are never scored."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(8, 1024))
+    users = centres[rng.integers(8, size=9000)] + rng.normal(size=(9000, 1024)) * 0.2
+    items = centres[rng.integers(8, size=400)] + rng.normal(size=(400, 1024)) * 0.2
+    assert users.nbytes > match.BLOCK_BYTES
+    check_match(match.match_topk(frame(spark, users, "user_id"), frame(spark, items, "item_id"), 3, clusters=8), users, items, 3)
+
+
+def test_match_reads_only_clusters_that_can_win(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centres = np.eye(16) * 10
+    items = np.repeat(centres, 20, axis=0) + rng.normal(size=(320, 16)) * 0.1
+    users = centres[[3]] + rng.normal(size=(5, 16)) * 0.1
+    read, scored = [], match._scored
+    monkeypatch.setattr(match, "_scored", lambda index, clusters, *rest: read.append(list(clusters)) or scored(index, clusters, *rest))
+    check_match(match.match_topk(frame(spark, users, "user_id"), frame(spark, items, "item_id"), 4, clusters=16), users, items, 4)
+    assert sum(map(len, read)) < 8
 
 
 def test_match_without_users_or_items(spark):
