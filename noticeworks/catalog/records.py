@@ -22,28 +22,11 @@ WHERE (copy = 0 OR k % 8 = 0) AND page_no % 9 <> 0 AND (k % 42 <> 0)"""
 
 
 def crawl_scan(spark, sf):
-    """Nested crawl results written as JSON documents and read with a declared schema."""
+    """Nested crawl results, written as whole JSON documents and read back: their listing rows."""
     path = shared_dir(spark, "crawl")
-    jobs = K.listing_jobs(spark, sf)
-    records = F.transform(
-        "records",
-        lambda r: F.struct(
-            r["url"].alias("url"), r["status"].alias("status"),
-            F.from_json(r["json"], "page_number bigint, total_records string").alias("json"),
-        ),
-    )
-    jobs.select("job_id", "status", "total", records.alias("records")).write.json(path)
-    return crawl.read_crawl_results(spark, path).select(
-        "job_id", "status", "total", F.inline("records")
-    ).select("job_id", "total", F.col("url"), F.col("json"))
-
-
-SCAN_SQL = """
-WITH p AS (SELECT DISTINCT o_orderkey // 10 + 1 AS page_no FROM orders)
-SELECT 'job-' || (page_no - 1) // 20 AS job_id,
-  CAST(count(*) OVER (PARTITION BY (page_no - 1) // 20) AS INTEGER) AS total,
-  'https://eprocure.gov.in/cppp?page=' || page_no AS url,
-  '{"page_number":' || page_no || ',"total_records":"' || page_no * 10 || '"}' AS json FROM p"""
+    records = F.transform("records", lambda r: r.withField("json", J.parsed(r["json"])))
+    K.listing_jobs(spark, sf).select("job_id", "status", "total", records.alias("records")).write.json(path)
+    return _listing_columns(J.listing_rows(crawl.read_crawl_results(spark, path)))
 
 
 def _listing_columns(rows):
@@ -90,7 +73,7 @@ FROM j LEFT JOIN u USING (job)""".replace("%s", CRAWLED)
 def json_detail(spark, sf):
     values = K.part_details(spark, sf)
     text = K.detail_json_text(M.DETAIL_JSON_FIELDS)
-    return values.select("k", K.built("j", text)).select(
+    return values.select("k", K.built("j", J.parsed(text))).select(
         "k", F.inline(F.array(J.detail_json(F.col("j"))))
     )
 
@@ -120,9 +103,9 @@ def json_usable(spark, sf):
         F.when(i % 4 == 0, '{"k": null}').when(i % 4 == 1, "{}").when(i % 4 == 2, F.lit(None))
         .otherwise(F.col("props"))
     )
-    return e.select("event_id", K.built("j", text)).select(
+    return e.select("event_id", K.built("j", J.parsed(text))).select(
         "event_id", J.json_usable(F.col("j")).alias("usable"),
-        F.coalesce(F.size(J.json_fields(F.col("j"))), F.lit(-1)).alias("n_fields"),
+        F.coalesce(F.size(J.fields_of(F.col("j"))), F.lit(-1)).alias("n_fields"),
     )
 
 
@@ -302,7 +285,7 @@ QUERIES = {
 }
 
 SQL = {
-    "crawl_scan": SCAN_SQL,
+    "crawl_scan": _json_sql(),
     "json_listing": _json_sql(),
     "json_listing_dedup": _json_sql("copy = 0 OR tender_id IS NULL"),
     "page_completeness": COMPLETENESS_SQL,

@@ -15,7 +15,7 @@ from noticeworks.operators import (
 )
 from noticeworks.plans import runs
 from noticeworks.session import shared_dir
-from noticeworks.sources import snapshots
+from noticeworks.sources import clustered, snapshots
 from noticeworks.sources.store import JobTable, NoticeTable
 from noticeworks.streaming import incremental, logs
 
@@ -39,16 +39,18 @@ def dedup_first(spark, sf):
     d = K.table(spark, sf, "documents").select(
         F.sha2("text", 256).alias("text_key"), "doc_id", "lang", "n_chars"
     )
-    return dedup.first_wins(d, ["text_key"], "doc_id", F.count("*").alias("copies")).drop("text_key")
+    return dedup.first_wins(d, ["text_key"], "doc_id", F.count("*").alias("copies"), unique=True).drop("text_key")
 
 
 def dedup_last(spark, sf):
     """Last line of every order, by line number, part and supplier."""
     lines = K.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("o"),
+        # Whole quantities: no two lines of an order agree in all four.
+        dedup.packed_order(
+            (F.col("l_linenumber"), 3), (F.col("l_partkey"), 15), (F.col("l_suppkey"), 15), (F.col("l_quantity"), 5)).alias("o"),
     )
-    return dedup.last_wins(lines, ["l_orderkey"], "o").drop("o")
+    return dedup.last_wins(lines, ["l_orderkey"], "o", unique=True).drop("o")
 
 
 # --- Upsert --------------------------------------------------------------------------------
@@ -304,6 +306,15 @@ def search_filter(spark, sf):
     ).select("id", "title", "organisation", "tender_value")
 
 
+def search_stored(spark, sf):
+    """A range, an organisation and a value range over the search copy of all notices."""
+    path = shared_dir(spark, "search")
+    clustered.write_search_copy(K.order_notices(spark, sf), path)
+    return clustered.search_copy(
+        spark, path, published_from="1994-06-15", published_to="1997-01-10", organisation="Customer 29", min_value=1000.0,
+    ).select("id", "source", "title", "organisation", "published_date", "tender_value")
+
+
 def pending_select(spark, sf):
     return vectors.pending(K.order_notices(spark, sf)).select("id", "detail_scraped")
 
@@ -548,6 +559,7 @@ QUERIES = {
     "pending_stored": pending_stored,
     "last_updated": last_updated,
     "search_filter": search_filter,
+    "search_stored": search_stored,
     "pending_select": pending_select,
     "pending_fallback": pending_fallback,
     "run_counters": run_counters,
@@ -617,6 +629,11 @@ SELECT count(*) AS tender_count, count(*) FILTER (o_orderstatus = 'F') AS detail
 SELECT o_orderkey AS id, 'Order ' || o_orderkey || ' ' || o_orderpriority AS title, 'Customer ' || o_custkey AS organisation,
   o_totalprice AS tender_value FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
   AND o_totalprice BETWEEN 50000 AND 200000""",
+    "search_stored": """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'cppp' ELSE 'eprocure' END AS source,
+  'Order ' || o_orderkey || ' ' || o_orderpriority AS title, 'Customer ' || o_custkey AS organisation,
+  o_orderdate AS published_date, o_totalprice AS tender_value FROM orders
+WHERE o_orderdate >= TIMESTAMP '1994-06-15' AND o_orderdate < TIMESTAMP '1997-01-10' AND o_custkey = 29 AND o_totalprice >= 1000""",
     "pending_select": "SELECT o_orderkey AS id, true AS detail_scraped FROM orders WHERE o_orderkey % 4 = 0 AND o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 100",
     "pending_fallback": """
 SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'O' THEN false END AS detail_scraped FROM orders

@@ -129,22 +129,20 @@ ORDER_TYPE = (
 
 PAGE_SCHEMA = ("page_id BIGINT, source STRING, url STRING, page_no BIGINT, html STRING")
 
+# Crawl jobs whose records hold their JSON as text, and as they are read from stored results: each
+# record parsed once and whole. Lines that are no JSON are kept in the column ``corrupt``.
 CRAWL_JOB_SCHEMA = (
     "job_id STRING, status STRING, total INT, "
     "records ARRAY<STRUCT<url: STRING, status: STRING, json: STRING, html: STRING>>"
 )
+CRAWL_RESULT_SCHEMA = CRAWL_JOB_SCHEMA.replace("json: STRING", "json: VARIANT") + ", corrupt STRING"
 
 LISTING_JSON_FIELDS = [
     "serial_no", "published_date", "closing_date", "opening_date", "tender_id", "title",
     "organisation", "detail_path", "corrigendum",
 ]
-# Rows stay raw JSON text so that an element that is not an object spoils only itself.
-LISTING_JSON_PAGE = "tenders ARRAY<STRING>, page_number STRING, total_records STRING"
-LISTING_JSON_ROW = ", ".join(f"{f} STRING" for f in LISTING_JSON_FIELDS)
 
 DETAIL_JSON_FIELDS = [f for f in DETAIL_FIELDS if f != "pre_bid_meeting_date"]
-# Numbers are read as text and cast afterwards: "7" and 7 both give 7.
-DETAIL_JSON = ", ".join(f"{f} STRING" for f in DETAIL_JSON_FIELDS)
 
 STORED_SCHEMA = (
     "ref_no STRING, source STRING, title STRING, organisation STRING, url STRING, "

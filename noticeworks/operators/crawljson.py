@@ -3,38 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from noticeworks import model as M
 from noticeworks.functions import notice as N, status as S, text as X
 from noticeworks.operators import dedup, detail as D
 
-_OPEN_OBJECT = "{"
+
+def parsed(c: Column) -> Column:
+    """JSON text to a VARIANT, null where it is none."""
+    return F.try_parse_json(c)
+
+
+def _field(value: Column, name: str, kind: str = "string") -> Column:
+    return F.try_variant_get(value, f"$.{name}", kind)
+
+
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def detail_json(c: Column) -> Column:
     """Detail JSON to a typed struct; numbers may arrive as numbers or as text."""
-    raw = F.from_json(c, M.DETAIL_JSON)
     fields = []
     for name in M.DETAIL_FIELDS:
         if name not in M.DETAIL_JSON_FIELDS:
             value = F.lit(None).cast("string")
         elif name in M.AMOUNT_FIELDS:
-            value = X.amount(raw[name])
+            value = X.amount(_field(c, name))
         elif name in M.DAY_FIELDS:
-            value = raw[name].try_cast("double").try_cast("bigint")
+            value = _field(c, name).try_cast("double").try_cast("bigint")
         else:
-            value = raw[name]
+            value = _field(c, name)
         fields.append(value.alias(name))
     return F.struct(*fields)
 
 
-def json_fields(c: Column) -> Column:
-    """All non-null fields of a JSON object as a map, unknown ones included."""
-    return F.map_filter(F.from_json(c, "map<string,string>"), lambda k, v: v.isNotNull())
+def json_fields(text: Column) -> Column:
+    """All non-null fields of a JSON object, given as text, as a map in their order, unknown ones included."""
+    return F.map_filter(F.from_json(text, "map<string,string>"), lambda k, v: v.isNotNull())
+
+
+def fields_of(c: Column) -> Column:
+    """The same of a VARIANT, in the order of their names."""
+    return F.map_filter(F.try_variant_get(c, "$", "map<string,string>"), lambda k, v: v.isNotNull())
 
 
 def json_usable(c: Column) -> Column:
-    return F.coalesce(F.size(json_fields(c)) > 0, F.lit(False))
+    """Whether any field of a VARIANT object is set."""
+    return F.coalesce(F.size(fields_of(c)) > 0, F.lit(False))
 
 
 def unknown_fields(fields: Column, known: list[str]) -> Column:
@@ -54,30 +71,38 @@ def compact_json(columns: list[str]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "true"})
 
 
+def _json_of(jobs: DataFrame, record: Column) -> Column:
+    """The JSON of a record: as it was read, or parsed here, once, where a job holds text."""
+    kind = jobs.schema["records"].dataType.elementType["json"].dataType
+    return parsed(record["json"]) if isinstance(kind, StringType) else record["json"]
+
+
 def listing_records(jobs: DataFrame) -> DataFrame:
-    """Completed records of crawl jobs, one row per crawled listing page; ``crawled_at`` is optional."""
+    """Completed records of crawl jobs, one row per crawled listing page, with its whole JSON;
+    ``crawled_at`` is optional."""
     rec = F.posexplode_outer("records").alias("record_ord", "_rec")
     at = F.col("crawled_at") if "crawled_at" in jobs.columns else F.lit(None)
     return (
         jobs.select("job_id", at.cast("timestamp_ntz").alias("seen_at"), rec)
         .where(F.col("_rec.status") == "completed")
-        .select("job_id", "seen_at", "record_ord", F.from_json("_rec.json", M.LISTING_JSON_PAGE).alias("page"))
+        .select("job_id", "seen_at", "record_ord", X.once(_json_of(jobs, F.col("_rec")).alias("page")))
     )
 
 
 def listing_rows(jobs: DataFrame, source_rank: int = 0) -> DataFrame:
     """Crawl jobs to normalised listing rows, duplicates included.
 
-    Narrow: explode twice, parse, project. An element that is no object, or that names neither
+    Narrow: parse a record, explode its rows, project. An element that is no object, or that names neither
     an id nor a title, is skipped. Rows are ordered by crawl time, job, record and place in it.
     """
     pages = listing_records(jobs)
     items = pages.select(
-        "job_id", "seen_at", "record_ord", F.posexplode_outer("page.tenders").alias("row_ord", "_item")
-    ).where(F.col("_item").startswith(_OPEN_OBJECT))
+        "job_id", "seen_at", "record_ord",
+        F.posexplode_outer(_field(F.col("page"), "tenders", "array<variant>")).alias("row_ord", "_item"),
+    ).where(X.whole(_is_object(F.col("_item"))))
     raw = items.select(
         "job_id", "seen_at", "record_ord", "row_ord",
-        F.inline(F.array(F.from_json("_item", M.LISTING_JSON_ROW))),  # parsed once
+        X.once(*[_field(F.col("_item"), f).alias(f) for f in M.LISTING_JSON_FIELDS]),
     )
     path = X.strip(F.coalesce("detail_path", F.lit("")))
     rows = raw.select(
@@ -111,9 +136,9 @@ def page_completeness(jobs: DataFrame) -> DataFrame:
         "job_id").agg(F.count("*").alias("_kept"))
     per_page = listing_records(jobs).select(
         "job_id",
-        F.size(F.filter("page.tenders", lambda t: t.startswith(_OPEN_OBJECT))).alias("_rows"),
-        F.col("page.page_number").try_cast("bigint").alias("_page"),
-        F.col("page.total_records").try_cast("bigint").alias("_total"),
+        F.size(F.filter(_field(F.col("page"), "tenders", "array<variant>"), _is_object)).alias("_rows"),
+        _field(F.col("page"), "page_number").try_cast("bigint").alias("_page"),
+        _field(F.col("page"), "total_records").try_cast("bigint").alias("_total"),
     )
     per_job = per_page.groupBy("job_id").agg(
         F.count("*").alias("pages"),
@@ -134,8 +159,11 @@ def first_usable(jobs: DataFrame, strict: bool = True) -> DataFrame:
     is parsed; a body is tokenised only where the JSON is empty and the session is alive. Bodies
     never reach a shuffle, and each task sends one row per job.
     """
+    records = F.transform("records", lambda r: F.struct(
+        r["status"].alias("status"), _json_of(jobs, r).alias("json"), r["html"].alias("html")))
+    whole = jobs.select("job_id", X.once(records.alias("records")))
     ok = F.transform("records", lambda r: (r["status"] == "completed") & json_usable(r["json"]))
-    flagged = jobs.select("job_id", "records", X.once(ok.alias("ok")))
+    flagged = whole.select("job_id", "records", X.once(ok.alias("ok")))
     first_json = F.array_position("ok", F.lit(True)).cast("int")
     kept = F.slice(
         F.arrays_zip(F.col("records").alias("r"), F.col("ok").alias("ok")),

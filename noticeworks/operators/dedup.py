@@ -1,26 +1,56 @@
 """Keyed deduplication by an explicit order.
 
-Both are plain aggregates: every task reduces its rows before the shuffle, so a key that holds a
-large part of the input (rows without a reference share one) arrives as one row per task.
+Where the caller states that no two rows of a key share their order (``unique``), and it has a fixed
+width (a number, a date or a time stamp), only keys and orders are aggregated, in a hash table, and the rows that win are then picked by key and
+order: nothing is sorted to find them, and the rows of a hot key stay spread, since the order is part
+of what they are joined by. Otherwise whole rows are reduced to one per key in every task
+before the shuffle: a key that holds a large part of the input (rows without a reference share one)
+arrives as one row per task, and of rows with equal orders one is kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import and_
 
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-def _pick(df: DataFrame, keys: list[str], order: str, pick, extra) -> DataFrame:
+
+def packed_order(*parts: tuple[Column, int]) -> Column:
+    """Whole numbers from 0 as one fixed-width number that sorts like them, the first part counting most.
+
+    Each part comes with its digits; 38 digits are the limit of all parts together. A number that
+    does not fit its digits fails.
+    """
+    if sum(digits for _, digits in parts) > 38:
+        raise ValueError("an order has 38 digits at most")
+    texts = []
+    for value, digits in parts:
+        fits = (value >= 0) & (value < 10 ** digits)
+        checked = F.when(fits, value.cast("decimal(38,0)").cast("string")).otherwise(
+            F.raise_error(F.lit(f"an order of {digits} digits expected")).cast("string"))
+        texts.append(F.lpad(checked, digits, "0"))
+    return F.concat(*texts).cast("decimal(38,0)")
+
+
+def _pick(df: DataFrame, keys: list[str], order: str, best, pick, extra, unique: bool) -> DataFrame:
+    if unique and isinstance(df.schema[order].dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        won = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(best(order).alias("_best"), *extra)
+        on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col(order).eqNullSafe(F.col("_best"))]
+        names = [c for c in won.columns if c != "_best" and not c.startswith("_key_")]
+        return df.join(won, reduce(and_, on)).select(*df.columns, *names)
     row = F.struct(*[c for c in df.columns if c not in keys])
     won = df.groupBy(*keys).agg(pick(row, F.col(order)).alias("_row"), *extra)
     names = [c for c in won.columns if c not in ("_row", *keys)]
     return won.select(*keys, "_row.*", *names).select(*df.columns, *names)
 
 
-def first_wins(df: DataFrame, keys: list[str], order: str = "ingest_ord", *extra) -> DataFrame:
+def first_wins(df: DataFrame, keys: list[str], order: str = "ingest_ord", *extra, unique: bool = False) -> DataFrame:
     """The first row of every key; ``extra`` aggregates are added as columns."""
-    return _pick(df, keys, order, F.min_by, extra)
+    return _pick(df, keys, order, F.min, F.min_by, extra, unique)
 
 
-def last_wins(df: DataFrame, keys: list[str], order: str = "ingest_ord", *extra) -> DataFrame:
+def last_wins(df: DataFrame, keys: list[str], order: str = "ingest_ord", *extra, unique: bool = False) -> DataFrame:
     """The last row of every key; ``extra`` aggregates are added as columns."""
-    return _pick(df, keys, order, F.max_by, extra)
+    return _pick(df, keys, order, F.max, F.max_by, extra, unique)

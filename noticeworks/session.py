@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     # States with timers need this store; it keeps them on disk instead of in the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Of a key that a JSON object repeats, the last value holds.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Notice dates carry no zone; UTC keeps every rendering independent of the host.
     "spark.sql.session.timeZone": "UTC",
 }

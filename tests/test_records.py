@@ -39,9 +39,27 @@ def test_listing_rows_first_wins_over_pages(spark, tmp_path):
     assert verdicts == {"j": (2, 0, True), "n": (3, None, None)}
 
 
+def test_records_are_parsed_once_and_kept_whole(spark, tmp_path):
+    page = {"tenders": [{"tender_id": "A", "title": "t", "odd": {"deep": [1, 2]}}], "page_number": 1, "more": "kept"}
+    text = json.dumps({"job_id": "j", "records": [rec(page), rec("just text"), rec(None)]})
+    (tmp_path / "jobs.json").write_text(text + "\n{broken\n")
+    df = crawl.read_crawl_results(spark, str(tmp_path / "jobs.json"))
+    rows = {r["job_id"]: r for r in df.select("job_id", "corrupt", F.to_json(F.col("records")[0]["json"]).alias("j")).collect()}
+    assert json.loads(rows["j"]["j"]) == page and rows["j"]["corrupt"] is None and rows[None]["corrupt"] == "{broken"
+    assert [r["ref_no"] for r in J.listing_rows(df).collect()] == ["A"]
+    twice = spark.range(1).select(J.detail_json(J.parsed(F.lit('{"location": "a", "location": "b"}'))).alias("d")).head()["d"]
+    assert twice["location"] == "b"
+    # The same jobs with their JSON as text: parsed in one place of the plan.
+    texts = spark.createDataFrame([("j", "completed", 1, [("u", "completed", json.dumps(page), None)])], M.CRAWL_JOB_SCHEMA)
+    listing = J.listing_rows(texts)
+    assert [r["ref_no"] for r in listing.collect()] == ["A"]
+    for frame in (listing, J.first_usable(texts)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("parseJson(") == 1
+
+
 def test_detail_json_types(spark):
     text = json.dumps({"tender_value": "3,86,15,626", "emd_amount": 5, "bid_validity_days": "7", "period_of_work_days": 9.0, "pincode": 411001, "odd": 1})
-    got = spark.createDataFrame([(text,)], "j string").select(J.detail_json(F.col("j")).alias("d")).head()["d"]
+    got = spark.createDataFrame([(text,)], "j string").select(J.detail_json(J.parsed(F.col("j"))).alias("d")).head()["d"]
     assert (got["tender_value"], got["emd_amount"], got["bid_validity_days"], got["period_of_work_days"], got["pincode"]) == (38615626.0, 5.0, 7, 9, "411001")
     assert got["pre_bid_meeting_date"] is None
 
@@ -84,6 +102,7 @@ def test_maps_and_compact_json(spark):
     df = spark.createDataFrame([('{"title": "t", "a": 1, "b": null}', "x", None)], "j string, p string, q string")
     rest = J.unknown_fields(J.json_fields(F.col("j")), M.LISTING_FIELDS)
     got = df.select(rest.alias("r"), J.compact_json(["p", "q"]).alias("c"), J.packed_fields(["p", "q"]).alias("m")).head()
+    assert df.select(J.fields_of(J.parsed(F.col("j")))).head()[0] == {"title": "t", "a": "1"}
     assert got["r"] == {"a": "1"} and got["c"] == '{"p":"x"}' and got["m"] == {"p": "x", "q": None}
     usable = spark.createDataFrame([("{}",), ('{"a": null}',), ('{"a": 1}',), (None,), ("not json",)], "j string")
-    assert [r[0] for r in usable.select(J.json_usable(F.col("j"))).collect()] == [False, False, True, False, False]
+    assert [r[0] for r in usable.select(J.json_usable(J.parsed(F.col("j")))).collect()] == [False, False, True, False, False]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from noticeworks import model as M
 from noticeworks.operators import backfill, calllog, dedup, merge, metrics, search, vectors
 from noticeworks.plans import runs
-from noticeworks.sources import export, pages as P, snapshots
+from noticeworks.sources import clustered, export, pages as P, snapshots
 from noticeworks.sources.store import JobTable, NoticeTable, write_back
 from noticeworks.streaming import incremental, logs
 
@@ -25,6 +25,68 @@ def test_first_and_last_wins(spark):
     assert {tuple(r)[:2] for r in dedup.last_wins(df, ["k"]).collect()} == {("a", 2), ("b", 3)}
 
 
+def test_unique_orders_need_no_sorted_aggregate(spark):
+    """Nulls in keys and orders, extra aggregates and a hot key, beside the aggregate of whole rows."""
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]) if i % 3 else "hot", i if i % 7 else -i, f"v{i}") for i in range(300)]
+    rows += [(None, None, "x")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    for wins in (dedup.first_wins, dedup.last_wins):
+        fast = wins(df, ["k"], "o", F.count("*").alias("n"), unique=True)
+        assert sorted(map(str, fast.collect())) == sorted(map(str, wins(df, ["k"], "o", F.count("*").alias("n")).collect()))
+        assert "SortAggregate" not in plan(fast) and "SortAggregate" in plan(wins(df, ["k"], "o"))
+    nothing = spark.createDataFrame([("only", None, "null order")], df.schema)
+    assert dedup.last_wins(nothing, ["k"], "o", unique=True).head()["v"] == "null order"
+    # Equal orders: without the statement one row stays.
+    assert dedup.last_wins(spark.createDataFrame([("a", 1, "x"), ("a", 1, "y")], "k string, o int, v string"), ["k"], "o").count() == 1
+
+
+def test_packed_order_sorts_like_its_parts(spark):
+    rng = random.Random(1)
+    rows = [(rng.randint(0, 9), rng.randint(0, 999), rng.randint(0, 10**15 - 1)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a int, b int, c bigint").withColumn(
+        "o", dedup.packed_order((F.col("a"), 1), (F.col("b"), 3), (F.col("c"), 15)))
+    assert [tuple(r)[:3] for r in df.orderBy("o").collect()] == sorted(rows)
+    with pytest.raises(Exception, match="an order of 2 digits expected"):
+        df.select(dedup.packed_order((F.col("b") + 100, 2))).collect()
+
+
+def scan_metrics(spark, df):
+    """Files and rows that the scan of a frame has read, without adaptive execution."""
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = len(df.collect())
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return n, leaf.metrics().apply("numFiles").value(), leaf.metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+
+
+def test_search_copy_reads_fewer_files(spark, tmp_path):
+    base = dt.datetime(2025, 1, 1)
+    rows = [(f"R{i}", "cppp" if i % 2 else "eprocure", f"Org {i % 50}", None if i % 97 == 0 else base + dt.timedelta(hours=9 * i), float(i))
+            for i in range(2000)]
+    notices = spark.createDataFrame(rows, "ref_no string, source string, organisation string, published_date timestamp_ntz, tender_value double")
+    path = str(tmp_path / "copy")
+    clustered.write_search_copy(notices, path)
+    everything = scan_metrics(spark, clustered.search_copy(spark, path))
+    assert everything[0] == 2000
+
+    def check(**how):
+        want = search.search_notices(notices, **{k: v for k, v in how.items() if k != "source"})
+        want = want.where(F.col("source") == how["source"]) if "source" in how else want
+        got = clustered.search_copy(spark, path, **how)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        return scan_metrics(spark, clustered.search_copy(spark, path, **how))
+
+    n, files, read = check(published_from="2025-03-10", published_to="2025-04-02", organisation="Org 7")
+    assert 0 < n and files <= everything[1] / 5 and read < 200
+    assert check(published_from="2025-03-10", published_to="2025-04-02", source="cppp")[1] <= files
+    assert check(published_to="2025-01-01")[0] == 0 and check(published_from="2026-06-01", min_value=1500.0)[0] > 0
+    assert check(organisation="nobody")[0] == 0
+
+
 def test_merge_detail(spark):
     listing = items(spark, [("t1", "u1"), ("t2", "u1"), ("t3", None), ("t4", ""), ("t5", "u2")], "title string, url string")
     detail = items(spark, [("u1", "Pune", ""), ("u2", None, None), ("", "no", "no")], "url string, location string, title string")
