@@ -125,7 +125,9 @@ def write(docs: DataFrame, vocabulary: str, folder: str) -> DataFrame:
     least = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     files = max(least, -(-size // FILE_CHARS))
     own = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = own.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one id, null ids among them, are dealt on by their texts, and repeated rows by where they were read.
+    keys = ["doc_id", F.xxhash64("text"), F.spark_partition_id()]
+    ordered = own.repartitionByRange(files, *keys).sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def task(batches):
         import numpy as np

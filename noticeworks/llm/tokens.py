@@ -17,6 +17,8 @@ CACHED_PIECES = 800_000  # a worker forgets its pieces beyond that many
 # Letters whose lower case and normal form are simple, and marks that no special token holds.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = r"!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"
+_ENDS = frozenset(".,;:!?")
+_PACKED = [struct.Struct(f"<{n}H").pack for n in range(32)]
 _WORD = re.compile(f"([{_MARKS}]*)([{_LETTERS}]+)([{_MARKS}]*)")
 
 
@@ -63,6 +65,13 @@ class Encoder:
 
     def _piece(self, text: str) -> bytes:
         space = text[:1] == " "
+        if self.spaced and text.isascii():
+            word = text[1:] if space else text
+            if word.isalpha():  # a plain word
+                ids = [t.id for t in self.model.tokenize(self.letters[32] + word if space else word)]
+                return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}H", *ids)
+            if word[-1:] in _ENDS and word[:-1].isalpha():  # one with a mark after it, which is a piece of its own
+                return self.known(word[:-1], self.cache if space else self.bare, text[:1] if space else "") + self.known(word[-1], self.bare)
         found = _WORD.fullmatch(text, 1 if space else 0)
         if not found:
             if self.spaced and "\n" in text:
