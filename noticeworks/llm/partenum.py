@@ -65,10 +65,13 @@ class Shingler:
         h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
         width = min(WORDS, len(h))
         n = len(h) - width + 1
+        # The words' hashes are spread already: a sum with odd factors by place, mixed once, will do.
         total = np.full(n, width, np.uint64)
         for k in range(width):
-            total += _mixed(h[k:k + n] + np.uint64(k)) * self.factors[k]
-        return np.unique(_mixed(total))
+            total += h[k:k + n] * self.factors[k]
+        shingles = _mixed(total)
+        shingles.sort()
+        return shingles[np.r_[True, shingles[1:] != shingles[:-1]]]
 
 
 def _mixed(x):
