@@ -1,6 +1,10 @@
 """Every registered query beside its SQL on the smallest tables."""
 
+import pathlib
 import re
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -34,5 +38,19 @@ def test_query(spark, con, name):
     assert check.rows_of(df.columns, [tuple(r) for r in df.collect()]) == (columns, expected)
 
 
+def test_entry_works_without_the_training_data_operators(tmp_path):
+    """Neither absent folders nor a left-over cache folder of them stops the import."""
+    root = pathlib.Path(entry.__file__).parent
+    for leave_cache in (False, True):
+        copy = tmp_path / str(leave_cache)
+        shutil.copytree(root / "noticeworks", copy / "noticeworks", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        shutil.copy(root / "__spark_entry__.py", copy)
+        if leave_cache:
+            (copy / "noticeworks" / "llm" / "__pycache__").mkdir(parents=True)
+        code = "import __spark_entry__ as e; assert len(e.queries()) == len(e.oracle_sql()) > 70; print(sorted(e.queries())[0])"
+        done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
