@@ -383,6 +383,14 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("cls"), F.col("b").alias("label"))).distinct()
 
 
+def _release(df: DataFrame) -> None:
+    """Let Spark remove the shuffle files of frames that nothing refers to any more."""
+    import gc
+
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def classes_of(docs: DataFrame) -> DataFrame:
     """doc_id, tie, n_shingles and label of every document; ``docs`` has doc_id and text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -393,13 +401,15 @@ def classes_of(docs: DataFrame) -> DataFrame:
     sketches = first.where("sketch IS NOT NULL").groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     packed = first.where("bucket IS NOT NULL").select("bucket", "signatures", "owners", "sizes", "counts")
     groups = stored(_groups(packed), "groups")
-    labels = links = None
+    _release(docs)
+    labels = None
     for nearest in (NEAREST, NEAREST, None):
         pairs = stored(_candidates(groups, sketches, labels, nearest), "pairs")
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         found = _verified(pairs, stored(_sets(docs, members, wanted), "sets"))
         known = found if labels is None else found.union(labels.select(F.col("cls"), F.col("label")))
         labels = stored(components(known), "labels")
+        _release(docs)
     return members.join(labels, "cls", "left").select(
         "doc_id", "tie", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "cls")).alias("label"))
 

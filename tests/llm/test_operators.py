@@ -51,6 +51,9 @@ def rows(df):
     return [r.asDict() for r in df.collect()]
 
 
+rows_of = rows
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
@@ -293,6 +296,18 @@ def test_token_files(spark, documents, texts, tmp_path):
         tokenfiles.read(spark, files, str(tmp_path)).count() and tokenfiles.read(spark, files, str(tmp_path)).collect()
 
 
+def test_rows_of_one_id_go_to_several_files(spark, tmp_path):
+    """500 rows with one id, half of them with one text, and 500 without an id."""
+    rows = [row(7, f"text {i}" if i % 2 else "same") for i in range(500)] + [row(None, f"other {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(8)
+    files = tokenfiles.write(docs, vocabulary("byte_bpe_50k.json"), str(tmp_path / "f"))
+    sizes = sorted(r["n_documents"] for r in files.collect())
+    assert len(sizes) == 4 and sizes[-1] < 500 and sum(sizes) == 1000
+    got = sorted(rows_of(tokenfiles.read(spark, files, str(tmp_path / "f"))), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 500 + [7] * 500
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+
+
 def test_token_files_odd(odd, empty):
     path = vocabulary("byte_bpe_50k.json")
     got = rows(tokenfiles.round_trip(odd, path))
