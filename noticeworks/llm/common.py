@@ -48,6 +48,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Let Spark remove the shuffle files of frames that nothing refers to any more."""
+    import gc
+
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def ordered_sums(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
     """Adds the sum of ``amount`` over all rows before each row in ``order``.
 

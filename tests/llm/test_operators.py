@@ -257,7 +257,7 @@ def test_lm_scores(documents, texts):
         unigrams.update(words(t))
         bigrams.update(zip(words(t), words(t)[1:]))
     total = sum(unigrams.values())
-    for r in rows(lm.lm_scores(documents)):
+    for r in rows(lm.lm_scores(documents, order=2, min_count=2, own=True)):
         w, score = words(texts[r["doc_id"]]), 0.0
         for k, x in enumerate(w):
             seen = k and bigrams[w[k - 1], x] >= 2
@@ -265,8 +265,54 @@ def test_lm_scores(documents, texts):
         assert r["n_words"] == len(w) and math.isclose(r["score"], score, rel_tol=1e-9, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("own,min_count", [(False, 1), (True, 1), (False, 2)])
+def test_lm_trigrams(documents, texts, own, min_count):
+    """All n-grams of up to three words count, single ones too; a document's own only where asked for."""
+
+    def counts(w):
+        return collections.Counter(tuple(w[k:k + n]) for n in (1, 2, 3) for k in range(len(w) - n + 1))
+
+    whole = collections.Counter()
+    for t in texts.values():
+        whole.update(counts(words(t)))
+    total = sum(n for gram, n in whole.items() if len(gram) == 1)
+    backed_off = 0
+    for r in rows(lm.lm_scores(documents, min_count=min_count, own=own)):
+        w, score, full = words(texts[r["doc_id"]]), 0.0, 0
+        mine = collections.Counter() if own else counts(w)
+        count = lambda gram: whole[gram] - mine[gram]
+        for k in range(len(w)):
+            for n in range(min(3, k + 1), 0, -1):
+                gram, dropped = tuple(w[k + 1 - n:k + 1]), (min(3, k + 1) - n) * math.log(0.4)
+                if n == 1:
+                    score += math.log(max(1, count(gram)) / total) + dropped
+                elif count(gram) >= min_count:
+                    score += math.log(count(gram) / count(gram[:-1])) + dropped
+                    break
+            full += n == 3
+            backed_off += n < min(3, k + 1)
+        assert (r["n_words"], r["n_full"]) == (len(w), full) and math.isclose(r["score"], score, rel_tol=1e-9, abs_tol=1e-9)
+    assert bool(backed_off) != (own and min_count == 1)
+
+
+def test_lm_rows_grow_with_ngrams(odd):
+    """However many ranges of hashes there are, a block has no row for a range without its n-grams."""
+    blocks = lm._blocks(odd.coalesce(1))
+    few, many = (rows(lm._requests(blocks, 3, 52, n)) for n in (1, 1 << 31))
+    grams = sum(len(lm._numbers(r["grams"], "u8")) for r in few)
+    assert len(few) == blocks.count() and grams * 0.9 < len(many) <= grams
+
+
+def test_lm_repeated_rows(spark):
+    """Each of two equal rows is scored by the other; a text of its own backs off to unknown words."""
+    docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "x y"), (3, None)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_full"], round(r["score"], 9)) for r in rows(lm.lm_scores(docs)))
+    first, alone = round(math.log(1 / 10), 9), round(2 * math.log(1 / 10) + math.log(0.4), 9)
+    assert got == [(1, 2, first), (1, 2, first), (2, 0, alone), (3, 0, 0.0)]
+
+
 def test_lm_odd(odd, empty):
-    got = rows(lm.lm_scores(odd, order=3))
+    got = rows(lm.lm_scores(odd))
     assert len(got) == odd.count() and all(r["score"] == 0 for r in got if r["n_words"] == 0)
     assert lm.lm_scores(empty).count() == 0
 
