@@ -48,12 +48,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(df: DataFrame) -> None:
-    """Let Spark remove the shuffle files of frames that nothing refers to any more."""
-    import gc
-
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and Spark removes the shuffle files of the job when the table is written."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(key, before)
 
 
 def ordered_sums(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import columns, release, stored
+from noticeworks.llm.common import columns, stored, stored_alone
 
 ORDER = 3
 MIN_COUNT = 1                # of n-grams of two words or more
@@ -191,8 +191,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, o
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = min(64, 24 + max(12, (total * order).bit_length()))
     ranges = max(12, total * order // RANGE)
-    answers = stored(_answers(_requests(blocks, order, bits, ranges)), "ngram_counts")
-    release(docs)
+    answers = stored_alone(_answers(_requests(blocks, order, bits, ranges)), "ngram_counts")
 
     def score(left, right):
         import numpy as np
