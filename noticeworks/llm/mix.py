@@ -3,12 +3,17 @@
 Every source gets a target: its share, by weight, of a total number of words; no target exceeds
 ``most`` times its source, and what is cut off is shared out again by weight. A document of a
 source with target T and size S is wanted T / S times. The whole part is certain; the fractions
-are rounded by the pivotal method, weighted by document size: two fractional documents exchange
-mass at random until one of them is whole, which keeps the number of words of the two together
-and every document's expectation. One document stays fractional in each block of documents;
-these meet in the blocks of the next level of a tree, up to one per source, which a last draw
-rounds. So the words taken from a source differ from its target by less than one document.
-Within a block large documents come first, so that what is left over is small.
+are rounded by the pivotal method, weighted by document size: two fractions exchange mass at
+random until one of them is whole, which keeps the number of words of the two together and every
+document's expectation. The partner of a document are the next smaller ones in its block, as
+many as have the mass to make it whole; they move as one, each fraction along its distance to the
+nearer whole number. So large documents are settled first and their mass is passed on to small
+ones. A document that all smaller ones cannot balance goes to the nearer whole number, if they can
+take the difference: the target comes before that document's odds. One small document at
+most stays fractional in each block; these meet in the blocks of the next level of a tree, up to
+one per source, which goes to the nearer whole number. The words taken from a source differ from
+its target by half of that document at most. Documents are dealt into blocks by their hashes; of rows that are equal
+more than ``FAN_IN`` times, also by their places in the files, so that no block is hot.
 
 Defined results: a null text has size 0; documents of size 0 are taken as often as the whole part
 says; a null source is a source of its own, ranked last; repeated rows are documents of their
@@ -65,25 +70,36 @@ def _pivot(key, table):
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    part, order = table.column("part"), [("size", "descending"), ("doc_id", "ascending"), ("tie", "ascending")]
-    table = table.take(pc.sort_indices(table.select(["size", "doc_id", "tie"]), order))
+    order = [("size", "descending"), ("doc_id", "ascending"), ("tie", "ascending"), ("x", "ascending")]
+    table = table.take(pc.sort_indices(table.select(["size", "doc_id", "tie", "x"]), order))
     x, w = table.column("x").to_numpy().copy(), table.column("size").to_numpy().astype(float)
-    draws = np.random.default_rng([SEED, *(k.as_py() for k in key), len(part)]).random(len(x))
-    held = -1
-    for i, draw in enumerate(draws.tolist()):
-        if held < 0:
-            held = i
-            continue
-        a, b = held, i
-        up = min((1 - x[a]) * w[a], x[b] * w[b])    # mass that b can give to a
-        down = min(x[a] * w[a], (1 - x[b]) * w[b])  # and a to b
-        if draw * (up + down) < down:
-            a_whole, b_whole = (1 - x[a]) * w[a] <= up, x[b] * w[b] <= up
-            x[a], x[b] = (1.0 if a_whole else x[a] + up / w[a]), (0.0 if b_whole else x[b] - up / w[b])
-        else:
-            a_whole, b_whole = x[a] * w[a] <= down, (1 - x[b]) * w[b] <= down
-            x[a], x[b] = (0.0 if a_whole else x[a] - down / w[a]), (1.0 if b_whole else x[b] + down / w[b])
-        held = -1 if a_whole and b_whole else b if a_whole else a
+    random = np.random.default_rng([SEED, *(k.as_py() for k in key), len(x)])
+    for a in range(len(x) - 1):
+        while 0 < x[a] < 1:
+            n, need = 1, w[a] * max(x[a], 1 - x[a])
+            while True:
+                rest = x[a + 1:a + 1 + n]
+                reach = np.minimum(rest, 1 - rest)     # how far each fraction can go both ways
+                mass = float(w[a + 1:a + 1 + n] @ reach)
+                if mass >= need or a + 1 + n >= len(x):
+                    break
+                n *= 2
+            if mass < need:                            # too large to be balanced, whichever way it goes
+                whole = round(x[a])
+                over = (x[a] - whole) * w[a]
+                room = 1 - rest if over > 0 else rest
+                total = float(w[a + 1:] @ room)
+                if total >= abs(over):
+                    x[a], rest[:] = whole, np.clip(rest + room * (over / total if total else 0.0), 0.0, 1.0)
+                    break
+            if not mass:
+                break
+            up, down = min((1 - x[a]) * w[a], mass), min(x[a] * w[a], mass)
+            give = -down if random.random() * (up + down) >= down else up
+            x[a] = 1.0 if give == (1 - x[a]) * w[a] else 0.0 if -give == x[a] * w[a] else x[a] + give / w[a]
+            rest -= reach * (give / mass)
+            rest[rest < 1e-12] = 0.0
+            rest[rest > 1 - 1e-12] = 1.0
     return table.set_column(table.column_names.index("x"), "x", pa.array(x))
 
 
@@ -102,8 +118,7 @@ def rounded(rows: DataFrame, blocks: int) -> DataFrame:
         if blocks <= 1:
             break
         rows, blocks = rest.withColumn("part", F.floor(F.col("part") / FAN_IN)), -(-blocks // FAN_IN)
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "place"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    done.append(rest.withColumn("x", F.when(draw < F.col("x"), 1.0).otherwise(0.0)))
+    done.append(rest.withColumn("x", F.round("x")))
     out = done[0]
     for other in done[1:]:
         out = out.unionByName(other)
@@ -118,10 +133,16 @@ def copies(docs: DataFrame, *keep: str, weights=WEIGHTS, total: float = TOTAL, m
         F.ceil(F.col("n_documents") / FAN_IN).alias("parts"))
     both = docs.join(names, docs["source"].eqNullSafe(F.col("source_name")))
     wanted = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
+    # Rows are equal for the rounding if doc_id, text, size and source are; the aggregate counts them
+    # in each task before the shuffle, and no more than one group in FAN_IN rows is left of it.
+    many = docs.groupBy("source", "doc_id", "tie").count().where(F.col("count") > FAN_IN).select(
+        F.col("source").alias("many_source"), F.col("doc_id").alias("many_id"), F.col("tie").alias("many_tie"), F.lit(1).alias("many"))
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in (("source", "many_source"), ("doc_id", "many_id"), ("tie", "many_tie"))]
+    both = both.withColumn("place_in_files", F.monotonically_increasing_id()).join(many, same, "left")
     placed = both.select(
         *keep, "doc_id", "size", "tie", "place", "source_size", "target",
         F.floor(wanted).cast("long").alias("base"), (wanted - F.floor(wanted)).alias("x"),
-        F.pmod(F.xxhash64("doc_id", "tie"), F.col("parts")).alias("part"))
+        F.pmod(F.xxhash64("doc_id", "tie", F.when(F.col("many") == 1, F.col("place_in_files"))), F.col("parts")).alias("part"))
     split = (F.col("x") > 0) & (F.col("size") > 0)
     blocks = table.agg(F.max("n_documents")).first()[0] or 1
     settled = rounded(placed.where(split), -(-blocks // FAN_IN))
