@@ -4,8 +4,10 @@ Texts are reduced to words of digits, small letters and characters beyond ASCII,
 spaces. A notice of m characters may be found with up to k errors (insertions, deletions,
 substitutions). By the pigeonhole principle one of k + 1 parts of the notice then stands in the
 text unchanged, so the parts are searched for as exact seeds. Around every seed the regex
-library's bounded-error matching decides, counts the errors and gives the span. Texts are searched
-whole, all seeds are followed up, and windows that overlap are searched once.
+library's bounded-error matching decides, counts the errors and gives the span; the window is
+searched again on both sides of what was found. A notice starts and ends at spaces. Texts are
+searched whole and all seeds are followed up. Of spans of one notice that overlap, the one with
+the fewest errors stays, of those the first and the shortest.
 
 Defined results: null, empty and wordless texts have no words, no labels, empty label strings and
 score 0; repeated rows are scanned one by one; an empty table gives an empty table.
@@ -60,7 +62,7 @@ class Scanner:
 
         self.notices = []
         for notice, label, errors in notices:
-            pattern = regex.compile(rf"(?be)\b(?:{regex.escape(notice.encode(), special_only=True).decode()}){{e<={errors}}}\b".encode())
+            pattern = regex.compile(rf"(?be)(?<= )(?:{regex.escape(notice, special_only=True)}){{e<={errors}}}(?= )".encode())
             parts = [(s.encode(), at) for s, at in seeds(notice, errors)]
             self.notices.append((len(notice), label, errors, pattern, parts))
 
@@ -77,21 +79,32 @@ class Scanner:
     def notices_in(self, line: bytes):
         """label, first and last byte and errors of every notice found."""
         for length, label, errors, pattern, parts in self.notices:
-            windows = []
+            windows = set()
             for seed, place in parts:
                 at = -1
                 while (at := line.find(seed, at + 1)) >= 0:
-                    windows.append((max(0, at - place - errors - 1), min(len(line), at - place + length + errors + 1)))
-            windows.sort()
-            merged: list[list[int]] = []
-            for a, b in windows:
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(b, merged[-1][1])
-                else:
-                    merged.append([a, b])
-            for a, b in merged:
-                for m in pattern.finditer(line, a, b):
-                    yield label, m.start(), m.end(), sum(m.fuzzy_counts), length
+                    windows.add((max(0, at - place - errors - 1), min(len(line), at - place + length + errors + 1)))
+            found, left = set(), list(windows)
+            while left:
+                a, b = left.pop()
+                m = pattern.search(line, a, b) if b - a >= length - errors else None
+                if m:
+                    found.add((sum(m.fuzzy_counts), m.start(), m.end()))
+                    left += [(a, m.start()), (m.end(), b)]
+            yield from ((label, a, b, wrong, length) for wrong, a, b in self._apart(found))
+
+    @staticmethod
+    def _apart(found):
+        """Spans (errors, start, end) in that order, without those that overlap one taken before."""
+        import bisect
+
+        starts, taken = [], []
+        for wrong, a, b in sorted(found):
+            i = bisect.bisect(starts, a)
+            if (i == 0 or taken[i - 1][2] <= a) and (i == len(taken) or b <= starts[i]):
+                starts.insert(i, a)
+                taken.insert(i, (wrong, a, b))
+        return taken
 
     def scan(self, text: str | None) -> tuple:
         words = (text or "").encode().translate(_TABLE).split()
