@@ -3,8 +3,9 @@
 A sequence has limits on tokens, on segments (pieces of documents) and on loss-bearing tokens.
 Each task streams its documents into a pool. Whole sequences of long documents leave at once;
 what remains of every document is an item. A bin takes, as long as any item fits, the item with
-the largest weighted dot product of its demand and the room left in the bin. When none fits any
-more, an item is cut to fill the bin to the last token, and its rest stays in the pool. The last
+the largest weighted dot product of its demand and the room left in the bin; items of one demand
+are one class, which is scored once, so that many tiny documents cost no more than one. When none
+fits any more, an item is cut to fill the bin to the last token, and its rest stays in the pool. The last
 bin of a task is cut at powers of two, which need no padding. Nothing is shuffled.
 
 Defined results: a null text is an empty document of one id, the end id; repeated rows are
@@ -31,6 +32,54 @@ SCHEMA = (
     "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long")
 
 
+class Classes:
+    """Items by demand, (tokens, 1, loss-bearing tokens): the demands in an array, their items in stacks."""
+
+    def __init__(self, pairs):
+        import numpy as np
+
+        self.stacks: dict[tuple, list] = {}
+        for need, item in pairs:
+            self.stacks.setdefault(need, []).append(item)
+        self.keys = list(self.stacks)
+        self.needs = np.array(self.keys, float)
+        self.n = len(self.keys)
+        self.total = np.array([len(s) for s in self.stacks.values()], float) @ self.needs
+
+    def best(self, weights, room=None):
+        """The place of the demand with the largest dot product, of those that fit."""
+        import numpy as np
+
+        needs = self.needs[:self.n]
+        score = needs @ weights
+        if room is not None:
+            score = np.where((needs <= room).all(axis=1), score, -1.0)
+        i = int(score.argmax())
+        return i if score[i] >= 0 else None
+
+    def take(self, i):
+        """One item of a demand; the last demand takes the place of one that is used up."""
+        key, need = self.keys[i], self.needs[i].copy()
+        item = self.stacks[key].pop()
+        if not self.stacks[key]:
+            del self.stacks[key]
+            self.n -= 1
+            self.keys[i], self.needs[i] = self.keys[self.n], self.needs[self.n]
+        return need, item
+
+    def put(self, key, item):
+        import numpy as np
+
+        if key not in self.stacks:
+            self.stacks[key] = []
+            if self.n == len(self.keys):
+                self.keys.append(key)
+                self.needs = np.vstack([self.needs, [key]])
+            self.keys[self.n], self.needs[self.n] = key, key
+            self.n += 1
+        self.stacks[key].append(item)
+
+
 class Packer:
     """Packs the documents of one task; ``emit`` gets the pieces of a sequence."""
 
@@ -47,14 +96,15 @@ class Packer:
         """A document of n tokens, of which the first ``prompt`` bear no loss."""
         if prompt:
             self.free_from[doc] = prompt
-        step = min(self.length, self.loss)
         start = 0
-        while n - start >= step:
-            self.emit([(doc, start, start + step)])
-            start += step
-        if n > start:
-            self.items.append((doc, start, n))
-            self.tokens += n - start
+        while n - start >= self.length and self._loss(doc, start, start + self.length) <= self.loss:
+            self.emit([(doc, start, start + self.length)])
+            start += self.length
+        while n > start:
+            end = min(n, start + self.length, max(start, prompt) + self.loss)
+            self.items.append((doc, start, end))
+            self.tokens += end - start
+            start = end
 
     def pack(self, last: bool = False) -> None:
         """Fill bins from the pool; before the last call the unfinished bin stays in it."""
@@ -63,30 +113,23 @@ class Packer:
         if not self.items:
             return
         limits = np.array([self.length, self.segments, self.loss], float)
-        need = np.array([(e - s, 1, self._loss(d, s, e)) for d, s, e in self.items], float)
-        weights = need.mean(axis=0) / limits  # a scarce resource counts more
-        items, n = list(self.items), len(self.items)
-        while n:
+        classes = Classes([((e - s, 1, self._loss(d, s, e)), (d, s, e)) for d, s, e in self.items])
+        weights = classes.total / len(self.items) / limits  # a scarce resource counts more
+        while classes.n:
             room, bin_ = limits.copy(), []
-            while n:
-                fits = (need[:n] <= room).all(axis=1)
-                if not fits.any():
-                    break
-                score = np.where(fits, need[:n] @ (weights * room / limits**2), -1.0)
-                i = int(score.argmax())
-                bin_.append(items[i])
-                room -= need[i]
-                n -= 1
-                need[i], items[i] = need[n], items[n]
-            if n and room[0] >= 1 and room[1] >= 1:
-                i = int((need[:n] @ (weights * room / limits**2)).argmax())
-                doc, start, end = items[i]
+            while classes.n and (i := classes.best(weights * room / limits**2, room)) is not None:
+                need, item = classes.take(i)
+                bin_.append(item)
+                room -= need
+            if classes.n and room[0] >= 1 and room[1] >= 1:
+                i = classes.best(weights * room / limits**2)
+                _, (doc, start, end) = classes.take(i)
                 cut = start + int(room[0])
                 if cut < end and self._loss(doc, start, cut) <= room[2]:
                     bin_.append((doc, start, cut))
-                    items[i], need[i] = (doc, cut, end), (end - cut, 1, self._loss(doc, cut, end))
-                    room[0] = 0
-            if not n and room[0] >= 1:
+                    room[0], start = 0, cut
+                classes.put((end - start, 1, self._loss(doc, start, end)), (doc, start, end))
+            if not classes.n and room[0] >= 1:
                 self.items = bin_ if not last else []
                 self.tokens = sum(e - s for _, s, e in self.items)
                 if last:

@@ -91,6 +91,47 @@ def test_mix_odd(odd, empty):
     assert mix.mixed(odd).columns == odd.columns
 
 
+def test_mix_comes_near_every_target(spark):
+    """Within 1 % or the smallest documents, though the sizes of a source differ a thousandfold."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    by = collections.defaultdict(list)
+    for r in rows(mix.mix(docs).join(docs.select("doc_id", "source"), "doc_id")):
+        by[r["source"]].append(r)
+    for part in by.values():
+        off = abs(sum(r["taken"] for r in part) - part[0]["target"])
+        assert off <= max(0.01 * part[0]["target"], sorted(r["size"] for r in part)[min(2, len(part) - 1)])
+
+
+def test_mix_keeps_expectations():
+    """Over many draws documents are taken as often as their fractions say, and each draw keeps the sum."""
+    import numpy as np
+    import pyarrow as pa
+
+    size, x = list(range(1, 201)), [0.3] * 200
+    table = pa.table({"part": [0] * 200, "doc_id": list(range(200)), "size": size, "tie": [0] * 200, "x": x})
+    drawn = [mix._pivot((pa.scalar(i), pa.scalar(0)), table).column("x").to_numpy() for i in range(600)]
+    assert all(((d > 0) & (d < 1)).sum() <= 1 and abs(d @ np.sort(size)[::-1] - np.dot(x, size)) < 1e-6 for d in drawn)
+    assert np.abs(np.mean(drawn, axis=0) - 0.3)[:170].max() < 0.09
+
+
+def test_mix_deals_equal_rows(spark):
+    """5,000 equal rows, of a null source and without an id, in several blocks; half of them are taken twice."""
+    docs = spark.range(5000).selectExpr(
+        "CAST(NULL AS LONG) AS doc_id", "CAST(NULL AS STRING) AS source", "'two words' AS text").unionByName(
+        spark.createDataFrame([(1, "a", "one")], "doc_id long, source string, text string"))
+    sizes = []
+    pivot = mix.rounded
+    try:
+        mix.rounded = lambda part, blocks: sizes.extend(r["count"] for r in rows(part.groupBy("place", "part").count())) or pivot(part, blocks)
+        got = rows(mix.mix(docs, total=1.5))
+    finally:
+        mix.rounded = pivot
+    assert len(sizes) == 5 and max(sizes) < 1300
+    taken = collections.Counter(r["taken"] for r in got if r["doc_id"] is None)
+    target = next(r["target"] for r in got if r["doc_id"] is None)
+    assert set(taken) == {2, 4} and abs(2 * taken[2] + 4 * taken[4] - target) <= 2
+
+
 # 2
 def test_line_dedup(spark, odd, empty):
     pages = [(i, "a", f"own {i}\n menu ") for i in range(4)] + [(9, "b", "menu")]
@@ -125,6 +166,16 @@ def test_every_bounded_error_is_found():
             assert scanner.scan("so " + "".join(text) + " it is")[5] == "mpl"
 
 
+def test_notices_side_by_side_and_at_letters_beyond_ascii():
+    scanner = licenses.Scanner()
+    assert scanner.scan("mozilla public licence mozilla public license")[7] == [("mpl", 0, 2, 1), ("mpl", 3, 5, 0)]
+    assert scanner.scan("mozilla public license mozilla public licence mozila public licence")[7] == [
+        ("mpl", 0, 2, 0), ("mpl", 3, 5, 1), ("mpl", 6, 8, 2)]
+    assert scanner.scan("cafémozilla public license")[5] == "" and scanner.scan("mozilla public licenseéé")[5] == ""
+    text = "so " + "x " * 50000 + "all rights reserved " * 1000 + "y " * 50000
+    assert len(scanner.scan(text)[7]) == 1000
+
+
 # 4
 def test_classifier(spark, odd, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
@@ -250,6 +301,49 @@ def test_packing_odd(odd, empty):
     assert sum(r["length"] for r in got if r["doc_id"] == 3) == 1
 
 
+def packed(sizes, prompts=None, **limits):
+    """Sequences of a packer; checks that every token lies in one piece and that all limits hold."""
+    out = []
+    packer = packing.Packer(lambda pieces: out.append(list(pieces)), **limits)
+    for i, n in enumerate(sizes):
+        packer.add(i, n, prompts[i] if prompts else 0)
+        if packer.tokens >= packing.POOL:
+            packer.pack()
+    packer.pack(last=True)
+    at = collections.defaultdict(list)
+    for pieces in out:
+        n = sum(e - s for _, s, e in pieces)
+        assert n == 2048 or n < 2048 and n & (n - 1) == 0
+        assert len(pieces) <= limits.get("segments", packing.SEGMENTS)
+        assert sum(packer._loss(*p) for p in pieces) <= (limits.get("loss") or 2048)
+        for doc, start, end in pieces:
+            at[doc].append((start, end))
+    for i, n in enumerate(sizes):
+        spans = sorted(at[i])
+        assert spans[0][0] == 0 and spans[-1][1] == n and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    return out
+
+
+def test_packing_keeps_all_limits():
+    import random
+
+    draw = random.Random(3)
+    sizes = [draw.choice([1, 7, 300, draw.randrange(1, 2500), 9000]) for _ in range(600)]
+    prompts = [draw.randrange(n + 1) for n in sizes]
+    plain = packed(sizes)
+    assert sum(sum(e - s for _, s, e in p) == 2048 for p in plain) == sum(sizes) // 2048
+    packed(sizes, loss=1500)
+    packed(sizes, prompts, loss=700)
+    packed(sizes, prompts, loss=700, segments=4)
+
+
+def test_packing_many_tiny_documents():
+    import time
+
+    began = time.time()
+    assert len(packed([10] * 200_000)) >= 200_000 * 10 // 2048 and time.time() - began < 30
+
+
 # 9
 def test_lm_scores(documents, texts):
     unigrams, bigrams = collections.Counter(), collections.Counter()
