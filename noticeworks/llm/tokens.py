@@ -49,7 +49,7 @@ class Encoder:
         self.spaced = spaced
         self.letters = _byte_letters()
         self.cache: dict[str, bytes] = {}      # pieces after a space, or all pieces if white space is dropped
-        self.bare: dict[str, bytes] = {}       # pieces that no space precedes
+        self.bare: dict[str, bytes] = {}       # pieces that no space precedes, or parts of pieces
 
     def _whole(self, text: str) -> bytes:
         import numpy as np
@@ -78,13 +78,24 @@ class Encoder:
                 return self._lines(text)
             return self._whole(text)
         parts = [p for p in found.groups() if p]
-        if self.spaced:
-            parts[0] = text[:1] + parts[0] if space else parts[0]
-        else:
-            parts = [p.lower() for p in parts]
+        if not self.spaced:
+            return b"".join([self._part(p.lower()) for p in parts])
+        parts[0] = text[:1] + parts[0] if space else parts[0]
         ids = [i for p in parts for i in self._model(p)]
         return struct.pack(f"<{len(ids)}H", *ids)
 
+    def _part(self, part: str) -> bytes:
+        """Letters or marks of a piece in lower case, which pieces share whatever their case and marks."""
+        ids = self.bare.get(part)
+        if ids is None:
+            found = self._model(part)
+            ids = struct.pack(f"<{len(found)}H", *found)
+            if len(self.bare) >= CACHED_PIECES:
+                self.bare.clear()
+            if len(part) <= 64:
+                self.bare[part] = ids
+        return ids
+
     def _lines(self, text: str) -> bytes:
         """A piece with line ends between other characters: every line end is a token of its own."""
         lines = text.split("\n")
@@ -109,7 +120,7 @@ class Encoder:
         if not self.spaced:
             # Only white space of ASCII cuts here; the tokenizer itself sees to any other.
             cache = self.cache
-            pieces = [p.decode() for p in text.encode().split()] if not text.isascii() or _ODD.search(text) else text.split()
+            pieces = [p.decode() for p in text.encode().split()] if _ODD.search(text) else text.split()
             return b"".join([cache.get(p) or self.known(p, cache) for p in pieces])
         pieces = text.split(" ")
         # A cut before a space holds only between two other characters.
@@ -139,5 +150,5 @@ def encoder(path: str, spaced: bool) -> Encoder:
     return Encoder(path, spaced)
 
 
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = re.compile(r"[^\S \t-\r]")  # white space that only str.split cuts at
 _OTHER = re.compile(r"[^\S ]")  # white space but the space
