@@ -14,11 +14,13 @@ from noticeworks.operators.flatrows import last_number
 
 def header_rows(rows: Column) -> Column:
     """Length of the contiguous header prefix among the first rows."""
-    # Text first, in a pass of its own: a lambda body would compute it at every mention.
-    texts = F.transform(F.slice(rows, 1, M.HEADER_SCAN_ROWS), lambda r: F.lower(K.row_text(r)))
-    flags = F.transform(texts, lambda t: X.contains_any(t, M.HEADER_ROW_WORDS))
-    first_other = F.array_position(flags, F.lit(False))
-    return F.when(first_other == 0, F.size(flags)).otherwise(first_other.cast("int") - 1)
+    # Row after row, from the last that is looked at inwards: no text behind the prefix is computed.
+    length = F.lit(M.HEADER_SCAN_ROWS)
+    for i in reversed(range(M.HEADER_SCAN_ROWS)):
+        text = F.lower(K.row_text(F.get(rows, F.lit(i))))
+        other = (F.size(rows) <= i) | ~X.contains_any(text, M.HEADER_ROW_WORDS)
+        length = F.when(other, F.lit(i)).otherwise(length)
+    return F.when(rows.isNotNull(), length)
 
 
 def candidate_rows(pages: DataFrame, strict: bool = True, kept: Column | None = None) -> DataFrame:
@@ -63,12 +65,12 @@ def project_rows(candidates: DataFrame) -> DataFrame:
         K.cell_text(cell(3)).alias("opening_date"),
         K.cell_text(cell(4)).alias("_title_ref"),
         F.coalesce(K.cell_text(cell(5)), F.lit("")).alias("organisation"),
-        X.link_url(K.cell_href(cell(4))).alias("url"),
+        K.cell_href(cell(4)).alias("_href"),
     )
     title, ref = N.split_title_ref(F.col("_title_ref"))
-    rest = [c for c in texts.columns if c != "_title_ref"]
+    rest = [c for c in texts.columns if c not in ("_title_ref", "_href")]
     return texts.select(
-        *rest, X.once(title.alias("title"), ref.alias("ref_no"))
+        *rest, X.once(X.link_url(F.col("_href")).alias("url"), title.alias("title"), ref.alias("ref_no"))
     )
 
 

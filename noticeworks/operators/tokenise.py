@@ -40,10 +40,9 @@ _CAPTION_CELL = rf"^(?i:td)\b[^>]*?{_has_class('td_caption')}"
 
 # What the built-in expressions cannot tokenise: checked on the table blocks only.
 _UNSAFE = (
-    r"(?i)(?<!^)<table\b"
-    r"|<(?:script|style|textarea|title|noscript|template|iframe|xmp)\b|<!"
+    r"(?i)<(?:(?<!^<)table\b|(?:script|style|textarea|title|noscript|template|iframe|xmp)\b|!)"
     r"|&(?!(?:amp|nbsp|lt|gt|quot|apos|#39|#8377);)[a-z#][a-z0-9][^<>]*(?:<|$)"
-    r"""|=\s*"[^"<]*>[^"<]*"|=\s*'[^'<]*>[^'<]*'"""
+    r"""|=\s*(?:"[^"<]*>[^"<]*"|'[^'<]*>[^'<]*')"""
 )
 
 

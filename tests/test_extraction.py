@@ -194,3 +194,31 @@ def test_both_tokenizers_agree_on_random_pages(spark):
         strict = T.cells(df.select("page_id", body("<tr><td>x<script></script></td></tr>").alias("html")), kind)
         key = lambda r: (r["page_id"], r["row_ord"], r["cell_ord"])
         assert sorted(native.collect(), key=key) == sorted(strict.collect(), key=key)
+
+
+def test_plain_markup_is_read_as_the_parser_reads_it():
+    from noticeworks.operators import flatrows as R
+
+    rng = random.Random(7)
+    plain = ["<table id=table>", "<table class='a list'>", '<table class="tablebg">', "</table>", "<tr>", "</TR>", "<thead>", "</thead>",
+             "<td class='td_caption x'>", "<td>", "</td>", "<a href='/x?a=1&amp;b=2'>", "<a href>", "</a>", "p &amp; q", "&#8377; 5", "&copy",
+             "<br/>", "<!-- <td>c</td> -->", "<script>var t = '<table id=x>';</script>", "<td class='a' class=b>", " "]
+    odd = ["a < b", "<!-- a -- b -->", "<!DOCTYPE html>", "<script>a</b></script>", "<td a='>'>", "<td class=a/>", "</ td>", "<title>x</title>", "&"]
+    for n in range(3000):
+        html = "".join(rng.choice(plain if n % 2 else plain + odd) for _ in range(rng.randint(1, 25)))
+        for kind in ("listing", "detail", "any"):
+            want = R._TableReader(kind)
+            want.feed(html)
+            want.close()
+            assert R._read(html, kind).found == want.found, html
+        assert n % 2 == 0 or R._TableReader("any").read(html), html
+
+
+def test_header_text_is_computed_once_a_row(spark, pages):
+    """One mention of each of the first rows in the plan, and none inside a lambda."""
+    df = spark.range(1).select(F.array(F.lit("x")).alias("rows")).select(L.header_rows(F.col("rows")).alias("n"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("lower(") == M.HEADER_SCAN_ROWS and "lambda" not in plan
+    for rows, want in ((None, None), ([], 0), (["<td>S.No</td>"] * 2, 2), (["<td>Title</td>", "<td>a</td>", "<td>Title</td>"], 1), (["<td>Title</td>"] * 9, 5)):
+        got = spark.createDataFrame([(rows,)], "rows array<string>").select(L.header_rows(F.col("rows"))).head()[0]
+        assert got == want
