@@ -224,6 +224,22 @@ def latest_per_key(rows: DataFrame) -> DataFrame:
     return dedup.last_wins(rows, M.NOTICE_KEY, "ingest_ord")
 
 
+def fold_batches(rows: DataFrame, batch: str) -> DataFrame:
+    """Notice rows of numbered batches as one row per key, as if each batch had been upserted in turn.
+
+    Of a batch the last row of a key counts; then the newest value that is not null holds, and the
+    columns that are always written come from the newest batch. ``ingest_ord`` is that of its row.
+    """
+    latest = dedup.last_wins(rows, [*M.NOTICE_KEY, batch], "ingest_ord")
+    values = [c for c in rows.columns if c not in (*M.NOTICE_KEY, batch)]
+
+    def newest(c):
+        kept = c in M.ALWAYS_WRITTEN or c == "ingest_ord"
+        return F.max_by(c, batch if kept else F.when(F.col(c).isNotNull(), F.col(batch))).alias(c)
+
+    return latest.groupBy(*M.NOTICE_KEY).agg(*map(newest, values))
+
+
 def new_keys(items: DataFrame, existing: DataFrame) -> DataFrame:
     """Items whose ref_no is not stored yet; the reference alone decides, not the source."""
     return items.join(existing.select("ref_no").distinct(), "ref_no", "left_anti")

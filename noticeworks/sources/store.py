@@ -275,6 +275,26 @@ class NoticeTable(BucketedTable):
 
         self._staged(latest, "notices", change, batch)
 
+    def hold(self, rows: DataFrame, stream: str, number: int) -> None:
+        """Leave the notice rows of a stream's batch beside the table, for ``take_held``; a replay replaces them."""
+        if not self._holds(self._load(), (stream, number)):
+            rows.write.mode("overwrite").parquet(f"{self.path}/held/{stream}/batch={number}")
+
+    def take_held(self, stream: str, updated_at) -> None:
+        """Upsert what the batches of a stream have left, as if one after the other, in one write."""
+        fs, folder = self._place(f"held/{stream}")
+        if not fs.exists(folder):
+            return
+        numbers = sorted(int(s.getPath().getName().partition("=")[2]) for s in fs.listStatus(folder))
+        state = self._load()
+        new = [n for n in numbers if not self._holds(state, (stream, n))]
+        if new:
+            rows = self.spark.read.option("basePath", f"{self.path}/held/{stream}").parquet(
+                *[f"{self.path}/held/{stream}/batch={n}" for n in new])
+            one = rows.drop("batch") if len(new) == 1 else merge.fold_batches(rows, "batch")
+            self.upsert(one, updated_at, (stream, new[-1]))
+        self._delete(f"held/{stream}")
+
     def insert_new(self, rows: DataFrame, updated_at, batch: str | tuple[str, int] | None = None) -> None:
         """Insert rows whose keys are not stored; a stored key would be updated, never doubled."""
         self.upsert(rows.withColumn("ingest_ord", F.lit(0)), updated_at, batch)

@@ -29,17 +29,22 @@ def upsert_new_pages(
 ):
     """Extract and upsert all pages that arrived since the last run, then stop.
 
-    The checkpoint remembers the files that were read; the table remembers the last batch of each
-    stream, so a batch that is replayed after a failure changes nothing. A stream is told by the
-    id that Spark keeps in its checkpoint: a new or reset checkpoint is another stream.
+    Each batch leaves its rows beside the table, and the table takes all of them in one write at the
+    end: its buckets are rewritten once a run, however many batches the run has. The checkpoint
+    remembers the files that were read; the table remembers the last batch of each stream, so a
+    batch that is replayed after a failure changes nothing, and what a failed run has left is taken
+    by the next. A stream is told by the id that Spark keeps in its checkpoint: a new or reset
+    checkpoint is another stream.
     """
     pages = stream_pages(spark, page_dir, files_per_batch)
 
     stream = stream_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = merge.notice_rows(L.extract_listing(batch, strict=strict))
-        table.upsert(rows, updated_at, batch=(stream(), batch_id))
+        cores = spark.sparkContext.defaultParallelism
+        # A batch may have fewer files than there are cores.
+        dealt = batch if batch.rdd.getNumPartitions() >= cores else batch.repartition(cores, "page_id", "page_no", "url")
+        table.hold(merge.notice_rows(L.extract_listing(dealt, strict=strict)), stream(), batch_id)
 
     query = (
         pages.writeStream.trigger(availableNow=True)
@@ -48,4 +53,5 @@ def upsert_new_pages(
         .start()
     )
     query.awaitTermination()
+    table.take_held(stream(), updated_at)
     return query

@@ -137,3 +137,28 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["search_filter"](spark, SF_DIR))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThanOrEqual(o_totalprice,200000.0)" in text
     assert "o_orderstatus" not in text
+
+
+def test_a_stream_of_many_batches_writes_the_table_once_a_run(spark, tmp_path):
+    """Eight files, one batch each: one version; what the batches bring is folded as one upsert after the other."""
+    def page(n, text, organisation):
+        cells = "".join(f"<td>{x}</td>" for x in ("1.", "01-Mar-2026", "09-Mar-2026", "10-Mar-2026", f"[Supply of pumps and pipes {text}][REF-{n}][{n}]", organisation))
+        return [(n, "eprocure", "u", n, f'<html><table class="list_table"><tr>{cells}</tr></table></html>')]
+
+    for i, given in enumerate([(1, "a", "Water Board"), (2, "a", ""), (1, "b", ""), (2, "b", "Roads"), (1, "c", ""), (3, "a", ""), (4, "a", "x"), (5, "a", "y")]):
+        spark.createDataFrame(page(*given), M.PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "pages"))
+    table = NoticeTable(spark, str(tmp_path / "t"), buckets=2)
+    go = lambda: incremental.upsert_new_pages(spark, str(tmp_path / "pages"), table, str(tmp_path / "c"), AT, files_per_batch=1)
+    go()
+    assert table._versions() == [1]
+    got = {r["ref_no"]: (r["title"][-1], r["organisation"]) for r in table.read().collect()}
+    assert got == {"REF-1": ("c", "Water Board"), "REF-2": ("b", "Roads"), "REF-3": ("a", None), "REF-4": ("a", "x"), "REF-5": ("a", "y")}
+    go()
+    assert table._versions() == [1]
+    # What a failed run has left is taken by the next one, and a replayed batch is not.
+    stream = next(iter(table._load()["streams"]))
+    rows = merge.notice_rows(L.extract_listing(spark.createDataFrame(page(9, "z", "Late"), M.PAGE_SCHEMA)))
+    table.hold(rows, stream, 3)
+    table.hold(rows, stream, 99)
+    go()
+    assert table._versions() == [1, 2] and table.read().count() == 6 and not list((tmp_path / "t" / "held").iterdir())
