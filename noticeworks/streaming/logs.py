@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import BooleanType, LongType, StructType
 
@@ -15,6 +14,7 @@ from noticeworks.sources.store import JobTable
 from noticeworks.streaming.incremental import stream_id
 
 _STATE = "segment string, status string, status_us bigint, status_seq bigint, first_us bigint, last_us bigint, polls bigint"
+_JOB = Row(*[c.split()[0] for c in M.JOB_SCHEMA.split(", ")])
 _ENDED = [*M.DONE_STATUSES, *M.FAILED_STATUSES]
 
 
@@ -31,26 +31,27 @@ class JobStates(StatefulProcessor):
         self.handle = handle
         self.job = handle.getValueState("job", _STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        polls = pd.concat(list(rows)).sort_values(["us", "seq"])
-        first, last = polls.iloc[0], polls.iloc[-1]
-        known = self.job.get() if self.job.exists() else None
-        if known is None:
-            known = (f"{first.us}:{first.seq}", last.status, int(last.us), int(last.seq), int(first.us), int(last.us), 0)
-        segment, status, us, seq, first_us, last_us, count = known
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        polls = sorted(rows, key=lambda r: (r.us, r.seq))
+        first, last = polls[0], polls[-1]
+        # Every call to the state store is a message: a job without state has no timer, and nothing to clear.
+        old = self.job.get()
+        segment, status, us, seq, first_us, last_us, count = old or (
+            f"{first.us}:{first.seq}", last.status, last.us, last.seq, first.us, last.us, 0)
         if (last.us, last.seq) >= (us, seq):
-            status, us, seq = last.status, int(last.us), int(last.seq)
-        now = (segment, status, us, seq, min(first_us, int(first.us)), max(last_us, int(last.us)), count + len(polls))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if status in _ENDED:
-            self.job.clear()
-        else:
+            status, us, seq = last.status, last.us, last.seq
+        now = (segment, status, us, seq, min(first_us, first.us), max(last_us, last.us), count + len(polls))
+        if old is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+        if status not in _ENDED:
             self.job.update(now)
             self.handle.registerTimer(now[4] // 1000 + self.timeout_ms)
-        yield pd.DataFrame([(key[0], *now)], columns=[c.split()[0] for c in M.JOB_SCHEMA.split(", ")])
+        elif old is not None:
+            self.job.clear()
+        yield _JOB(key[0], *now)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.job.clear()
         return iter(())
 
@@ -71,7 +72,7 @@ def job_states(
     """
     polls = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late).select(
         "job_id", "at", F.unix_micros("at").alias("us"), F.col("seq").cast("bigint").alias("seq"), "status")
-    changed = polls.groupBy("job_id").transformWithStateInPandas(
+    changed = polls.groupBy("job_id").transformWithState(
         JobStates(timeout_seconds), M.JOB_SCHEMA, "Update", "EventTime")
     stream = stream_id(spark, checkpoint)
 
