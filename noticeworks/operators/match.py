@@ -26,6 +26,7 @@ BLOCK_BYTES = 64 * 1024 * 1024 # and the size of their vectors, at most
 _ITEMS = 512                   # items that are scored against a block at once
 _SLACK = 1e-6                  # radians, far beyond any rounding of an angle
 _DIGITS = 12                   # scores that agree so far are equal: ties go to the smaller item id
+_ROUNDING = 2 * 10.0 ** -_DIGITS  # scores that are this far below another are smaller when rounded, too
 _GROUP = 256                   # tasks whose best rows meet first
 _PARTIAL = "user_id bigint, item_id bigint, score double, task int"
 
@@ -113,6 +114,11 @@ def _bound(angle, spread):
     return np.cos(np.maximum(angle - spread - _SLACK, 0)) + _SLACK
 
 
+def _widest(score):
+    """The widest angle between user and item at which ``_bound`` still reaches a score."""
+    return np.arccos(np.clip(score - _SLACK, -1, 1)) + _SLACK
+
+
 class _Best:
     """Running best k items per user of a block; ``least`` is the score that an item must reach."""
 
@@ -120,16 +126,18 @@ class _Best:
         self.least, self.k = least.copy(), k
         self.user, self.item, self.score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
 
-    def add(self, scores: np.ndarray, items: np.ndarray) -> None:
-        """``scores`` of all users with some items, -inf where an item is out of reach."""
-        if scores.shape[1] > self.k:
-            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
-            least = np.maximum(self.least, kth)
-        else:
-            least = self.least
-        user, col = np.nonzero(scores >= least[:, None])
-        user, item = np.append(self.user, user), np.append(self.item, items[col])
-        score = np.append(self.score, scores[user[len(self.user):], col])
+    def add(self, users: np.ndarray, scores: np.ndarray, items: np.ndarray) -> None:
+        """``scores`` of some users, by place, with some items, not rounded."""
+        least = self.least[users] - _ROUNDING
+        able = scores >= least[:, None]
+        if scores.shape[1] > self.k and np.count_nonzero(able) > self.k * len(users):
+            kth = np.partition(scores, -self.k, axis=1)[:, -self.k] - _ROUNDING
+            able = scores >= np.maximum(least, kth)[:, None]
+        row, col = np.nonzero(able)
+        if not len(row):
+            return
+        user, item = np.append(self.user, users[row]), np.append(self.item, items[col])
+        score = np.append(self.score, np.round(scores[row, col], _DIGITS))
         order = np.lexsort((item, -score, user))
         user, item, score = user[order], item[order], score[order]
         rank = np.arange(len(user)) - np.searchsorted(user, user)
@@ -157,17 +165,15 @@ def _scored(index: Index, clusters, block, needed, angles, k: int) -> DataFrame:
                 part = batch.slice(a, _ITEMS)
                 cluster = part.column("cluster").to_numpy()
                 unit, spread = _rows(part.column("vector"), width), part.column("angle").to_numpy()
-                scores = np.full((len(users), len(cluster)), -np.inf)
+                ids = part.column("item_id").to_numpy()
                 for c in np.unique(cluster):
-                    # Items of a cluster lie around its centre: each at its own angle from it.
+                    # Items of a cluster lie around its centre: these ones at angles between two limits.
                     mine = np.flatnonzero(cluster == c)
-                    gap = np.abs(to_centre[:, c, None] - spread[mine])
-                    reach = _bound(gap, 0) >= best.least[:, None]
-                    able = np.flatnonzero(reach.any(axis=1))
+                    widest = _widest(best.least)
+                    gap = np.maximum(spread[mine].min() - to_centre[:, c], to_centre[:, c] - spread[mine].max())
+                    able = np.flatnonzero(gap <= widest)
                     if len(able):
-                        exact = np.round(matrix[able] @ unit[mine].T, _DIGITS)
-                        scores[np.ix_(able, mine)] = np.where(reach[able], exact, -np.inf)
-                best.add(scores, part.column("item_id").to_numpy())
+                        best.add(able, matrix[able] @ unit[mine].T, ids[mine])
         if len(best.user):
             number = np.full(len(best.user), TaskContext.get().partitionId(), np.int32)
             yield pa.RecordBatch.from_pydict({

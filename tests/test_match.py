@@ -61,6 +61,22 @@ def test_match_reads_only_clusters_that_can_win(spark, monkeypatch):
     assert sum(map(len, read)) < 8
 
 
+def test_best_items_of_some_users():
+    """Raw scores of the users in reach only; ties after rounding go to the smaller item."""
+    best = match._Best(np.full(3, -2.0), 2)
+    best.add(np.array([0, 2]), np.array([[0.5, 0.5 + 1e-14, 0.1, 0.2], [0.9, 0.1, 0.3, 0.2]]), np.array([7, 3, 1, 4]))
+    best.add(np.array([2]), np.array([[0.3 - 1e-14, 0.2]]), np.array([0, 5]))
+    got = list(zip(best.user.tolist(), best.item.tolist(), best.score.tolist()))
+    assert got == [(0, 3, 0.5), (0, 7, 0.5), (2, 7, 0.9), (2, 0, 0.3)]
+    assert best.least.tolist() == [0.5, -2.0, 0.3]
+
+
+def test_widest_angle_agrees_with_the_bound():
+    score = np.append(np.linspace(-1, 1, 501), -2.0)
+    wide = match._widest(score)
+    assert (match._bound(wide - 1e-9, 0) >= score).all() and (match._bound(wide + 1e-5, 0) < score)[(wide < 3.1) & (score > -1)].all()
+
+
 def test_match_without_users_or_items(spark):
     none = spark.createDataFrame([], "user_id bigint, vector array<float>")
     items = spark.createDataFrame([(1, [1.0])], "item_id bigint, vector array<float>")
