@@ -48,13 +48,14 @@ _CHALLENGE = (
 
 def challenge_page(html: Column) -> Column:
     """Whether a stored page is a challenge page. Visibility is not known for stored HTML."""
-    return html.rlike(_CHALLENGE)
+    # Every form has this word: the pages without it, nearly all, are not searched tag by tag.
+    return html.rlike("(?i)captcha") & html.rlike(_CHALLENGE)
 
 
 def anchor_texts(html: Column) -> Column:
     inner = F.regexp_extract_all(html, F.lit(r"(?s)<(?i:a)(?=[\s>])[^>]*>(.*?)</(?i:a)\s*>"), 1)
     return F.transform(
-        inner, lambda a: X.strip(X.unescape(F.regexp_replace(a, r"</?[A-Za-z][^>]*>", "")))
+        inner, lambda a: X.strip(X.unescape(F.regexp_replace(a, r"</?[A-Za-z][^>]*>", ""), a))
     )
 
 

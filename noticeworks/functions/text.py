@@ -76,8 +76,10 @@ def key_or_missing(c: Column) -> Column:
     return F.coalesce(blank_to_null(c), F.lit(M.MISSING_KEY))
 
 
-def unescape(c: Column) -> Column:
-    return reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
+def unescape(c: Column, raw: Column | None = None) -> Column:
+    """Entities to characters; ``raw`` is a stored column with an ampersand wherever the text has one."""
+    decoded = reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
+    return F.when(F.contains(c if raw is None else raw, F.lit("&")), decoded).otherwise(c)
 
 
 def clean(c: Column) -> Column:

@@ -38,16 +38,11 @@ def candidate_rows(pages: DataFrame, strict: bool = True, kept: Column | None =
     body = rows.select(*keys, "_skip", F.posexplode_outer("rows").alias("row_ord", "_row")).where(
         X.whole(kept | (F.col("row_ord") >= F.col("_skip")))
     )
-    split = body.select(
-        *keys,
-        "row_ord",
-        X.once(
-            K.row_text(F.col("_row")).alias("row_text"), K.row_cells(F.col("_row")).alias("cells")
-        ),
-    )
-    return split.where(
-        kept | ((F.char_length("row_text") >= M.MIN_ROW_CHARS) & (F.size("cells") >= M.MIN_ROW_CELLS))
-    ).drop("row_text")
+    # Texts and cells apart: Spark compiles the step of the texts only if it holds no lambda.
+    texts = body.select(*keys, "row_ord", "_row", X.once(K.row_text(F.col("_row")).alias("row_text")))
+    long = texts.where(X.whole(kept | (F.char_length("row_text") >= M.MIN_ROW_CHARS)))
+    split = long.select(*keys, "row_ord", X.once(K.row_cells(F.col("_row")).alias("cells")))
+    return split.where(kept | (F.size("cells") >= M.MIN_ROW_CELLS))
 
 
 def project_rows(candidates: DataFrame) -> DataFrame:

@@ -17,9 +17,11 @@ from noticeworks.operators.flatrows import INNER_MARK, flatten_tables
 
 TAG = r"<(?:/?[A-Za-z]|[!?])[^>]*>"
 _BEFORE_FIRST_TAG_END = r"^[^>]*>"
-_ROW_MARKUP = rf"(?s){_BEFORE_FIRST_TAG_END}|</(?i:tr|tbody|thead|tfoot|table)\b.*"
+# What is left of a row piece: from its first tag's end up to a closing tag. Possessive, so one step per tag.
+_ROW_BODY = r"^(?:[^>]*+>)?+([^<]*+(?:<(?!/(?i:tr|tbody|thead|tfoot|table)\b)[^<]*+)*+)"
+# The look-ahead spares most characters the list of tags.
 _CELL_EDGES = rf"(?s){_BEFORE_FIRST_TAG_END}|</(?i:t[dh])\b.*"
-_CELL_MARKUP = rf"{_CELL_EDGES}|{TAG}"
+_CELL_MARKUP = rf"(?s){_BEFORE_FIRST_TAG_END}|(?=<)(?:</(?i:t[dh])\b.*|{TAG})"
 
 
 def _has_class(name: str) -> str:
@@ -40,14 +42,15 @@ _CAPTION_CELL = rf"^(?i:td)\b[^>]*?{_has_class('td_caption')}"
 
 # What the built-in expressions cannot tokenise: checked on the table blocks only.
 _UNSAFE = (
-    r"(?i)<(?:(?<!^<)table\b|(?:script|style|textarea|title|noscript|template|iframe|xmp)\b|!)"
+    r"(?i)(?=[<&=])(?:<(?:(?<!^<)table\b|(?:script|style|textarea|title|noscript|template|iframe|xmp)\b|!)"
     r"|&(?!(?:amp|nbsp|lt|gt|quot|apos|#39|#8377);)[a-z#][a-z0-9][^<>]*(?:<|$)"
-    r"""|=\s*(?:"[^"<]*>[^"<]*"|'[^'<]*>[^'<]*')"""
+    r"""|=\s*(?:"[^"<]*>[^"<]*"|'[^'<]*>[^'<]*'))"""
 )
 
 
 def _blocks(html: Column, opening: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?s){opening}.*?(?=</(?i:table)\s*>|\z)"), 0)
+    # Possessive up to the closing tag: one step per tag, not one per character.
+    return F.regexp_extract_all(html, F.lit(rf"(?s){opening}[^<]*+(?:<(?!/(?i:table)\s*>)[^<]*+)*+"), 0)
 
 
 def _rest(pieces: Column) -> Column:
@@ -65,7 +68,7 @@ def _split_rows(block: Column) -> Column:
     """Row fragments of one table block, without the row tags."""
     pieces = F.split(block, r"<(?i:tr)(?=[\s>/])")
     return F.transform(
-        _rest(pieces), lambda r: F.regexp_replace(r, _ROW_MARKUP, "")
+        _rest(pieces), lambda r: F.regexp_extract(r, _ROW_BODY, 1)
     )
 
 
@@ -133,7 +136,7 @@ def row_text(row: Column) -> Column:
     """All text of a row, concatenated, then stripped."""
     inner = F.regexp_replace(row, rf"(?s)<t[dh] {INNER_MARK}>.*?</t[dh]>", "")
     own = F.when(F.contains(row, F.lit(f" {INNER_MARK}>")), inner).otherwise(row)
-    return X.strip(X.unescape(F.regexp_replace(own, TAG, "")))
+    return X.strip(X.unescape(F.regexp_replace(own, TAG, ""), row))
 
 
 def row_cells(row: Column) -> Column:
@@ -156,7 +159,7 @@ def with_next(cells_of_row: Column) -> Column:
 
 def cell_text(cell: Column) -> Column:
     """Text of a cell, concatenated, then stripped (listing pages)."""
-    return X.strip(X.unescape(F.regexp_replace(cell, _CELL_MARKUP, "")))
+    return X.strip(X.unescape(F.regexp_replace(cell, _CELL_MARKUP, ""), cell))
 
 
 def cell_node_text(cell: Column) -> Column:
@@ -171,7 +174,7 @@ def cell_href(cell: Column) -> Column:
     value = F.regexp_extract(
         link, r"""\s(?i:href)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1
     )
-    return X.unescape(F.btrim(value, F.lit("\"'")))
+    return X.unescape(F.btrim(value, F.lit("\"'")), cell)
 
 
 def cell_class(cell: Column) -> Column:

@@ -222,3 +222,40 @@ def test_header_text_is_computed_once_a_row(spark, pages):
     for rows, want in ((None, None), ([], 0), (["<td>S.No</td>"] * 2, 2), (["<td>Title</td>", "<td>a</td>", "<td>Title</td>"], 1), (["<td>Title</td>"] * 9, 5)):
         got = spark.createDataFrame([(rows,)], "rows array<string>").select(L.header_rows(F.col("rows"))).head()[0]
         assert got == want
+
+
+def test_texts_of_rows_are_compiled(pages):
+    """The step of the row texts holds no lambda, so Spark compiles it; a lambda beside it would have it interpreted."""
+    plan = L.candidate_rows(pages(page(ROWS)))._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "Generate inline" in line and "row_text" in line]
+    assert steps and all("*(" in line for line in steps)
+
+
+def test_tables_of_very_many_tags(pages):
+    """Tables are read tag by tag up to their end, whatever their length, and all rows come out."""
+    body = HEADER + row("1.", "<b>p</b>" * 30_000, "c", "o", f"[{KIT} A][R1][I]", "A &amp; B<br>&lt;C") * 2
+    got = extract(pages(page(body) + "<table id=table></tr>", page(body).replace("</table>", "")), strict=False)
+    assert [(r["title"], r["organisation"]) for r in got] == [(f"{KIT} A", "A & B<C")] * 4
+
+
+def test_plain_reader_adds_no_breaks_and_agrees_with_the_parser(monkeypatch):
+    """Markup in upper case, nested tables, links and raw text: read without a look at any break between nodes."""
+    from noticeworks.operators import flatrows
+
+    html = page("<TR><TD>a<b>b</b>&amp;c<table><tr><td><a href='/x?a&amp;b'>d</a></td></tr></table>e</TD>f"
+                "<script>var x = '<td>';</script><td class=x>g</td></tr>")
+    slow = flatrows._TableReader("listing")
+    slow.feed(html)
+    slow.close()
+    monkeypatch.setattr(flatrows._TableReader, "_break_nodes", lambda self: 1 / 0)
+    fast = flatrows._TableReader("listing")
+    assert fast.read(html) and fast.rows() == slow.rows() and len(fast.rows()) == 2
+
+
+def test_pages_without_the_challenge_word_are_searched_once(pages):
+    forms = ["<img src='/captcha.png'>", "<IMG alt=CaPtcha>", "<div id=captchaImage>", "<img src='/CAPTCHA.png'>", "captcha", ""]
+    df = pages(*forms, None)
+    got = [r["is_challenge"] for r in L.page_flags(df).orderBy("page_id").collect()]
+    assert got == [True, True, True, False, False, False, None]
+    plan = L.without_challenges(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE (?i)captcha" in plan or "(?i)captcha)" in plan
