@@ -46,7 +46,8 @@ def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
         .agg(F.max_by(F.struct(*[F.col(c).alias(f"_d_{c}") for c in fields]), "ingest_ord").alias("_d"))
         .select("_url", "_d.*")
     )
-    joined = left.join(right, left["_key"] == right["_url"], "left")
+    # A hash join reads the listing rows as they come: sorted, those of a hot URL would all be held by one task.
+    joined = left.join(right.hint("shuffle_hash"), left["_key"] == right["_url"], "left")
     kept = [c for c in listing.columns if c not in fields]
     return joined.select(
         *kept,

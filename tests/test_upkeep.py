@@ -108,6 +108,18 @@ def test_merge_detail_never_multiplies_rows(spark):
         merge.merge_detail(listing, detail.drop("ingest_ord"))
 
 
+def test_merge_detail_does_not_hold_the_rows_of_a_hot_url(spark):
+    """The listing side of the join is not sorted, so no task holds all rows of a URL."""
+    listing = spark.range(2_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 5 != 0, F.concat(F.lit("u"), "id")).alias("url"), F.col("id").alias("title"))
+    detail = spark.createDataFrame([("hot", "a", 0), ("u1", "b", 0), ("u1", "c", 1)], "url string, location string, ingest_ord int")
+    out = merge.merge_detail(listing, detail)
+    assert {(r["location"], r["n"]) for r in out.groupBy("location").agg(F.count("*").alias("n")).collect()} == {
+        ("a", 1000), ("c", 1), (None, 999)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_merge_detail_splits_a_hot_url(spark):
     """Half of all rows share one URL: the join splits that partition instead of one task taking it."""
     listing = spark.range(40_000).select(
