@@ -89,7 +89,11 @@ def _profile(docs: DataFrame, *keep: Column) -> DataFrame:
 
 def references(docs: DataFrame, guard_words: int = GUARD_WORDS) -> DataFrame:
     """Mean histograms per language over all documents that are long enough: ref_lang, two arrays."""
-    shares = _profile(docs, F.col("lang")).where(F.col("n_words") >= guard_words)
+    return _means(_profile(docs, F.col("lang")), guard_words)
+
+
+def _means(profile: DataFrame, guard_words: int) -> DataFrame:
+    shares = profile.where(F.col("n_words") >= guard_words)
     sizes = {"class_shares": len(CLASSES) + 2, "word_shares": len(BINS) + 1}
     means = [F.avg(F.col(c)[i]).alias(f"{c}_{i}") for c, n in sizes.items() for i in range(n)]
     table = shares.groupBy("lang").agg(*means)
@@ -150,8 +154,11 @@ def measures(docs: DataFrame, *keep: Column) -> DataFrame:
 
 def judged(docs: DataFrame, refs: DataFrame, *keep: Column, guard_words: int = GUARD_WORDS) -> DataFrame:
     """Every document with measures, distances, base_failed and kept."""
-    m = measures(docs, *keep)
     names = [docs.select(k).columns[0] for k in keep]
+    return _judged(measures(docs, *keep), refs, names, guard_words)
+
+
+def _judged(m: DataFrame, refs: DataFrame, names: list[str], guard_words: int) -> DataFrame:
     both = m.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     long_enough = (F.col("n_words") >= guard_words) & F.col("ref_class_shares").isNotNull()
     measured = both.select(
@@ -170,7 +177,9 @@ def judged(docs: DataFrame, refs: DataFrame, *keep: Column, guard_words: int = G
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, measures, distances, base_failed and kept."""
     own = columns(docs, "doc_id", "lang", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    return judged(own, stored(references(own), "language_references"), F.col("doc_id"))
+    # The histograms serve twice, for the references and against them: texts are measured once.
+    measured = stored(measures(own, F.col("doc_id")), "measures")
+    return _judged(measured, stored(_means(measured, GUARD_WORDS), "language_references"), ["doc_id"], GUARD_WORDS)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

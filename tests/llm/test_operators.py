@@ -5,6 +5,7 @@ import math
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
@@ -197,6 +198,19 @@ def test_quality_measures(odd, empty):
     assert divergence.keep_good(odd).columns == odd.columns
 
 
+def test_quality_rules_measure_every_text_once(spark, odd, monkeypatch):
+    """The references come from the stored measures; the rows are those of references made apart."""
+    profile, calls = divergence._profile, []
+    monkeypatch.setattr(divergence, "_profile", lambda *a: calls.append(a) or profile(*a))
+    got = divergence.quality_rules(odd)
+    assert len(calls) == 1
+    own = odd.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    want = divergence.judged(own, divergence.references(own), F.col("doc_id"))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.drop("class_distance", "word_distance").collect())) == sorted(
+        map(repr, want.drop("class_distance", "word_distance").collect()))
+
+
 # 6
 def test_top_k_odd(spark):
     data = [(i, [((i * 7 + d * 3) % 11) / 10 - 0.5 for d in range(5)]) for i in range(0, 60)]
