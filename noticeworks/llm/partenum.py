@@ -32,6 +32,7 @@ from noticeworks.llm.common import columns, numbered, place_of, stored
 WORDS = 5                  # words of a shingle; the bound below is for a similarity of 3/4
 BUCKET = 2_000_000         # signatures that meet in one task, about
 CHUNK = 2048               # sets of a group that are held against each other at once
+STRIP = 500_000            # pairs that are looked at, or written, at once
 SAMPLE, OFTEN = 20_000, 8  # a shingle in this many of about so many sampled documents is frequent
 NEAREST = 3                # partners of a set, or of a set in another component, in rounds 1 and 2
 CACHED_WORDS = 500_000
@@ -269,25 +270,37 @@ def _candidates(groups: DataFrame, classes: DataFrame, labels: DataFrame | None,
         import pyarrow as pa
 
         for batch in batches:
-            left, right = [], []
+            found, held = [], 0
             column = batch.column("block")
             offsets, flat = column.offsets.to_numpy(), column.values
             cls, n, label = (flat.field(f).to_numpy() for f in ("cls", "n", "label"))
             sketches = flat.field("sketch")
             for a, b in zip(offsets[:-1], offsets[1:]):
-                got = _near(cls[a:b], n[a:b], label[a:b], sketches[int(a):int(b)], nearest)
-                if got is not None:
-                    left.append(got[0])
-                    right.append(got[1])
-            if left:
-                x, y = np.concatenate(left), np.concatenate(right)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+                for pair in _near(cls[a:b], n[a:b], label[a:b], sketches[int(a):int(b)], nearest):
+                    found.append(pair)
+                    held += len(pair[0])
+                    if held >= STRIP:
+                        yield table(found)
+                        found, held = [], 0
+            if found:
+                yield table(found)
+
+    def table(found):
+        import numpy as np
+        import pyarrow as pa
+
+        x, y = (np.concatenate(side) for side in zip(*found))
+        return pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
     return blocks.mapInArrow(task, "a long, b long").distinct()
 
 
 def _near(cls, n, label, sketches, nearest):
-    """Pairs of a block in different components that sizes and sketches allow, nearest first."""
+    """Pairs of a block in different components that sizes and sketches allow, a strip of sets at a time.
+
+    The memory is that of a strip, however many pairs the block has: where a block takes several
+    strips, each set of a strip meets all others of the block, so that its nearest are known at once.
+    """
     import numpy as np
 
     widths = np.array([len(s.as_py()) for s in sketches])
@@ -296,27 +309,32 @@ def _near(cls, n, label, sketches, nearest):
     for i, s in enumerate(sketches):
         bits = np.frombuffer(s.as_py(), np.uint64).reshape(-1, least // 8)
         words[i] = np.bitwise_xor.reduce(bits, axis=0)  # folded to the smallest: parities stay parities
-    out = []
-    for i in range(len(cls) - 1):
-        far = np.bitwise_count(words[i + 1:] ^ words[i]).sum(axis=1, dtype=np.int64)
-        m, k = n[i], n[i + 1:]
-        ok = (7 * far <= m + k) & (label[i + 1:] != label[i]) & (4 * np.minimum(m, k) >= 3 * np.maximum(m, k))
-        j = np.flatnonzero(ok)
-        if len(j):
-            out.append((np.full(len(j), i), j + i + 1, far[j]))
-    if not out:
-        return None
-    i, j, far = (np.concatenate(x) for x in zip(*out))
-    if nearest is not None and len(i) > nearest:
-        # Both directions: the nearest partners of each set in each other component.
-        x, y = np.r_[i, j], np.r_[j, i]
-        goal = label[y] if nearest and len(np.unique(label)) < len(label) else np.zeros(len(y), np.int64)
-        order = np.lexsort((cls[y], np.r_[far, far], goal, x))
-        x, y, goal = x[order], y[order], goal[order]
-        start = np.r_[0, np.flatnonzero((x[1:] != x[:-1]) | (goal[1:] != goal[:-1])) + 1]
-        rank = np.arange(len(x)) - np.repeat(start, np.diff(np.r_[start, len(x)]))
-        i, j = x[rank < nearest], y[rank < nearest]
-    return cls[i], cls[j]
+    step = max(1, STRIP // len(cls))
+    whole = nearest is not None and step < len(cls)
+    goals = label if nearest and len(np.unique(label)) < len(label) else np.zeros(len(cls), np.int64)
+    for first in range(0, len(cls), step):
+        out = []
+        for i in range(first, min(first + step, len(cls))):
+            k = 0 if whole else i + 1
+            far = np.bitwise_count(words[k:] ^ words[i]).sum(axis=1, dtype=np.int64)
+            ok = (7 * far <= n[i] + n[k:]) & (label[k:] != label[i]) & (
+                4 * np.minimum(n[i], n[k:]) >= 3 * np.maximum(n[i], n[k:]))
+            j = np.flatnonzero(ok)
+            if len(j):
+                out.append((np.full(len(j), i), j + k, far[j]))
+        if not out:
+            continue
+        x, y, far = (np.concatenate(part) for part in zip(*out))
+        if nearest is not None and len(x) > nearest:
+            if not whole:  # both directions
+                x, y, far = np.r_[x, y], np.r_[y, x], np.r_[far, far]
+            # The nearest partners of each set in each other component.
+            order = np.lexsort((cls[y], far, goals[y], x))
+            x, y = x[order], y[order]
+            start = np.r_[0, np.flatnonzero((x[1:] != x[:-1]) | (goals[y[1:]] != goals[y[:-1]])) + 1]
+            rank = np.arange(len(x)) - np.repeat(start, np.diff(np.r_[start, len(x)]))
+            x, y = x[rank < nearest], y[rank < nearest]
+        yield cls[x], cls[y]
 
 
 def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -275,6 +275,45 @@ def test_similar_sets_share_a_signature():
                 assert np.intersect1d(partenum.signatures(x, frequent), partenum.signatures(y, frequent)).size
 
 
+def near_copies(size, components):
+    """A block of near copies as the join deals it: cls, n, label and sketches."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    base, sets = rng.integers(0, 1 << 63, 200, dtype=np.uint64), []
+    for _ in range(size):
+        copy = base.copy()
+        copy[rng.choice(200, 10, replace=False)] = rng.integers(0, 1 << 63, 10, dtype=np.uint64)
+        sets.append(np.unique(copy))
+    cls = rng.permutation(7 * size)[:size].astype(np.int64)
+    label = cls[rng.integers(0, components, size)] if components else cls
+    return cls, np.array([len(x) for x in sets], np.int32), label, pa.array([partenum.sketch(x) for x in sets], pa.binary())
+
+
+def test_a_block_of_near_copies_takes_the_memory_of_a_strip():
+    import tracemalloc
+
+    block = near_copies(2000, None)
+    tracemalloc.start()
+    found = sum(len(x) for x, _ in partenum._near(*block, partenum.NEAREST))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == partenum.NEAREST * 2000 and peak < 80e6
+
+
+@pytest.mark.parametrize("components", [None, 4])
+@pytest.mark.parametrize("nearest", [partenum.NEAREST, None])
+def test_strips_find_the_pairs_of_the_whole_block(monkeypatch, components, nearest):
+    def pairs():
+        return {(min(p), max(p)) for x, y in partenum._near(*block, nearest) for p in zip(x.tolist(), y.tolist())}
+
+    block = near_copies(150, components)
+    whole = pairs()
+    monkeypatch.setattr(partenum, "STRIP", 700)
+    assert whole and pairs() == whole
+
+
 # 8
 def test_packing(documents, texts):
     from tokenizers import Tokenizer
