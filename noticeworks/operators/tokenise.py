@@ -149,14 +149,15 @@ def row_cells(row: Column) -> Column:
 
 def with_next(cells_of_row: Column) -> Column:
     """Pairs (c, n) of every cell and the one after it."""
-    after = F.concat(
-        _rest(cells_of_row),
-        F.array(F.lit(None).cast("string")),
-    )
-    paired = F.arrays_zip(cells_of_row.alias("c"), after.alias("n"))
+    paired = F.arrays_zip(cells_of_row.alias("c"), _after(cells_of_row).alias("n"))
     return F.when(F.size(cells_of_row) > 0, paired)
 
 
+def _after(values: Column) -> Column:
+    """What follows each value of an array, null after the last."""
+    return F.concat(_rest(values), F.array(F.lit(None).cast("string")))
+
+
 def cell_text(cell: Column) -> Column:
     """Text of a cell, concatenated, then stripped (listing pages)."""
     return X.strip(X.unescape(F.regexp_replace(cell, _CELL_MARKUP, ""), cell))
@@ -164,8 +165,16 @@ def cell_text(cell: Column) -> Column:
 
 def cell_node_text(cell: Column) -> Column:
     """Text of a cell with every text node stripped on its own (detail pages)."""
-    nodes = F.split(F.regexp_replace(cell, _CELL_EDGES, ""), TAG)
-    return F.array_join(F.transform(nodes, lambda n: X.strip(X.unescape(n))), "")
+    return _joined_nodes(_inside(cell))
+
+
+def _inside(cell: Column) -> Column:
+    """What a cell holds between its own tags."""
+    return F.regexp_replace(cell, _CELL_EDGES, "")
+
+
+def _joined_nodes(inside: Column) -> Column:
+    return F.array_join(F.transform(F.split(inside, TAG), lambda n: X.strip(X.unescape(n))), "")
 
 
 def cell_href(cell: Column) -> Column:
@@ -197,15 +206,21 @@ def cells(pages: DataFrame, kind: str = "listing", strict: bool = True) -> DataF
         *keys, F.posexplode_outer("rows").alias("row_ord", "_row")
     )
     split = rows.select(*keys, "row_ord", row_cells(F.col("_row")).alias("_cells"))
-    flat = split.select(
-        *keys, "row_ord", F.posexplode_outer(with_next(F.col("_cells"))).alias("cell_ord", "_pair")
+    inner = split.select("*", F.transform("_cells", _inside).alias("_inside"))
+    # Once per cell, for itself and for the cell before it. Most cells hold one text node and no tag.
+    texts = inner.select("*", F.transform("_inside", lambda i: F.when(
+        F.contains(i, F.lit("<")), _joined_nodes(i)).otherwise(X.strip(X.unescape(i)))).alias("_nodes"))
+    parts = F.arrays_zip(
+        F.col("_cells").alias("c"), F.col("_inside").alias("i"), F.col("_nodes").alias("t"), _after(F.col("_nodes")).alias("n"))
+    flat = texts.select(
+        *keys, "row_ord", F.posexplode_outer(F.when(F.size("_cells") > 0, parts)).alias("cell_ord", "_part")
     )
-    c = F.col("_pair.c")
+    c = F.col("_part.c")
     return flat.where(c.isNotNull()).select(
         *keys, "row_ord", "cell_ord",
         cell_class(c).alias("cls"),
-        cell_text(c).alias("text"),
-        cell_node_text(c).alias("node_text"),
+        F.when(F.contains("_part.i", F.lit("<")), cell_text(c)).otherwise(F.col("_part.t")).alias("text"),
+        F.col("_part.t").alias("node_text"),
         F.nullif(cell_href(c), F.lit("")).alias("href"),
-        X.clean(cell_node_text(F.col("_pair.n"))).alias("next_text"),
+        X.clean(F.col("_part.n")).alias("next_text"),
     )

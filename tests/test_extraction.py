@@ -183,6 +183,23 @@ def test_the_code_of_typed_rows_is_short_enough_to_be_compiled(spark, pages):
     assert sizes[-1] < 8000  # fields, validity and dates of a row
 
 
+def test_header_prefix_stops_at_the_first_other_row(spark):
+    head, other = "<td>Title</td>", "<td>road</td>"
+    given = [[], [other], [head], [head, head, other, head], [head] * 7, [other, head], None, [head, None, other]]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, rows array<string>")
+    assert [r[0] for r in df.orderBy("i").select(L.header_rows(F.col("rows"))).collect()] == [0, 0, 1, 2, 5, 0, None, 2]
+
+
+def test_the_inside_of_a_cell_is_found_once(pages):
+    plan = T.cells(pages(page(ROWS)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(T._CELL_EDGES) == 1
+    body = row("a &lt; b", "x <b> y </b> &amp;", "a < b", "", "<br>", " - ")
+    got = T.cells(pages(page(body)), strict=False).orderBy("cell_ord").collect()
+    assert [(r["text"], r["node_text"], r["next_text"]) for r in got] == [
+        ("a < b", "a < b", "xy&"), ("x  y  &", "xy&", "a < b"), ("a < b", "a < b", None),
+        ("", "", None), ("", "", None), ("-", "-", None)]
+
+
 def test_real_pages_have_no_tables(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert T.with_rows(df, "listing", strict=False).where(F.size("rows") > 0).count() == 0
