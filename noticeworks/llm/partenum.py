@@ -15,7 +15,9 @@ candidates; which shingles count as frequent never changes a result.
 Sets that share a signature are held against each other in blocks by parity sketches, whose
 distance never exceeds that of the sets, and what passes is verified on the sets. The first
 round takes the nearest partners of every set, the second those in other components, the third
-all pairs in different components that are left. Pairs inside a component need no check.
+all pairs in different components that are left. Pairs inside a component need no check, and a
+group whose pairs a round wrote whole does not come back in the next. Every table is written by a
+job of its own whose shuffles go with it, so that one step's files at a time are on the disks.
 
 Defined results: null, empty and blank texts have size 0 and are linked with nothing, each its
 own component; ties of ids do not matter, equal sets are one class; repeated rows share their
@@ -27,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import columns, numbered, place_of, stored
+from noticeworks.llm.common import columns, numbered, place_of, stored_alone
 
 WORDS = 5                  # words of a shingle; the bound below is for a similarity of 3/4
 BUCKET = 2_000_000         # signatures that meet in one task, about
@@ -144,7 +146,7 @@ def _frequent(docs: DataFrame, rows: int):
                 yield pa.RecordBatch.from_pydict({"shingle": pa.array(np.concatenate(sets).view(np.int64))})
 
     counts = sample.mapInArrow(task, "shingle long").groupBy("shingle").count().where(F.col("count") >= OFTEN)
-    found = counts.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)
+    found = stored_alone(counts.select("shingle"), "frequent").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)
     return np.sort(found)
 
 
@@ -246,7 +248,10 @@ def _groups(packed: DataFrame) -> DataFrame:
 
 
 def _candidates(groups: DataFrame, classes: DataFrame, labels: DataFrame | None, nearest: int | None) -> DataFrame:
-    """Pairs of classes a < b in different components whose sketches allow a link."""
+    """Pairs of classes a < b in different components whose sketches allow a link.
+
+    Rows without a pair name the groups of which ``nearest`` left pairs out.
+    """
     members = groups.select(
         "gid", F.explode("members").alias("cls"), F.ceil(F.size("members") / CHUNK).cast("int").alias("chunks"))
     if labels is None:
@@ -263,20 +268,20 @@ def _candidates(groups: DataFrame, classes: DataFrame, labels: DataFrame | None,
         "*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
         "gid", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
         F.struct("cls", "n", "label", "sketch").alias("member"))
-    blocks = dealt.groupBy("gid", "i", "j").agg(F.collect_list("member").alias("block")).select("block")
+    blocks = dealt.groupBy("gid", "i", "j").agg(F.collect_list("member").alias("block")).select("gid", "block")
 
     def task(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            found, held = [], 0
-            column = batch.column("block")
+            found, held, cut = [], 0, []
+            gids, column = batch.column("gid"), batch.column("block")
             offsets, flat = column.offsets.to_numpy(), column.values
             cls, n, label = (flat.field(f).to_numpy() for f in ("cls", "n", "label"))
             sketches = flat.field("sketch")
-            for a, b in zip(offsets[:-1], offsets[1:]):
-                for pair in _near(cls[a:b], n[a:b], label[a:b], sketches[int(a):int(b)], nearest):
+            for gid, a, b in zip(gids, offsets[:-1], offsets[1:]):
+                for pair in _near(cls[a:b], n[a:b], label[a:b], sketches[int(a):int(b)], nearest, lambda: cut.append(gid)):
                     found.append(pair)
                     held += len(pair[0])
                     if held >= STRIP:
@@ -284,22 +289,27 @@ def _candidates(groups: DataFrame, classes: DataFrame, labels: DataFrame | None,
                         found, held = [], 0
             if found:
                 yield table(found)
+            if cut:
+                none = pa.nulls(len(cut), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array([g.as_py() for g in cut], pa.int64())], ["a", "b", "gid"])
 
     def table(found):
         import numpy as np
         import pyarrow as pa
 
         x, y = (np.concatenate(side) for side in zip(*found))
-        return pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.nulls(len(x), pa.int64())], ["a", "b", "gid"])
 
-    return blocks.mapInArrow(task, "a long, b long").distinct()
+    return blocks.mapInArrow(task, "a long, b long, gid long").distinct()
 
 
-def _near(cls, n, label, sketches, nearest):
+def _near(cls, n, label, sketches, nearest, on_cut=lambda: None):
     """Pairs of a block in different components that sizes and sketches allow, a strip of sets at a time.
 
     The memory is that of a strip, however many pairs the block has: where a block takes several
     strips, each set of a strip meets all others of the block, so that its nearest are known at once.
+    ``on_cut`` is called for a strip of which pairs beyond the nearest are left out.
     """
     import numpy as np
 
@@ -333,6 +343,8 @@ def _near(cls, n, label, sketches, nearest):
             x, y = x[order], y[order]
             start = np.r_[0, np.flatnonzero((x[1:] != x[:-1]) | (goals[y[1:]] != goals[y[:-1]])) + 1]
             rank = np.arange(len(x)) - np.repeat(start, np.diff(np.r_[start, len(x)]))
+            if (rank >= nearest).any():
+                on_cut()
             x, y = x[rank < nearest], y[rank < nearest]
         yield cls[x], cls[y]
 
@@ -341,7 +353,9 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
     """cls and set of the wanted classes, from one document of each."""
     chosen = members.where("n > 0").join(wanted, "cls", "left_semi").groupBy("cls").agg(
         F.min(F.struct("doc_id", "tie")).alias("key"))
-    keys = chosen.select(F.col("key.doc_id").alias("key_id"), F.col("key.tie").alias("key_tie")).distinct()
+    # Written first, so that few keys are known to be few and no text is moved for them.
+    keys = stored_alone(
+        chosen.select(F.col("key.doc_id").alias("key_id"), F.col("key.tie").alias("key_tie")).distinct(), "keys")
     texts = docs.withColumn("tie", F.xxhash64("text")).join(
         keys, F.col("doc_id").eqNullSafe(F.col("key_id")) & (F.col("tie") == F.col("key_tie"))).select("text")
 
@@ -381,7 +395,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """cls and label (the smallest cls reachable) of all linked classes, by alternating stars."""
-    edges = stored(links.where("a <> b").distinct(), "links")
+    edges = stored_alone(links.where("a <> b").distinct(), "links")
     seen = None
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
@@ -392,7 +406,7 @@ def components(links: DataFrame) -> DataFrame:
         small = down.join(least, "u").select(F.explode(F.array(
             F.struct(F.greatest("v", "m").alias("a"), F.col("m").alias("b")),
             F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = stored(small.where("a <> b").distinct(), "stars")
+        edges = stored_alone(small.where("a <> b").distinct(), "stars")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
@@ -401,40 +415,34 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("cls"), F.col("b").alias("label"))).distinct()
 
 
-def _release(df: DataFrame) -> None:
-    """Let Spark remove the shuffle files of frames that nothing refers to any more."""
-    import gc
-
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def classes_of(docs: DataFrame) -> DataFrame:
     """doc_id, tie, n_shingles and label of every document; ``docs`` has doc_id and text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows, size = docs.agg(F.count("*"), F.sum(F.length("text"))).first()
     buckets = max(12, (size or 0) // 18 // BUCKET)  # about one signature for 18 characters
-    first = stored(_first_pass(docs, _frequent(docs, rows), buckets), "shingled")
+    first = stored_alone(_first_pass(docs, _frequent(docs, rows), buckets), "shingled")
     members = first.where("cls IS NOT NULL").select("doc_id", "tie", "n", "cls")
     sketches = first.where("sketch IS NOT NULL").groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     packed = first.where("bucket IS NOT NULL").select("bucket", "signatures", "owners", "sizes", "counts")
-    groups = stored(_groups(packed), "groups")
-    _release(docs)
+    groups = stored_alone(_groups(packed), "groups")
     labels = None
     for nearest in (NEAREST, NEAREST, None):
-        pairs = stored(_candidates(groups, sketches, labels, nearest), "pairs")
+        met = stored_alone(_candidates(groups, sketches, labels, nearest), "pairs")
+        pairs, cut = met.where("a IS NOT NULL").select("a", "b"), met.where("a IS NULL").select("gid")
         wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        found = _verified(pairs, stored(_sets(docs, members, wanted), "sets"))
+        found = _verified(pairs, stored_alone(_sets(docs, members, wanted), "sets"))
         known = found if labels is None else found.union(labels.select(F.col("cls"), F.col("label")))
-        labels = stored(components(known), "labels")
-        _release(docs)
+        labels = stored_alone(components(known), "labels")
+        if cut.isEmpty():
+            break
+        groups = groups.join(cut, "gid", "left_semi")
     return members.join(labels, "cls", "left").select(
         "doc_id", "tie", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "cls")).alias("label"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    found = stored(classes_of(columns(docs, "doc_id", "text")), "near")
+    found = stored_alone(classes_of(columns(docs, "doc_id", "text")), "near")
     ids = found.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     both = found.join(ids, "label", "left")
     return both.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
@@ -442,7 +450,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id."""
-    found = stored(classes_of(columns(docs, "doc_id", "text")), "near")
+    found = stored_alone(classes_of(columns(docs, "doc_id", "text")), "near")
     one = found.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "tie")).alias("key"))
     times = found.groupBy("doc_id", "tie").count()
     chosen = one.select(F.col("key.doc_id").alias("key_id"), F.col("key.tie").alias("key_tie"))
@@ -451,7 +459,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     plain = numbered(docs)
     text = F.coalesce(place_of(docs, "text"), F.lit(""))
     tied = plain.withColumn("tie_of_row", F.xxhash64(text))
-    kept = tied.join(stored(keys, "kept"), place_of(docs, "doc_id").eqNullSafe(F.col("key_id")) & (
+    kept = tied.join(stored_alone(keys, "kept"), place_of(docs, "doc_id").eqNullSafe(F.col("key_id")) & (
         F.col("tie_of_row") == F.col("key_tie")))
     single = kept.where("count = 1").select(*plain.columns)
     several = kept.where("count > 1").dropDuplicates(["key_id", "key_tie"]).select(*plain.columns)

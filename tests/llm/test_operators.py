@@ -314,6 +314,55 @@ def test_strips_find_the_pairs_of_the_whole_block(monkeypatch, components, neare
     assert whole and pairs() == whole
 
 
+def near_texts(copies, each):
+    """Texts of 120 words in families; the copies of a family differ in two words."""
+    return {
+        100 * f + c + 1: " ".join(f"w{f}x{i}" if i not in (10, 60 + 3 * c) else f"z{f}x{c}x{i}" for i in range(120))
+        for f in range(copies) for c in range(each)}
+
+
+@pytest.mark.parametrize(("each", "times"), [(2, 1), (9, 2)])
+def test_groups_whose_pairs_were_written_whole_do_not_come_back(spark, monkeypatch, each, times):
+    rounds, candidates = [], partenum._candidates
+    monkeypatch.setattr(partenum, "_candidates", lambda *given: rounds.append(1) or candidates(*given))
+    texts = near_texts(4, each)
+    found = rows(partenum.jaccard_components(spark.createDataFrame([row(*t) for t in texts.items()], DOCS)))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain_components(texts)
+    assert len(rounds) == times
+
+
+def test_pairs_beyond_the_nearest_are_reported():
+    block, cut = near_copies(150, None), []
+    list(partenum._near(*block, partenum.NEAREST, lambda: cut.append(1)))
+    assert cut
+    for nearest in (150, None):
+        cut.clear()
+        assert sum(len(x) for x, _ in partenum._near(*block, nearest, lambda: cut.append(1))) >= 150 * 149 // 2 and not cut
+
+
+def test_written_tables_leave_no_shuffle_files(spark, documents, monkeypatch):
+    import os
+    import time
+
+    folders = [str(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    left, write = [], partenum.stored_alone
+
+    def files():
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    def watched(df, name):
+        before, end = files(), time.time() + 10
+        out = write(df, name)
+        while files() - before and time.time() < end:  # Spark removes them in the background
+            time.sleep(0.1)
+        left.append((name, files() - before))
+        return out
+
+    monkeypatch.setattr(partenum, "stored_alone", watched)
+    partenum.jaccard_components(documents)
+    assert {"shingled", "groups", "pairs", "sets", "links", "near"} <= {n for n, _ in left} and not any(f for _, f in left)
+
+
 # 8
 def test_packing(documents, texts):
     from tokenizers import Tokenizer
