@@ -105,10 +105,11 @@ def quarantine(spark: SparkSession, snapshots: SnapshotStore, run_id: str) -> Da
 
 def embed_pending(table: NoticeTable, limit: int | None = None, embed=vectors.hash_vectors, batch=None) -> None:
     """Vectors for the pending notices (up to ``limit``, if given), written back to the table."""
-    chosen = vectors.pending(
-        table.pending().withColumn("id", F.struct(*M.NOTICE_KEY)), limit
-    ).withColumn("text", C.notice_text())
-    table.set_embeddings(embed(chosen), batch)
+    def choose(notices):
+        chosen = vectors.pending(notices.withColumn("id", F.struct(*M.NOTICE_KEY)), limit)
+        return chosen.withColumn("text", C.notice_text())
+
+    table.embed_pending(choose, embed, batch)
 
 
 def listing_run(

@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import random
 
 import pytest
@@ -338,6 +339,55 @@ def test_all_pending_notices_get_vectors_without_a_limit(spark, table):
     assert a != b
 
 
+def test_vectors_are_written_once_and_never_staged(spark, table, monkeypatch):
+    """Of the vectors of a run no copy is written but that of the table, one file for each bucket; another writer's are kept."""
+    from pyspark.sql import DataFrameWriter
+
+    staged, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (staged.append(self._df.columns), parquet(self, *a, **b))[1])
+    files = lambda: {b: len(list(pathlib.Path(table.path, p["folder"], f"bucket={b}").glob("part-*"))) for b, p in table._load()["vectors"].items()}
+    rows = [(f"k{i:03}", "e", f"pump {i}", "u", None, None) for i in range(300)] + [("blank", "e", "", "", None, None)]
+    table.upsert(notice(spark, rows[:200]), AT)
+    split = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(split)
+    spark.conf.set(split, "2k")  # the files of the notices are read in pieces
+    try:
+        runs.embed_pending(table, embed=lambda df: vectors.hash_vectors(df, dim=8), batch="first")
+    finally:
+        spark.conf.set(split, was)
+    assert table.batch_rows("first") == 200 and set(files().values()) == {1}
+    table.upsert(notice(spark, rows), AT)
+    other, save = NoticeTable(spark, table.path), table._save
+
+    def late(state, version):
+        if not other._holds(other._load(), "theirs"):
+            other.set_embeddings(spark.createDataFrame([("k250", "e", [9.0])], M.VECTOR_SCHEMA), "theirs")
+        return save(state, version)
+
+    monkeypatch.setattr(table, "_save", late)
+    runs.embed_pending(table, embed=lambda df: vectors.hash_vectors(df, dim=8), batch="second")
+    got = {k[0]: r["embedding"] for k, r in state(table).items()}
+    assert got.pop("k250") == [9.0] and got.pop("blank") is None and {len(v) for v in got.values()} == {8} and len(got) == 299
+    assert table.batch_rows("second") == 99 and set(files().values()) == {1}
+    # Nothing is left to do: no version, and no folder without one.
+    before = table._versions()
+    runs.embed_pending(table, embed=lambda df: vectors.hash_vectors(df, dim=8), batch="third")
+    used = {p["folder"] for v in before for kind in table.schemas for p in table._at(v)[kind].values()}
+    assert table._versions() == before and {f"data/{p.name}" for p in pathlib.Path(table.path, "data").iterdir()} == used
+    assert [c for c in staged if "embedding" in c] == [["ref_no", "source", "embedding"]]  # the other writer's one
+
+
+def test_a_table_keeps_the_format_it_was_made_with(spark, table):
+    rows = notice(spark, [("a", "e", "pump", "u", None, None)])
+    made = spark.createDataFrame([("a", "e", [1.0])], M.VECTOR_SCHEMA)
+    table.formats = {}  # as it was before vectors had one
+    table.upsert(rows, AT)
+    table.set_embeddings(made)
+    again = NoticeTable(spark, table.path)
+    again.set_embeddings(spark.createDataFrame([("a", "e", [2.0])], M.VECTOR_SCHEMA))
+    assert again.formats == {} and [r["embedding"] for r in state(again).values()] == [[2.0]]
+
+
 def test_write_back(spark):
     t = spark.createDataFrame([(1, [1.0]), (2, None), (3, None)], "id int, embedding array<float>")
     v = spark.createDataFrame([(1, None), (2, [2.0]), (9, [9.0])], "id int, embedding array<float>")
