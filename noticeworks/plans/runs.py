@@ -109,7 +109,7 @@ def embed_pending(table: NoticeTable, limit: int | None = None, embed=vectors.ha
         chosen = vectors.pending(notices.withColumn("id", F.struct(*M.NOTICE_KEY)), limit)
         return chosen.withColumn("text", C.notice_text())
 
-    table.embed_pending(choose, embed, batch)
+    table.embed_pending(choose, embed, batch, narrow=embed is vectors.hash_vectors)
 
 
 def listing_run(

@@ -128,11 +128,17 @@ class BucketedTable:
         table = self.spark.table(name)
         return (table if wanted is None else table.where(F.col("bucket").isin(wanted))).drop("bucket")
 
-    def _write(self, rows: DataFrame, kind: str) -> dict:
-        """Write rows to a new folder, one sorted file for each bucket; what the pointer keeps of them."""
+    def _write(self, rows: DataFrame, kind: str, in_order: bool = False) -> dict:
+        """Write rows to a new folder, one sorted file for each bucket; what the pointer keeps of them.
+
+        ``in_order``: each task has the rows of one bucket, sorted by key. They are then written as they come.
+        """
         folder, name = f"data/{uuid.uuid4().hex}", f"draft_{uuid.uuid4().hex}"
-        rows.withColumn("bucket", self._bucket()).write.partitionBy("bucket").bucketBy(self.buckets, *self.key).sortBy(
-            *self.key).format(self._format(kind)).option("path", f"{self.path}/{folder}").saveAsTable(name)
+        writer = rows.withColumn("bucket", self._bucket()).write.partitionBy("bucket").bucketBy(self.buckets, *self.key)
+        # Without concurrent writers Spark would sort them by bucket and lose the order of the keys.
+        if not in_order or int(self.spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) < 1:
+            writer = writer.sortBy(*self.key)
+        writer.format(self._format(kind)).option("path", f"{self.path}/{folder}").saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")  # the files stay
         written = self.spark.read.format(self._format(kind)).schema(f"{self.schemas[kind]}, bucket INT").load(f"{self.path}/{folder}")
         stats = written.groupBy("bucket").agg(*self._stats(kind)).collect()  # <= buckets
@@ -334,11 +340,12 @@ class NoticeTable(BucketedTable):
 
         self._staged(new, "vectors", change, batch)
 
-    def embed_pending(self, choose, embed, batch: str | None = None) -> None:
+    def embed_pending(self, choose, embed, batch: str | None = None, narrow: bool = False) -> None:
         """Vectors that ``embed`` makes for the pending notices that ``choose`` picks, written back in one pass.
 
         The notices are dealt out to their buckets before they get their vectors, so that no vector is
-        staged or moved. All of it is computed from one pinned version; if another writer took the next
+        staged or moved. ``narrow`` states that ``embed`` leaves every row in its task and place: then the
+        notices are sorted before, too, instead of the vectors after. All of it is computed from one pinned version; if another writer took the next
         version in the meantime, the notices are chosen anew. Null vectors change nothing.
         """
         while (state := self._load()) and not self._holds(state, batch):
@@ -350,9 +357,11 @@ class NoticeTable(BucketedTable):
             if not stored:
                 # By the bucket itself: a deal by key gives way to that of the stored notices, whose scan may then be split.
                 chosen = chosen.repartitionById(self.buckets, self._bucket())
+                chosen = chosen.sortWithinPartitions(*self.key) if narrow else chosen
             made = embed(chosen).where(F.col("embedding").isNotNull()).select(*M.NOTICE_KEY, "embedding")
             parts = self._write(
-                merge.newer(self._scan(state, "vectors", wanted), made, M.NOTICE_KEY) if stored else made, "vectors")
+                merge.newer(self._scan(state, "vectors", wanted), made, M.NOTICE_KEY) if stored else made, "vectors",
+                in_order=narrow and not stored)
             # A pending notice has no vector in that version, so each new row is one of this batch.
             rows = sum(p["rows"] for p in parts.values()) - sum(stored)
             if not rows:

@@ -377,6 +377,44 @@ def test_vectors_are_written_once_and_never_staged(spark, table, monkeypatch):
     assert [c for c in staged if "embedding" in c] == [["ref_no", "source", "embedding"]]  # the other writer's one
 
 
+def test_vectors_of_new_buckets_are_not_sorted(spark, table, monkeypatch):
+    """The notices are, before they get their vectors; the files are in the order of their keys all the same."""
+    import pyarrow.orc as orc
+    from pyspark.sql import DataFrameWriter
+
+    sort, sorted_rows = DataFrameWriter.sortBy, []
+    monkeypatch.setattr(DataFrameWriter, "sortBy", lambda self, *a: (sorted_rows.append(self._df.columns), sort(self, *a))[1])
+
+    def check(path, n):
+        files = list(pathlib.Path(path, "data").glob("*/bucket=*/part-*.orc"))
+        keys = [orc.read_table(f, columns=["ref_no", "source"]).to_pylist() for f in files]
+        assert sum(map(len, keys)) == n and len({f.parent for f in files}) == len(files) == 4
+        for k in ([(r["ref_no"], r["source"]) for r in rows] for rows in keys):
+            assert len(k) > 9 and k == sorted(k)
+
+    rows = notice(spark, [(f"k{i * 7919 % 1000}", s, f"pump {i}", "u", None, None) for i in range(200) for s in ("b", "a")]).repartition(5)
+    table.upsert(rows, AT)
+    runs.embed_pending(table)
+    assert not [c for c in sorted_rows if "embedding" in c]
+    check(table.path, 400)
+    assert {len(r["embedding"]) for r in state(table).values()} == {M.EMBED_DIM}
+    # Where Spark would sort by bucket alone, and for a function that may move rows, the key is named.
+    for name, conf, embed in (("one", "0", vectors.hash_vectors), ("moved", "16", lambda df: vectors.hash_vectors(df.repartition(3)))):
+        again = NoticeTable(spark, f"{table.path}-{name}", buckets=4)
+        again.upsert(rows, AT)
+        was = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", conf)
+        try:
+            runs.embed_pending(again, embed=embed)
+        finally:
+            spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", was)
+        assert [c for c in sorted_rows if "embedding" in c]
+        assert state(again) == state(table)
+        sorted_rows.clear()
+        if name == "one":
+            check(again.path, 400)
+
+
 def test_a_table_keeps_the_format_it_was_made_with(spark, table):
     rows = notice(spark, [("a", "e", "pump", "u", None, None)])
     made = spark.createDataFrame([("a", "e", [1.0])], M.VECTOR_SCHEMA)
